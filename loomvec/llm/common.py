@@ -11,8 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 #: White space that separates words: space and U+0009 to U+000D.
-SPACES = " \t\n\x0b\x0c\r"
-SPACE_RUN = "[ \\t\\n\\x0B\\f\\r]+"
+SPACE_RUN, WORD_CHAR = "[ \\t\\n\\x0B\\f\\r]+", "[^ \\t\\n\\x0B\\f\\r]"
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -63,13 +62,12 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 def constant_floats(values: list[float]) -> Column:
     """An array constant; the optimiser folds the parse. For tables of a fixed size only."""
-    return F.split(F.lit(",".join(map(repr, values))), ",").cast("array<float>")
+    return F.split(F.lit(",".join(map(repr, values))), ",").cast("array<double>")
 
 
 def word_list(text: Column) -> Column:
     """Words ``[^\\x20\\x09-\\x0D]+`` of a text; none for null."""
-    plain = F.translate(F.coalesce(text, F.lit("")), SPACES, " " * len(SPACES))
-    return F.filter(F.split(plain, " "), lambda w: w != "")
+    return F.filter(F.split(F.coalesce(text, F.lit("")), SPACE_RUN), lambda w: w != "")
 
 
 def fs_of(path: str):

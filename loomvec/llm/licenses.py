@@ -132,11 +132,12 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
     and empty texts match nothing. Rows stay as they are, repeated ones too; an input
     column named ``licence`` is replaced.
     """
-    low = F.translate(F.coalesce(F.col(text), F.lit("")), UPPER, LOWER)
+    whole = F.coalesce(F.col(text), F.lit(""))
+    low = F.translate(whole, UPPER, LOWER)  # only for texts with a trigger
     none = F.array().cast("array<string>")
     may = F.lit(False)
     for t in TRIGGERS:
-        may = may | F.contains(low, F.lit(t))
+        may = may | F.contains(F.lower(whole), F.lit(t))
     found = F.when(may, let(low, lambda x: F.array(identifiers(x, WITHIN), identifiers(x, ACROSS)))).otherwise(F.array(none, none))
     out = docs.withColumn("licence", found)
     runs = F.transform("licence", lambda x: F.concat(F.lit("/"), F.array_join(x, "/"), F.lit("/")))

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACES, checkpointed, constant_floats, let, word_list
+from .common import WORD_CHAR, checkpointed, constant_floats, let, word_list
 
 #: log2 of the number of buckets.
 BUCKET_BITS = 17
@@ -22,7 +22,7 @@ THRESHOLD = -0.5
 #: Trusted documents that are counted at most: those with the smallest hash of their key.
 TRUSTED_MOST = 100_000
 #: Characters that count as symbols. Fixed values.
-SYMBOLS = "#*$%&|<>"
+SYMBOLS = "[#*$%&|<>]"
 #: A text with fewer words, or with a larger percentage of words in repeated windows, fails.
 LEAST_WORDS, REPEAT_PERCENT = 50, 50
 #: An n-gram is of runs of letters and runs of other characters that aren't white space.
@@ -32,16 +32,19 @@ RUNS = "\\p{L}+|[^\\p{L} \\t\\n\\x0B\\f\\r]+"
 def base_counts(text: Column) -> dict[str, Column]:
     """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words of a text; 0 for null."""
     whole = F.coalesce(text, F.lit(""))
-    lines = F.filter(F.split(whole, "\n"), lambda x: F.translate(x, SPACES, "") != "")
-    # of the words, n_words and n_repeat_words as one value, so that they are split once
+    lines = F.filter(F.split(whole, "\n"), lambda x: x.rlike(WORD_CHAR))
+    # of the words, three counts as one value, so that they are split once
     counts = let(
-        F.transform(word_list(text), lambda w: F.xxhash64(w)),
-        lambda words: F.struct(F.size(words).cast("long").alias("n"), let(_windows(words), _covered).cast("long").alias("r")),
+        word_list(text),
+        lambda words: F.struct(
+            F.size(words).cast("long").alias("n"),
+            F.aggregate(words, F.lit(0).cast("long"), lambda a, w: a + F.length(w)).alias("chars"),
+            let(F.transform(words, lambda w: F.xxhash64(w)), lambda h: let(_windows(h), _covered)).cast("long").alias("r"),
+        ),
     )
     return {
         "word_counts": counts,
-        "word_chars": F.length(F.translate(whole, SPACES, "")).cast("long"),
-        "n_symbols": (F.length(whole) - F.length(F.translate(whole, SYMBOLS, ""))).cast("long"),
+        "n_symbols": (F.length(whole) - F.length(F.regexp_replace(whole, SYMBOLS, ""))).cast("long"),
         "n_dup_lines": let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long"),
     }
 
@@ -62,17 +65,22 @@ def _covered(windows: Column) -> Column:
     return F.when(F.size(F.array_distinct(windows)) == F.size(windows), 0).otherwise(again)
 
 
+def _run_hashes(text: Column) -> Column:
+    return F.transform(F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(RUNS), F.lit(0)), lambda x: F.xxhash64(x))
+
+
+def _bigrams(h: Column) -> Column:
+    """Hashes of neighbours; the last run is paired with none."""
+    return F.transform(h, lambda x, i: F.xxhash64(x, F.get(h, i + 1)))
+
+
+def _bucket(h: Column, bits: int) -> Column:
+    return h.bitwiseAND(F.lit((1 << bits) - 1))
+
+
 def ngram_buckets(text: Column, bits: int = BUCKET_BITS) -> Column:
-    """Buckets of all unigrams and bigrams (the last run paired with none); empty for null."""
-    mask = F.lit((1 << bits) - 1)
-    runs = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(RUNS), F.lit(0))
-    return let(
-        F.transform(runs, lambda x: F.xxhash64(x)),
-        lambda h: F.transform(
-            F.concat(h, F.transform(h, lambda x, i: F.xxhash64(x, F.get(h, i + 1)))),
-            lambda x: x.bitwiseAND(mask).cast("int"),
-        ),
-    )
+    """Buckets of all unigrams and bigrams; empty for null."""
+    return let(_run_hashes(text), lambda h: F.transform(F.concat(h, _bigrams(h)), lambda x: _bucket(x, bits).cast("int")))
 
 
 def trusted_sample(labels: DataFrame, most: int = TRUSTED_MOST, key: str = "doc_id") -> DataFrame:
@@ -106,10 +114,13 @@ def fit_ratio(docs: DataFrame, trusted: DataFrame, bits: int = BUCKET_BITS, smoo
     return checkpointed(one.select(F.when(F.col("n_target") == 0, F.array_repeat(F.lit(0.0).cast("float"), size)).otherwise(ratio).alias("ratios")))
 
 
-def mean_ratio(buckets: Column, ratios: Column) -> Column:
+def mean_ratio(text: Column, ratios: Column, bits: int = BUCKET_BITS) -> Column:
     """Mean of the ratios of a document's n-grams; 0 without any."""
-    total = lambda b, m: F.aggregate(b, F.lit(0.0), lambda a, x: a + F.get(m, x))
-    return let(ratios, lambda m: let(buckets, lambda b: total(b, m) / F.greatest(F.size(b), F.lit(1))))
+
+    def total(h: Column, m: Column) -> Column:
+        return F.aggregate(h, F.lit(0.0), lambda a, x: a + F.get(m, _bucket(x, bits)))
+
+    return let(_run_hashes(text), lambda h: (total(h, ratios) + total(_bigrams(h), ratios)) / F.greatest(2 * F.size(h), F.lit(1)))
 
 
 def judge(docs: DataFrame, ratios: DataFrame, threshold: float = THRESHOLD, bits: int = BUCKET_BITS, text: str = "text") -> DataFrame:
@@ -119,7 +130,7 @@ def judge(docs: DataFrame, ratios: DataFrame, threshold: float = THRESHOLD, bits
     stay as they are, repeated ones too; an input column named ``verdict`` is replaced.
     """
     c = base_counts(F.col(text))
-    score = mean_ratio(ngram_buckets(F.col(text), bits), constant_floats(ratios.head()["ratios"]))
+    score = mean_ratio(F.col(text), constant_floats(ratios.head()["ratios"]), bits)
     measured = F.struct(*(v.alias(k) for k, v in c.items()), score.alias("score"))
     out = docs.withColumn("verdict", measured)
     v = F.col("verdict")
@@ -128,7 +139,7 @@ def judge(docs: DataFrame, ratios: DataFrame, threshold: float = THRESHOLD, bits
     return out.withColumn(
         "verdict",
         F.struct(
-            n.alias("n_words"), v["word_chars"].alias("word_chars"), v["n_symbols"].alias("n_symbols"), v["n_dup_lines"].alias("n_dup_lines"), r.alias("n_repeat_words"),
+            n.alias("n_words"), v["word_counts"]["chars"].alias("word_chars"), v["n_symbols"].alias("n_symbols"), v["n_dup_lines"].alias("n_dup_lines"), r.alias("n_repeat_words"),
             failed.alias("base_failed"), v["score"].alias("score"), (~failed & (v["score"] >= threshold)).alias("kept"),
         ),
     )
