@@ -19,12 +19,14 @@ from .common import checkpointed, constant_floats, let, word_list, written
 TARGETS = {"prose": 0.92, "toxic": 0.01, "noise": 0.07}
 #: log2 of the number of word buckets; pseudo-count of each.
 BUCKET_BITS, SMOOTHING = 15, 0.5
-#: Words of evidence at most: a longer text's log-likelihoods are scaled down to so many words.
-EVIDENCE = 200
 #: Labelled rows that the classifier is fitted on at most, those with the smallest hash.
 LABELLED_MOST = 60_000
 #: Gradient steps at most; the fit ends when no total is off by more than this share of all tokens.
-STEPS, TOLERANCE = 60, 1e-3
+STEPS, TOLERANCE = 40, 1e-3
+#: It also ends when a step takes less than this share off the largest error (targets out of reach).
+PROGRESS = 0.01
+#: Steps after which the rates so far are written, so that a step needn't repeat all before it.
+WRITE_EVERY = 6
 #: Pull of the rates towards 1.
 RIDGE = 1e-3
 #: Scale of the hash that decides what a fraction of a rate becomes.
@@ -74,12 +76,11 @@ def fit_classifier(docs: DataFrame, labels: DataFrame, most: int = LABELLED_MOST
     return [tables[f"r{i}"] for i in range(1, k)], [log(total[i] / total[0]) for i in range(1, k)]
 
 
-def posteriors(text: Column, tables: list[list[float]], priors: list[float], bits: int = BUCKET_BITS, evidence: int = EVIDENCE) -> Column:
+def posteriors(text: Column, tables: list[list[float]], priors: list[float], bits: int = BUCKET_BITS) -> Column:
     """Array of domain posteriors; the priors' for a text without words."""
 
     def of(b: Column, m: Column, prior: float) -> Column:
-        total = F.aggregate(b, F.lit(0.0), lambda a, x: a + F.get(m, x))
-        return total * F.least(F.lit(1.0), F.lit(float(evidence)) / F.greatest(F.size(b), F.lit(1))) + F.lit(prior)
+        return F.aggregate(b, F.lit(prior), lambda a, x: a + F.get(m, x))
 
     logs = let(buckets(text, bits), lambda b: F.array(F.lit(0.0), *(of(b, constant_floats(t), p) for t, p in zip(tables, priors, strict=True))))
 
@@ -90,10 +91,10 @@ def posteriors(text: Column, tables: list[list[float]], priors: list[float], bit
     return let(logs, softmax)
 
 
-def rate_after(p: Column, steps: list[list[float]], step: float, ridge: float, most: float) -> Column:
-    """A document's rate after the given gradients (one number a domain each), from 1 on."""
+def rate_after(p: Column, steps: list[list[float]], ridge: float, most: float, start: Column) -> Column:
+    """A document's rate after the given gradients (one number a domain each)."""
     if not steps:
-        return F.lit(1.0)
+        return start
     grads = F.split(F.lit(";".join(",".join(map(repr, g)) for g in steps)), ";")
     grads = F.transform(grads, lambda g: F.split(g, ",").cast("array<double>"))
     k = len(steps[0])
@@ -102,31 +103,36 @@ def rate_after(p: Column, steps: list[list[float]], step: float, ridge: float, m
         slope = F.lit(ridge) * (r - 1)
         for i in range(k):
             slope = slope + p[i] * g[i]
-        return F.greatest(F.lit(0.0), F.least(F.lit(float(most)), r - F.lit(step) * slope))
+        return F.greatest(F.lit(0.0), F.least(F.lit(float(most)), r - slope))
 
-    return F.aggregate(grads, F.lit(1.0), move)
+    return F.aggregate(grads, start, move)
 
 
-def fit_rates(stats: DataFrame, targets: list[float], most: float, steps: int = STEPS, tolerance: float = TOLERANCE, ridge: float = RIDGE, step: float = 1.0) -> tuple[list[list[float]], list[float]]:
+def fit_rates(stats: DataFrame, targets: list[float], most: float, steps: int = STEPS, tolerance: float = TOLERANCE, ridge: float = RIDGE) -> tuple[list[list[float]], list[float]]:
     """Gradients of the steps made, and the totals reached, from rows of ``tokens`` and ``posteriors``.
 
     ``targets`` are token totals. Each step is one sum over all rows.
     """
-    k, grads = len(targets), []
-    rate = rate_after(F.col("posteriors"), [], step, ridge, most)
-    base: list[float] = []
+    k, grads, errors, base = len(targets), [], [], []
+    p, rate, done = F.col("posteriors"), F.lit(1.0), 0
     while True:
-        got = stats.agg(*(F.coalesce(F.sum(rate * F.col("tokens") * F.col("posteriors")[i]), F.lit(0.0)).alias(f"t{i}") for i in range(k))).head()
+        got = stats.agg(*(F.coalesce(F.sum(rate * F.col("tokens") * p[i]), F.lit(0.0)).alias(f"t{i}") for i in range(k))).head()
         totals = [float(x) for x in got]
         base = base or [max(x, 1e-9) for x in totals]
-        if len(grads) >= steps or max(abs(t - x) for t, x in zip(totals, targets, strict=True)) <= tolerance * max(sum(targets), 1e-9):
+        errors.append(max(abs(t - x) for t, x in zip(totals, targets, strict=True)))
+        stuck = len(errors) > 1 and errors[-1] > (1 - PROGRESS) * errors[-2]
+        if len(grads) >= steps or stuck or errors[-1] <= tolerance * max(sum(targets), 1e-9):
             return grads, totals
         grads.append([(t - x) / b for t, x, b in zip(totals, targets, base, strict=True)])
-        rate = rate_after(F.col("posteriors"), grads, step, ridge, most)
+        if len(grads) - done > WRITE_EVERY:
+            stats = written(stats.select("tokens", "posteriors", rate.alias("rate")), "rates")
+            rate, done = F.col("rate"), len(grads) - 1
+        start = F.col("rate") if done else F.lit(1.0)
+        rate = rate_after(p, grads[done:], ridge, most, start)
 
 
-def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, budget: float | None = None, most: float = 4.0, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """All rows of ``docs`` with a struct ``mix``: tokens (words), posteriors, rate, copies.
+def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, budget: float | None = None, most: float = 4.0, text: str = "text", key: str = "doc_id", keep: list[str] | None = None) -> DataFrame:
+    """All rows of ``docs`` (``keep``: these columns only) with a struct ``mix``: tokens (words), posteriors, rate, copies.
 
     ``budget`` is the share of all words to hand out (1: as many as there are); with
     ``most`` <= 1 and no budget, the largest share at which no domain has to repeat.
@@ -139,7 +145,10 @@ def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = N
     tables, priors = fit_classifier(docs, labels, text=text, key=key)
     whole = F.coalesce(F.col(text), F.lit(""))
     words = F.size(word_list(whole)).cast("long")
-    rows = docs.withColumn("mix", F.struct(words.alias("tokens"), posteriors(whole, tables, priors).alias("posteriors")))
+    draw = F.xxhash64(F.col(key), F.col(text)).bitwiseAND(F.lit(DRAW - 1)) / F.lit(float(DRAW))
+    rows = docs.withColumn("mix", F.struct(words.alias("tokens"), posteriors(whole, tables, priors).alias("posteriors"), draw.alias("draw")))
+    if keep is not None:
+        rows = rows.select(*keep, "mix")
     rows = written(rows, "mixing")
     stats = rows.select("mix.tokens", "mix.posteriors")
     k = len(targets)
@@ -152,9 +161,8 @@ def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = N
     else:
         total = all_tokens["n"]
     grads, _ = fit_rates(stats, [w * total for w in weights], most)
-    rate = rate_after(F.col("mix.posteriors"), grads, 1.0, RIDGE, most)
+    rate = rate_after(F.col("mix.posteriors"), grads, RIDGE, most, F.lit(1.0))
     out = rows.withColumn("mix", F.col("mix").withField("rate", rate))
-    draw = F.xxhash64(F.col(key), F.col(text)).bitwiseAND(F.lit(DRAW - 1)) / F.lit(float(DRAW))
     whole_part = F.floor("mix.rate")
-    copies = whole_part + F.when(draw < F.col("mix.rate") - whole_part, 1).otherwise(0)
-    return out.withColumn("mix", F.col("mix").withField("copies", copies.cast("long")))
+    copies = whole_part + F.when(F.col("mix.draw") < F.col("mix.rate") - whole_part, 1).otherwise(0)
+    return out.withColumn("mix", F.col("mix").withField("copies", copies.cast("long")).dropFields("draw"))

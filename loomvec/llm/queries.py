@@ -30,7 +30,7 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_mix_domains(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Posteriors, rates and copies of all documents for the default target weights."""
-    out = mixing.mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    out = mixing.mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), keep=["doc_id"])
     m = F.col("mix")
     shares = [F.round(m["posteriors"][i], 6).alias(f"p_{d}") for i, d in enumerate(mixing.TARGETS)]
     return out.select("doc_id", m["tokens"].alias("n_tokens"), *shares, F.round(m["rate"], 6).alias("rate"), m["copies"].alias("copies"))
