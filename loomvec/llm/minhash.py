@@ -19,7 +19,7 @@ from collections.abc import Iterable, Iterator
 from functools import reduce
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import checkpointed, written
@@ -35,6 +35,10 @@ ERRORS = 4.5
 BLOCK = 256
 #: Words whose hashes a worker remembers.
 CACHE_WORDS = 500_000
+#: log2 of the bits of the table that keeps most texts without a candidate out of the second pass.
+FILTER_BITS = 22
+#: Sets of at most so many shingles are compared whole in a block.
+SMALL = 1024
 #: Shingles hashed at a time.
 CHUNK = 1 << 14
 
@@ -162,8 +166,21 @@ def full_sets(docs: DataFrame, wanted: DataFrame, key: str, text: str, words: in
                 sets = [shingle_set(t if isinstance(t, str) else None, words) for t in part["text"]]
                 yield pd.DataFrame({"id": part["id"], "set_hash": [xxh3_128_hexdigest(s.tobytes()) for s in sets], "shingles": list(map(_signed, sets))})
 
-    rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")).join(wanted.select("id"), "id", "left_semi")
-    return rows.mapInPandas(of, "id long, set_hash string, shingles array<long>")
+    rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")).where(_in_filter("id", wanted))
+    sets = rows.mapInPandas(of, "id long, set_hash string, shingles array<long>")
+    return sets.join(wanted.select("id"), "id", "left_semi").dropDuplicates(["id", "set_hash"])
+
+
+def _in_filter(name: str, wanted: DataFrame, bits: int = FILTER_BITS) -> Column:
+    """True for every wanted id and few others, by a bit table of a fixed size: keeps texts out of the shuffle."""
+    place = F.xxhash64(name).bitwiseAND(F.lit((1 << bits) - 1))
+    word = (place / 32).cast("int")
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), (place % 32).cast("int"))
+    table = [0] * (1 << (bits - 5))
+    for r in wanted.select(word.alias("w"), bit.alias("b")).groupBy("w").agg(F.bit_or("b").alias("b")).collect():
+        table[r["w"]] = r["b"]
+    words = F.split(F.lit(",".join(map(str, table))), ",").cast("array<bigint>")
+    return F.get(words, word).bitwiseAND(bit) != 0
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -206,11 +223,46 @@ def _may_link(n_a, n_b, percent: int):
     return (100 * F.least(n_a, n_b)) >= (percent * F.greatest(n_a, n_b))
 
 
+def compact_sets(sets: DataFrame) -> DataFrame:
+    """id and ``small``: sorted 32-bit hashes of sets of at most ``SMALL`` shingles, null for larger ones.
+
+    Ids that stand for several sets have null as well.
+    """
+
+    def of(frames: Iterable) -> Iterator:
+        import pandas as pd
+
+        for frame in frames:
+            small = [np.unique((x.view(np.uint64) >> np.uint64(32)).astype("<u4")).tobytes() if len(x) <= SMALL else None for x in frame["shingles"]]
+            yield pd.DataFrame({"id": frame["id"], "small": small})
+
+    rows = sets.select("id", "shingles").mapInPandas(of, "id long, small binary")
+    return rows.groupBy("id").agg(F.when(F.count(F.lit(1)) == 1, F.first("small")).alias("small"))
+
+
+def shared_counts(left: list[bytes], right: list[bytes]) -> np.ndarray:
+    """(left, right): sizes of intersections of sorted 32-bit sets, by products of membership tables."""
+    both = [np.frombuffer(x, "<u4") for x in (*left, *right)]
+    values, place, count = np.unique(np.concatenate(both), return_inverse=True, return_counts=True)
+    number = np.where(count > 1, np.cumsum(count > 1) - 1, -1)[place]
+    row = np.repeat(np.arange(len(both)), [len(x) for x in both])
+    row, number = row[number >= 0], number[number >= 0]
+    out = np.zeros((len(left), len(right)), dtype=np.float32)
+    for at in range(0, int(number.max(initial=-1)) + 1, 4096):
+        some = (number >= at) & (number < at + 4096)
+        table = np.zeros((len(both), 4096), dtype=np.float32)
+        table[row[some], number[some] - at] = 1
+        out += table[: len(left)] @ table[len(left) :].T
+    return out
+
+
 def block_pairs(members: DataFrame, values: int, percent: int = PERCENT, block: int = BLOCK, errors: float = ERRORS) -> DataFrame:
-    """Pairs (a, b) of members (bucket, id, n_shingles, mark, component) across components that may link.
+    """Pairs (a, b) of members (bucket, id, n_shingles, mark, small, component) across components that may link.
 
     A bucket of m members makes ceil(m / block) blocks; each pair of blocks is one
-    bounded group, compared by size and signature in numpy.
+    bounded group, compared in numpy: by size, by signature, and where both sets are small
+    by their 32-bit hashes, which can only overstate what they share (but for one
+    collision within a set, allowed for).
     """
     share = percent / 100
     least = share - errors * (share * (1 - share) / values) ** 0.5
@@ -218,42 +270,54 @@ def block_pairs(members: DataFrame, values: int, percent: int = PERCENT, block:
     rows = members.join(counts, "bucket").withColumn("blocks", F.ceil(F.col("m") / block).cast("int"))
     rows = rows.withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.select("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "n_shingles", "mark", "component")
+    rows = rows.select("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "n_shingles", "mark", "small", "component")
 
-    def compare(i, j, own, ids, sizes, marks, comps):
+    def compare(i, j, own, ids, sizes, comps, marks, small):
+        """Places (k, m) of pairs that may link."""
         left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
-        out = []
-        for k in left:
-            may = (comps[k] != comps[right]) & (100 * np.minimum(sizes[k], sizes[right]) >= percent * np.maximum(sizes[k], sizes[right]))
-            if i == j:
-                may &= ids[k] < ids[right]
-            at = right[may]
-            if len(at):
-                at = at[(marks[at] == marks[k]).mean(axis=1) >= least]
-                out.append(np.stack([np.minimum(ids[k], ids[at]), np.maximum(ids[k], ids[at])], axis=1))
-        return out
+        if not len(left) or not len(right):
+            return np.empty((0, 2), np.int64)
+        a, b = sizes[left][:, None], sizes[right][None, :]
+        may = (comps[left][:, None] != comps[right][None, :]) & (100 * np.minimum(a, b) >= percent * np.maximum(a, b))
+        if i == j:
+            may &= ids[left][:, None] < ids[right][None, :]
+        row, col = np.nonzero(may)
+        near = np.concatenate([(marks[left[row[x]]] == marks[right[col[x]]]).mean(axis=1) for x in (slice(y, y + 65536) for y in range(0, max(1, len(row)), 65536))]) >= least
+        row, col = row[near], col[near]
+        if len(row):
+            rows, cols = np.unique(row), np.unique(col)
+            have = [np.array([small[x] is not None for x in side], dtype=bool) for side in (left[rows], right[cols])]
+            some = shared_counts([small[x] or b"" for x in left[rows]], [small[x] or b"" for x in right[cols]])
+            r, c = np.searchsorted(rows, row), np.searchsorted(cols, col)
+            shared = some[r, c] + 1
+            near = ~have[0][r] | ~have[1][c] | (100 * shared >= percent * (sizes[left[row]] + sizes[right[col]] - shared))
+            row, col = row[near], col[near]
+        return np.stack([left[row], right[col]], axis=1)
 
     def of(frames: Iterable) -> Iterator:
         import pandas as pd
 
         def pairs(frame, ends):
             marks = np.frombuffer(b"".join(frame["mark"]), dtype=np.uint8).reshape(len(frame), -1) if len(frame) else None
-            cols = [frame[c].to_numpy() for c in ("i", "j", "own", "id", "n_shingles", "component")]
-            out, start = [], 0
+            own, ids, sizes, comps = (frame[c].to_numpy() for c in ("own", "id", "n_shingles", "component"))
+            first, second, small = frame["i"].to_numpy(), frame["j"].to_numpy(), frame["small"].to_numpy()
+            out, start = [np.empty((0, 2), np.int64)], 0
             for end in ends:
-                i, j, own, ids, sizes, comps = (c[start:end] for c in cols)
-                out += compare(i[0], j[0], own, ids, sizes, marks[start:end], comps)
+                at = slice(start, end)
+                out.append(start + compare(first[start], second[start], own[at], ids[at], sizes[at], comps[at], marks[at], small[at]))
                 start = end
-            return pd.DataFrame(np.concatenate(out) if out else np.empty((0, 2), np.int64), columns=["a", "b"])
+            x = ids[np.concatenate(out)]
+            return pd.DataFrame({"a": x.min(axis=1), "b": x.max(axis=1)}).drop_duplicates()
 
         left = None
         for frame in frames:
             frame = frame if left is None else pd.concat([left, frame], ignore_index=True)
-            group = frame[["bucket", "i", "j"]].to_numpy()
-            ends = np.flatnonzero((group[1:] != group[:-1]).any(axis=1)) + 1
+            key = frame[["bucket", "i", "j"]].to_numpy()
+            ends = np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1
             done = int(ends[-1]) if len(ends) else 0
-            left = frame.iloc[done:]
-            yield pairs(frame.iloc[:done], ends)
+            left = frame.iloc[done:].reset_index(drop=True)
+            if done:
+                yield pairs(frame.iloc[:done], ends)
         if left is not None and len(left):
             yield pairs(left, [len(left)])
 
@@ -272,13 +336,14 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     base = written(sketch(docs, key, text, words), "sketch")
     full = base.where("id is not null and n_shingles > 0")
     nodes = written(full.groupBy("set_hash").agg(F.min_by(F.struct("id", "n_shingles", "bands", "mark"), "id").alias("x")).select("set_hash", "x.*"), "nodes")
-    banded = nodes.select("id", "n_shingles", F.explode("bands").alias("bucket"))
+    banded = nodes.select("id", F.explode("bands").alias("bucket"))
     shared = banded.groupBy("bucket").agg(F.min("id").alias("pivot"), F.max("id").alias("last")).where("last > pivot").select("bucket", "pivot")
     members = written(banded.join(shared, "bucket"), "members")
-    sets = written(full_sets(docs, members.select("id").distinct(), key, text, words).dropDuplicates(["id", "set_hash"]), "sets")
-    stars = members.where(F.col("id") > F.col("pivot")).select(F.col("pivot").alias("a"), F.col("id").alias("b"), "n_shingles").distinct()
-    stars = stars.join(nodes.select(F.col("id").alias("a"), F.col("n_shingles").alias("n_a")), "a")
-    stars = checkpointed(stars.where(_may_link(F.col("n_shingles"), F.col("n_a"), percent)).select("a", "b").distinct())
+    sets = written(full_sets(docs, members.select("id").distinct(), key, text, words), "sets")
+    stars = members.where(F.col("id") > F.col("pivot")).select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
+    for x in ("a", "b"):
+        stars = stars.join(nodes.select(F.col("id").alias(x), F.col("n_shingles").alias(f"n_{x}")), x)
+    stars = checkpointed(stars.where(_may_link(F.col("n_a"), F.col("n_b"), percent)).select("a", "b").distinct())
     first = checkpointed(confirmed(stars, sets, percent))
     # rows of one key are one document, whatever their sets
     same = full.groupBy("set_hash").agg(F.min("id").alias("node"))
@@ -286,9 +351,11 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     alike = full.join(twice, "id", "left_semi").join(same, "set_hash").select(F.col("id").alias("a"), F.col("node").alias("b"))
     first = first.union(alike)
     found = written(components(first), "components")
-    grouped = members.select("bucket", "id", "n_shingles").join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    grouped = members.select("bucket", "id").join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
     open_buckets = grouped.groupBy("bucket").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 < c1").select("bucket")
-    rest = grouped.join(open_buckets, "bucket", "left_semi").join(nodes.select("id", "mark"), "id")
+    rest = checkpointed(grouped.join(open_buckets, "bucket", "left_semi"))
+    small = compact_sets(sets.join(rest.select("id").distinct(), "id", "left_semi"))
+    rest = rest.join(nodes.select("id", "n_shingles", "mark").join(small, "id", "left"), "id")
     pairs = written(block_pairs(rest, 2 * PERMUTATIONS, percent), "pairs")
     second = checkpointed(confirmed(pairs.join(stars, ["a", "b"], "left_anti"), sets, percent))
     final = written(components(reduce(DataFrame.union, [first, second])), "components") if second.take(1) else found
