@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Iterator
+from itertools import compress
+from operator import not_
 
 import numpy as np
 
@@ -68,14 +70,16 @@ class BpeEncoder:
             some = texts[at : at + SLICE]
             split = [(_pieces(t) if _plain(t) else None) if t else [] for t in some]
             raws = [list(map(known.get, w)) if w else w for w in split]
-            new = {w for words, raw in zip(split, raws, strict=True) if raw and None in raw for w, r in zip(words, raw, strict=True) if r is None}
+            # places of words that aren't known yet: ids of a word are never empty
+            gaps = [list(compress(range(len(r)), map(not_, r))) if r else () for r in raws]
+            new = {words[i] for words, gap in zip(split, gaps, strict=True) for i in gap}
             found = self._words(list(new)) if new else {}
-            for text, words, raw in zip(some, split, raws, strict=True):
+            for text, words, raw, gap in zip(some, split, raws, gaps, strict=True):
                 if words is None:
                     yield np.frombuffer(self._whole(text), dtype="<u4")
                     continue
-                if raw and None in raw:
-                    raw = [found[w] if r is None else r for w, r in zip(words, raw, strict=True)]
+                for i in gap:
+                    raw[i] = found[words[i]]
                 yield np.frombuffer(b"".join(raw), dtype="<u4")
             if len(known) + len(found) <= CACHE_WORDS:
                 known.update(found)
