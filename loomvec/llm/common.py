@@ -61,8 +61,8 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def constant_floats(values: list[float]) -> Column:
-    """An array constant; the optimiser folds the parse. For tables of a fixed size only."""
-    return F.split(F.lit(",".join(map(repr, values))), ",").cast("array<double>")
+    """An array constant of four digits each; the optimiser folds the parse. For tables of a fixed size only."""
+    return F.split(F.lit(",".join(f"{v:.4g}" for v in values)), ",").cast("array<double>")
 
 
 def word_list(text: Column) -> Column:
