@@ -17,6 +17,8 @@ from loomvec.llm.queries import SEQUENCE, held_out
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: Posterior from which a predicted language counts as certain enough.
 LEAST_SCORE = 0.5
+#: Token shares after mixing. The quality stage has taken the noise, so none is asked for.
+MIXTURE = {"prose": 0.99, "toxic": 0.01, "noise": 0.0}
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,7 +46,7 @@ def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents thinned to the target weights; none repeats."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return mixing.mix(docs, labels, most=1.0).where("mix.copies > 0").select(*COLUMNS)
+    return mixing.mix(docs, labels, MIXTURE, most=1.0).where("mix.copies > 0").select(*COLUMNS)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -120,7 +120,8 @@ def mean_ratio(text: Column, ratios: Column, bits: int = BUCKET_BITS) -> Column:
     def total(h: Column, m: Column) -> Column:
         return F.aggregate(h, F.lit(0.0), lambda a, x: a + F.get(m, _bucket(x, bits)))
 
-    return let(_run_hashes(text), lambda h: (total(h, ratios) + total(_bigrams(h), ratios)) / F.greatest(2 * F.size(h), F.lit(1)))
+    # the table is bound once, so that plans hold (and print) it once
+    return let(ratios, lambda m: let(_run_hashes(text), lambda h: (total(h, m) + total(_bigrams(h), m)) / F.greatest(2 * F.size(h), F.lit(1))))
 
 
 def judge(docs: DataFrame, ratios: DataFrame, threshold: float = THRESHOLD, bits: int = BUCKET_BITS, text: str = "text") -> DataFrame:
