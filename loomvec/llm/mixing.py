@@ -10,6 +10,8 @@ driver sees; a document's rate follows from its posteriors and the steps so far.
 
 from __future__ import annotations
 
+from math import log
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -46,7 +48,8 @@ def buckets(text: Column, bits: int = BUCKET_BITS) -> Column:
 def fit_classifier(docs: DataFrame, labels: DataFrame, most: int = LABELLED_MOST, bits: int = BUCKET_BITS, text: str = "text", key: str = "doc_id") -> tuple[list[list[float]], list[float]]:
     """Log-likelihood ratio to the first domain of every bucket, for the other domains, and log priors' ratios.
 
-    Fitted on at most ``most`` labelled rows. Unlabelled or empty input gives ratios of 0.
+    Fitted on at most ``most`` labelled rows. A domain without labelled words has
+    posterior 0; unlabelled or empty input gives all domains the same.
     """
     size, k = 1 << bits, len(TARGETS)
     known = (
@@ -69,11 +72,9 @@ def fit_classifier(docs: DataFrame, labels: DataFrame, most: int = LABELLED_MOST
 
     tables = checkpointed(one.select(*(ratios(i).alias(f"r{i}") for i in range(1, k)), *(f"s{i}" for i in range(k)))).head()
     total = [tables[f"s{i}"] or 0 for i in range(k)]
-    if not all(total):  # a domain without a labelled word can't be told apart
-        return [[0.0] * size if not (total[i] and total[0]) else tables[f"r{i}"] for i in range(1, k)], [0.0] * (k - 1)
-    from math import log
-
-    return [tables[f"r{i}"] for i in range(1, k)], [log(total[i] / total[0]) for i in range(1, k)]
+    # a domain without a labelled word gets a posterior of 0; with no label at all, all are alike
+    odds = [0.0 if not any(total) else -1000.0 if not total[i] else 1000.0 if not total[0] else log(total[i] / total[0]) for i in range(1, k)]
+    return [tables[f"r{i}"] for i in range(1, k)], odds
 
 
 def posteriors(text: Column, tables: list[list[float]], priors: list[float], bits: int = BUCKET_BITS) -> Column:
