@@ -88,7 +88,7 @@ def test_quality_ratio_rejects_noise(spark):
     few = lambda seed: " ".join("abcdefghijklmnopqrst"[i] for i in np.random.default_rng(seed).integers(0, 20, 80))
     rows = [(i, few(i), "en", "") for i in range(60)] + [(100 + i, few(i).replace(" ", "%%% "), "en", "") for i in range(10)]
     frame = spark.createDataFrame(rows, DOCS)
-    labels = spark.createDataFrame([(i, 1, 0) for i in range(0, 60, 2)] + [(100, 0, 0)], "doc_id long, quality int, toxic int")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(60)] + [(100, 0, 0)], "doc_id long, quality int, toxic int")
     kept = {r["doc_id"] for r in quality.quality_rules(frame, labels).where("verdict.kept").collect()}
     assert kept == set(range(60))
 
