@@ -136,7 +136,8 @@ def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = N
     """All rows of ``docs`` (``keep``: these columns only) with a struct ``mix``: tokens (words), posteriors, rate, copies.
 
     ``budget`` is the share of all words to hand out (1: as many as there are); with
-    ``most`` <= 1 and no budget, the largest share at which no domain has to repeat.
+    ``most`` <= 1 and no budget, the largest share at which no domain has to repeat. A
+    domain that no document belongs to has no target; the others share its weight.
     ``copies`` is the rate, its fraction drawn by a hash of key and text, so that equal
     inputs give equal results. Null and empty texts have 0 tokens and the priors'
     posteriors. Rows stay as they are; an input column named ``mix`` is replaced. An
@@ -154,7 +155,9 @@ def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = N
     stats = rows.select("mix.tokens", "mix.posteriors")
     k = len(targets)
     all_tokens = stats.agg(F.coalesce(F.sum("tokens"), F.lit(0)).cast("double").alias("n"), *(F.coalesce(F.sum(F.col("tokens") * F.col("posteriors")[i]), F.lit(0.0)).alias(f"t{i}") for i in range(k))).head()
-    weights = [w / sum(targets.values()) for w in targets.values()]
+    # what no document holds can't be handed out: the other domains share its weight
+    held = [w if all_tokens[f"t{i}"] > 0 else 0.0 for i, w in enumerate(targets.values())]
+    weights = [w / (sum(held) or 1.0) for w in held]
     if budget is not None:
         total = budget * all_tokens["n"]
     elif most <= 1:

@@ -206,6 +206,13 @@ def test_mixing_meets_targets(spark):
     assert abs(got["noise"] / got["n"] - 0.2) < 0.02 and out.count() == 301
 
 
+def test_mixing_without_documents_of_a_domain(spark):
+    frame = spark.createDataFrame([(i, prose(i, 50), "en", "") for i in range(40)], DOCS)
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(20)], "doc_id long, quality int, toxic int")
+    out = mixing.mix(frame, labels, {"prose": 0.9, "toxic": 0.1, "noise": 0.0}, most=1.0)
+    assert {r["mix"]["copies"] for r in out.collect()} == {1}
+
+
 def test_licences(spark):
     mit = "Copyright 2020 X\n\n" + "\n".join(s.replace(", ", ",\n") + "." for n, s in licenses.SENTENCES if n in ("mit-grant", "mit-notice", "mit-warranty"))
     texts = ["prose\nReleased under the MIT License.", "Licensed under CC BY-NC 4.0.", mit, "the MIT License is mentioned here", None, "", "Subject.\nThis Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."]
