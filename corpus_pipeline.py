@@ -35,9 +35,9 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest document of each near-duplicate class; of rows that share a key, those of equal text once.
+    """The smallest document of each near-duplicate class.
 
-    Rows with a null key stay.
+    Rows that share a key count as one document: they stay or go together. Rows with a null key stay.
     """
     gone = minhash.near_duplicates(docs).where(~F.col("kept")).select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
