@@ -1,7 +1,7 @@
 """Mixing documents to target domain weights by soft membership.
 
-A multinomial naive Bayes classifier, counted on labelled rows over hashed words, gives
-each document posteriors over domains. Nonnegative rates r_i are then fitted so that
+A multinomial naive Bayes classifier, counted on labelled rows over hashed words (each
+once a document, as words come in bursts), gives each document posteriors over domains. Nonnegative rates r_i are then fitted so that
 the expected domain totals T_k = sum_i r_i * tokens_i * p_ik meet the targets: projected
 gradient descent on sum_k (T_k - target_k)^2 / (2 * T_k(1)) + ridge / 2 *
 sum_i tokens_i * (r_i - 1)^2. A step needs K sums over all documents, which is all the
@@ -20,7 +20,7 @@ from .common import checkpointed, constant_floats, let, word_list, written
 #: Domains in the order of the posteriors, with the share of the tokens that each should get.
 TARGETS = {"prose": 0.92, "toxic": 0.01, "noise": 0.07}
 #: log2 of the number of word buckets; pseudo-count of each.
-BUCKET_BITS, SMOOTHING = 15, 0.5
+BUCKET_BITS, SMOOTHING = 17, 0.5
 #: Labelled rows that the classifier is fitted on at most, those with the smallest hash.
 LABELLED_MOST = 60_000
 #: Gradient steps at most; the fit ends when no total is off by more than this share of all tokens.
@@ -41,8 +41,9 @@ def domain_of(quality: Column, toxic: Column) -> Column:
 
 
 def buckets(text: Column, bits: int = BUCKET_BITS) -> Column:
+    """Buckets of the words of a text, each once."""
     mask = F.lit((1 << bits) - 1)
-    return F.transform(word_list(F.lower(text)), lambda w: F.xxhash64(w).bitwiseAND(mask).cast("int"))
+    return F.array_distinct(F.transform(word_list(F.lower(text)), lambda w: F.xxhash64(w).bitwiseAND(mask).cast("int")))
 
 
 def fit_classifier(docs: DataFrame, labels: DataFrame, most: int = LABELLED_MOST, bits: int = BUCKET_BITS, text: str = "text", key: str = "doc_id") -> tuple[list[list[float]], list[float]]:

@@ -115,22 +115,22 @@ def test_mixing(spark, tables):
     docs = spark.read.parquet(f"{tables}/documents.parquet")
     before, after = docs.collect(), P.mixing_stage(spark, docs, tables).collect()
     vocabulary = sorted({w for r in before for w in words((r["text"] or "").lower())})
-    bucket = dict(spark.createDataFrame([(w,) for w in vocabulary], "w string").select("w", F.xxhash64("w").bitwiseAND(F.lit((1 << 15) - 1))).collect())
+    bucket = dict(spark.createDataFrame([(w,) for w in vocabulary], "w string").select("w", F.xxhash64("w").bitwiseAND(F.lit((1 << 17) - 1))).collect())
     draw = spark.createDataFrame([(r["doc_id"], r["text"]) for r in before], "doc_id long, text string").select((F.xxhash64("doc_id", "text").bitwiseAND(F.lit((1 << 20) - 1)) / float(1 << 20)).alias("d"))
     draw = np.array([r["d"] for r in draw.collect()])
     domain = {i: 1 if toxic else 0 if quality else 2 for i, quality, toxic in labelled() if i is not None and quality is not None}
     counts = defaultdict(Counter)
     for r in before:
         if r["doc_id"] in domain:
-            counts[domain[r["doc_id"]]].update(bucket[w] for w in words((r["text"] or "").lower()))
+            counts[domain[r["doc_id"]]].update({bucket[w] for w in words((r["text"] or "").lower())})
     totals = [sum(counts[k].values()) for k in range(3)]
     assert all(totals)
     logs = np.zeros((len(before), 3))
     for n, r in enumerate(before):
         for k in (1, 2):
             logs[n, k] = log(totals[k] / totals[0]) if totals[k] else -1000
-            for b in (bucket[w] for w in words((r["text"] or "").lower())):
-                logs[n, k] += log((counts[k][b] + 0.5) / (totals[k] + (1 << 14))) - log((counts[0][b] + 0.5) / (totals[0] + (1 << 14)))
+            for b in {bucket[w] for w in words((r["text"] or "").lower())}:
+                logs[n, k] += log((counts[k][b] + 0.5) / (totals[k] + (1 << 16))) - log((counts[0][b] + 0.5) / (totals[0] + (1 << 16)))
     p = np.exp(logs - logs.max(axis=1, keepdims=True))
     p /= p.sum(axis=1, keepdims=True)
     n = np.array([len(words(r["text"])) for r in before], dtype=float)
