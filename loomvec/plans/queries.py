@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -99,10 +100,13 @@ def declared_length_check(spark, sf):
 
 
 # rows, status and profile
-def _relation(spark, sf) -> DataFrame:
-    d = _sequences(spark, sf)
+def _keyed(d: DataFrame, sequence) -> DataFrame:
     key = F.when(F.col("doc_id") % 10 == 9, F.col("source")).otherwise(F.concat(F.lit("nsc-0"), F.col("doc_id") % 50))
-    return d.select(F.col("doc_id").alias("source_row_index"), key.alias("nsc_id"), F.when(F.col("doc_id") % 7 == 3, F.concat(F.substring("raw", 1, 5), F.lit("*"))).otherwise(F.substring("raw", 1, 4000)).alias("sequence"))
+    return d.select(F.col("doc_id").alias("source_row_index"), key.alias("nsc_id"), sequence.alias("sequence"))
+
+
+def _relation(spark, sf) -> DataFrame:
+    return _keyed(_sequences(spark, sf), F.when(F.col("doc_id") % 7 == 3, F.concat(F.substring("raw", 1, 5), F.lit("*"))).otherwise(F.substring("raw", 1, 4000)))
 
 
 REL = f"""rel AS (SELECT doc_id AS source_row_index, CASE WHEN doc_id % 10 = 9 THEN NULL ELSE 'NSC-' || (doc_id % 50) END AS id,
@@ -112,28 +116,28 @@ rows_ AS (SELECT *, CASE WHEN error_kind IS NULL THEN 'pending' ELSE 'failed' EN
 
 
 @query(f"WITH {REL} SELECT source_row_index, nsc_id, sequence_hash, status, error_kind FROM rows_")
-def row_status(spark, sf):
-    return rows.prepare(_relation(spark, sf)).select("source_row_index", "nsc_id", "sequence_hash", "status", "error_kind")
+def row_status(spark, sf, relation=_relation):
+    return rows.prepare(relation(spark, sf)).select("source_row_index", "nsc_id", "sequence_hash", "status", "error_kind")
 
 
 @query(f"WITH {REL} SELECT count(*) AS rows, count(DISTINCT nullif(nsc_id, '')) AS unique_ids, count(DISTINCT sequence_hash) AS unique_sequences, count(sequence_hash) AS valid_rows, count(*) FILTER (status = 'failed') AS failed_rows, count(sequence_hash) - count(DISTINCT sequence_hash) AS duplicate_rows, min(length(u)) FILTER (status = 'pending')::INTEGER AS min_length, max(length(u)) FILTER (status = 'pending')::INTEGER AS max_length, round(avg(length(u)) FILTER (status = 'pending'), 6) AS mean_length, count(*) FILTER (status = 'pending' AND length(u) > 2048) AS long_rows, count(*) FILTER (status = 'pending' AND regexp_matches(u, '[XBZJUO]')) AS special_rows FROM rows_".replace("::INTEGER", "::BIGINT"))
-def dataset_statistics(spark, sf):
-    return rows.statistics(rows.prepare(_relation(spark, sf))).withColumn("mean_length", F.round("mean_length", 6))
+def dataset_statistics(spark, sf, relation=_relation):
+    return rows.statistics(rows.prepare(relation(spark, sf))).withColumn("mean_length", F.round("mean_length", 6))
 
 
 @query(f"WITH {REL} SELECT sequence_hash, count(*) AS n FROM rows_ WHERE status = 'pending' GROUP BY 1 HAVING count(*) > 1")
-def duplicate_hashes(spark, sf):
-    return rows.prepare(_relation(spark, sf)).where("status = 'pending'").groupBy("sequence_hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+def duplicate_hashes(spark, sf, relation=_relation):
+    return rows.prepare(relation(spark, sf)).where("status = 'pending'").groupBy("sequence_hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
 
 
 @query(f"WITH {REL} SELECT nsc_id, sequence_hash, count(*) AS n FROM rows_ WHERE status = 'pending' GROUP BY 1, 2 HAVING count(*) > 1")
-def within_group_duplicates(spark, sf):
-    return rows.prepare(_relation(spark, sf)).where("status = 'pending'").groupBy("nsc_id", "sequence_hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+def within_group_duplicates(spark, sf, relation=_relation):
+    return rows.prepare(relation(spark, sf)).where("status = 'pending'").groupBy("nsc_id", "sequence_hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
 
 
 @query(f"WITH {REL}, j AS (SELECT *, row_number() OVER (PARTITION BY sequence_hash ORDER BY source_row_index) AS rn FROM rows_ WHERE status = 'pending') SELECT source_row_index, sequence_hash, length(u)::BIGINT AS n FROM j WHERE rn = 1")
-def unique_jobs(spark, sf):
-    return rows.unique_jobs(rows.prepare(_relation(spark, sf))).select("source_row_index", "sequence_hash", F.col("actual_sequence_length").alias("n"))
+def unique_jobs(spark, sf, relation=_relation):
+    return rows.unique_jobs(rows.prepare(relation(spark, sf))).select("source_row_index", "sequence_hash", F.col("actual_sequence_length").alias("n"))
 
 
 @query(f"WITH {REL}, j AS (SELECT sequence_hash, any_value(length(u))::BIGINT AS n FROM rows_ WHERE status = 'pending' GROUP BY 1) SELECT row_number() OVER (ORDER BY n DESC, sequence_hash) AS place, sequence_hash, n FROM j ORDER BY n DESC, sequence_hash LIMIT 100")
@@ -144,20 +148,35 @@ def encode_order(spark, sf):
 
 
 @query(f"WITH {REL}, have AS (SELECT DISTINCT sequence_hash FROM rows_ JOIN labels ON source_row_index = doc_id WHERE status = 'pending'), f AS (SELECT r.*, row_number() OVER (PARTITION BY r.sequence_hash, r.status ORDER BY source_row_index) AS rn, h.sequence_hash IS NOT NULL AS have FROM rows_ r LEFT JOIN have h ON r.sequence_hash = h.sequence_hash) SELECT source_row_index, CASE WHEN status = 'failed' THEN 'failed' WHEN have THEN 'success' ELSE 'failed' END AS status, status = 'pending' AND have AND rn > 1 AS hit, CASE WHEN status = 'pending' AND NOT have THEN 'not_encoded' ELSE error_kind END AS error_kind FROM f")
-def resolved_status(spark, sf):
-    prepared = rows.prepare(_relation(spark, sf))
+def resolved_status(spark, sf, relation=_relation):
+    prepared = rows.prepare(relation(spark, sf))
     done = prepared.where("status = 'pending'").join(_t(spark, sf, "labels").select(F.col("doc_id").alias("source_row_index")), "source_row_index", "left_semi").select("sequence_hash")
     return rows.resolve(prepared, done).select("source_row_index", "status", F.col("embedding_cache_hit").alias("hit"), "error_kind")
 
 
 @query(f"WITH {REL} SELECT source_row_index, nsc_id, error_kind FROM rows_ WHERE status = 'failed'")
-def failed_rows(spark, sf):
-    return rows.prepare(_relation(spark, sf)).where("status = 'failed'").select("source_row_index", "nsc_id", "error_kind")
+def failed_rows(spark, sf, relation=_relation):
+    return rows.prepare(relation(spark, sf)).where("status = 'failed'").select("source_row_index", "nsc_id", "error_kind")
 
 
 @query(f"WITH {REL} SELECT status, coalesce(error_kind, '') AS error_kind, count(*) AS n FROM rows_ GROUP BY 1, 2")
-def status_histogram(spark, sf):
-    return rows.prepare(_relation(spark, sf)).groupBy("status", F.coalesce("error_kind", F.lit("")).alias("error_kind")).agg(F.count(F.lit(1)).alias("n"))
+def status_histogram(spark, sf, relation=_relation):
+    return rows.prepare(relation(spark, sf)).groupBy("status", F.coalesce("error_kind", F.lit("")).alias("error_kind")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def _whole_relation(spark, sf) -> DataFrame:
+    """As ``_relation``, with all letters of every text: nothing is cut or marred, and only a text without a letter is invalid."""
+    return _keyed(_sequences(spark, sf), F.col("raw"))
+
+
+WHOLE = f"""rel AS (SELECT doc_id AS source_row_index, CASE WHEN doc_id % 10 = 9 THEN NULL ELSE 'NSC-' || (doc_id % 50) END AS id, upper(coalesce(raw, '')) AS u FROM ({SEQ})),
+prep AS (SELECT source_row_index, coalesce(id, '') AS nsc_id, CASE WHEN id IS NULL THEN 'invalid_nsc' WHEN u = '' THEN 'invalid_sequence' END AS error_kind, u FROM rel),
+rows_ AS (SELECT *, CASE WHEN error_kind IS NULL THEN 'pending' ELSE 'failed' END AS status, CASE WHEN error_kind IS NULL THEN sha256(u) END AS sequence_hash FROM prep)"""
+
+#: Over whole texts; the queries above keep their cut relation, which their SQL has too.
+for _name in ["row_status", "dataset_statistics", "duplicate_hashes", "within_group_duplicates", "unique_jobs", "resolved_status", "failed_rows", "status_histogram"]:
+    _f, _sql = _registry[_name]
+    _registry[f"{_name}_whole"] = (partial(_f, relation=_whole_relation), _sql.replace(REL, WHOLE))
 
 
 @query("SELECT doc_id, source FROM documents WHERE source IN ('src3', 'src7')")
