@@ -15,6 +15,8 @@ from loomvec.llm.common import written
 from loomvec.llm.queries import SEQUENCE, held_out
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+#: Words of a shingle and percent of the union from which two documents are near duplicates.
+NEAR_WORDS, NEAR_PERCENT = 5, 80
 #: Posterior from which a predicted language counts as certain enough.
 LEAST_SCORE = 0.5
 #: Token shares after mixing. The quality stage has taken the noise, so none is asked for.
@@ -39,7 +41,7 @@ def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Rows that share a key count as one document: they stay or go together. Rows with a null key stay.
     """
-    gone = minhash.near_duplicates(docs).where(~F.col("kept")).select("doc_id").distinct()
+    gone = minhash.near_duplicates(docs, words=NEAR_WORDS, percent=NEAR_PERCENT).where(~F.col("kept")).select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
 
 

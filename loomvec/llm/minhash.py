@@ -29,6 +29,8 @@ WORDS, PERCENT = 3, 85
 #: Permutations (two values each) and values of a band. At similarity 0.85, 32 bands of 6
 #: values miss a pair with probability 3e-7.
 PERMUTATIONS, BAND = 96, 6
+#: Probability with which a pair at the asked similarity may be missed at most, and values of a band at most.
+MISS, BAND_MOST = 1e-6, 16
 #: Standard errors by which a signature may underestimate a pair that is still confirmed.
 ERRORS = 4.5
 #: Members of a block; two blocks are compared at a time.
@@ -108,6 +110,19 @@ def signatures(sets: list[np.ndarray], factors: np.ndarray, offsets: np.ndarray)
     return out
 
 
+def banding(percent: int = PERCENT, miss: float = MISS) -> tuple[int, int]:
+    """Permutations and values of a band: the longest band that misses a pair at ``percent`` with probability ``miss`` at most.
+
+    More permutations are taken where even bands of one value would miss more.
+    """
+    if not 1 <= percent <= 100:
+        raise ValueError("percent must be from 1 to 100")
+    share, count = percent / 100, PERMUTATIONS
+    while (1 - share) ** (2 * count) > miss:
+        count += PERMUTATIONS
+    return count, max(b for b in range(1, BAND_MOST + 1) if (1 - share**b) ** (2 * count // b) <= miss)
+
+
 def band_keys(values: np.ndarray, band: int = BAND) -> np.ndarray:
     """(sets, bands): one 64-bit key for each run of ``band`` values."""
     bands = values.shape[1] // band
@@ -122,9 +137,9 @@ def _signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
-def sketch(docs: DataFrame, key: str, text: str, words: int = WORDS) -> DataFrame:
+def sketch(docs: DataFrame, key: str, text: str, words: int = WORDS, count: int = PERMUTATIONS, band: int = BAND) -> DataFrame:
     """id, n_shingles, set_hash (two longs as text), band keys and a signature of 8 bits a value of every row."""
-    factors, offsets = permutations()
+    factors, offsets = permutations(count)
 
     def of(frames: Iterable) -> Iterator:
         import pandas as pd
@@ -134,7 +149,7 @@ def sketch(docs: DataFrame, key: str, text: str, words: int = WORDS) -> DataFram
             sets = [shingle_set(t if isinstance(t, str) else None, words) for t in frame[key + "_text"]]
             full = [i for i, s in enumerate(sets) if len(s)]
             values = signatures([sets[i] for i in full], factors, offsets) if full else np.empty((0, 2 * len(factors)), np.uint64)
-            keys, small = _signed(band_keys(values)), (_mixed(values) >> np.uint64(56)).astype(np.uint8)
+            keys, small = _signed(band_keys(values, band)), (_mixed(values) >> np.uint64(56)).astype(np.uint8)
             bands: list = [None] * len(sets)
             marks: list = [None] * len(sets)
             for j, i in enumerate(full):
@@ -333,7 +348,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     link with nothing. Rows that share a key count as one document; rows with a null
     key link with nothing, have a null component and are kept. Other columns are not used.
     """
-    base = written(sketch(docs, key, text, words), "sketch")
+    count, band = banding(percent)
+    base = written(sketch(docs, key, text, words, count, band), "sketch")
     full = base.where("id is not null and n_shingles > 0")
     nodes = written(full.groupBy("set_hash").agg(F.min_by(F.struct("id", "n_shingles", "bands", "mark"), "id").alias("x")).select("set_hash", "x.*"), "nodes")
     banded = nodes.select("id", F.explode("bands").alias("bucket"))
@@ -356,7 +372,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     rest = checkpointed(grouped.join(open_buckets, "bucket", "left_semi"))
     small = compact_sets(sets.join(rest.select("id").distinct(), "id", "left_semi"))
     rest = rest.join(nodes.select("id", "n_shingles", "mark").join(small, "id", "left"), "id")
-    pairs = written(block_pairs(rest, 2 * PERMUTATIONS, percent), "pairs")
+    pairs = written(block_pairs(rest, 2 * count, percent), "pairs")
     second = checkpointed(confirmed(pairs.join(stars, ["a", "b"], "left_anti"), sets, percent))
     final = written(components(reduce(DataFrame.union, [first, second])), "components") if second.take(1) else found
     classes = same.join(final.withColumnRenamed("id", "node"), "node", "left").select("set_hash", F.coalesce("component", "node").alias("component"))
