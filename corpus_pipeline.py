@@ -19,8 +19,10 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 NEAR_WORDS, NEAR_PERCENT = 5, 80
 #: Posterior from which a predicted language counts as certain enough.
 LEAST_SCORE = 0.5
-#: Token shares after mixing. The quality stage has taken the noise, so none is asked for.
-MIXTURE = {"prose": 0.99, "toxic": 0.01, "noise": 0.0}
+#: Token shares after mixing. Only prose has a target, so no scarce domain sets how much stays.
+MIXTURE = {"prose": 1.0, "toxic": 0.0, "noise": 0.0}
+#: Posterior of prose from which a document stays whatever its rate.
+CLEAN = 0.5
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,9 +48,9 @@ def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents thinned to the target weights; none repeats."""
+    """Clean documents whole, others thinned to the target weights; none repeats."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return mixing.mix(docs, labels, MIXTURE, most=1.0).where("mix.copies > 0").select(*COLUMNS)
+    return mixing.mix(docs, labels, MIXTURE, most=1.0).where((F.col("mix.copies") > 0) | (F.col("mix.posteriors")[0] >= CLEAN)).select(*COLUMNS)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

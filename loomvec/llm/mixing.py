@@ -133,6 +133,31 @@ def fit_rates(stats: DataFrame, targets: list[float], most: float, steps: int =
         rate = rate_after(p, grads[done:], ridge, most, start)
 
 
+def goals(held: list[float], n: float, targets: dict[str, float], budget: float | None = None, most: float = 4.0) -> list[float]:
+    """Token totals that ``mix`` aims at, from each domain's tokens and the number of all."""
+    # what no document holds can't be handed out: the other domains share its weight
+    weights = [w if t > 0 else 0.0 for t, w in zip(held, targets.values(), strict=True)]
+    weights = [w / (sum(weights) or 1.0) for w in weights]
+    if budget is not None:
+        total = budget * n
+    elif most <= 1:
+        total = min([t * most / w for t, w in zip(held, weights, strict=True) if w], default=0.0)
+    else:
+        total = n
+    return [w * total for w in weights]
+
+
+def totals(mixed: DataFrame, targets: dict[str, float] | None = None, budget: float | None = None, most: float = 4.0) -> DataFrame:
+    """One row a domain: tokens held, aimed at, reached by rates and reached by copies, from what ``mix`` gave for the same settings."""
+    targets = targets or TARGETS
+    share = lambda i, x: F.coalesce(F.sum(F.col("mix.tokens") * F.col("mix.posteriors")[i] * x), F.lit(0.0))
+    factors = {"held": F.lit(1), "rates": F.col("mix.rate"), "copies": F.col("mix.copies")}
+    got = mixed.agg(F.coalesce(F.sum("mix.tokens"), F.lit(0)).cast("double").alias("n"), *(share(i, x).cast("double").alias(f"{f}{i}") for i in range(len(targets)) for f, x in factors.items())).head()
+    goal = goals([got[f"held{i}"] for i in range(len(targets))], got["n"], targets, budget, most)
+    rows = [(d, got[f"held{i}"], goal[i], got[f"rates{i}"], got[f"copies{i}"]) for i, d in enumerate(targets)]
+    return mixed.sparkSession.createDataFrame(rows, "domain string, held_tokens double, target_tokens double, rate_tokens double, copied_tokens double")
+
+
 def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, budget: float | None = None, most: float = 4.0, text: str = "text", key: str = "doc_id", keep: list[str] | None = None) -> DataFrame:
     """All rows of ``docs`` (``keep``: these columns only) with a struct ``mix``: tokens (words), posteriors, rate, copies.
 
@@ -156,16 +181,8 @@ def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = N
     stats = rows.select("mix.tokens", "mix.posteriors")
     k = len(targets)
     all_tokens = stats.agg(F.coalesce(F.sum("tokens"), F.lit(0)).cast("double").alias("n"), *(F.coalesce(F.sum(F.col("tokens") * F.col("posteriors")[i]), F.lit(0.0)).alias(f"t{i}") for i in range(k))).head()
-    # what no document holds can't be handed out: the other domains share its weight
-    held = [w if all_tokens[f"t{i}"] > 0 else 0.0 for i, w in enumerate(targets.values())]
-    weights = [w / (sum(held) or 1.0) for w in held]
-    if budget is not None:
-        total = budget * all_tokens["n"]
-    elif most <= 1:
-        total = min([all_tokens[f"t{i}"] * most / w for i, w in enumerate(weights) if w], default=0.0)
-    else:
-        total = all_tokens["n"]
-    grads, _ = fit_rates(stats, [w * total for w in weights], most)
+    goal = goals([all_tokens[f"t{i}"] for i in range(k)], all_tokens["n"], targets, budget, most)
+    grads, _ = fit_rates(stats, goal, most)
     rate = rate_after(F.col("mix.posteriors"), grads, RIDGE, most, F.lit(1.0))
     out = rows.withColumn("mix", F.col("mix").withField("rate", rate))
     whole_part = F.floor("mix.rate")

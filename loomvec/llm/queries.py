@@ -36,6 +36,11 @@ def op3_mix_domains(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", m["tokens"].alias("n_tokens"), *shares, F.round(m["rate"], 6).alias("rate"), m["copies"].alias("copies"))
 
 
+def op3_mix_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens that op3's rates and copies reach in each domain, against its targets."""
+    return mixing.totals(mixing.mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), keep=["doc_id"]))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts of all documents and the verdict of the likelihood ratio."""
     out = quality.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -101,7 +106,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    made = [op1_pack_documents, op2_token_files, op3_mix_domains, op4_quality_rules, op5_near_duplicates, op6_warc_salvage, op7_hilbert_shards, op8_language_id, op9_nearest_vectors, op10_license_scan, pipeline]
+    made = [op1_pack_documents, op2_token_files, op3_mix_domains, op3_mix_totals, op4_quality_rules, op5_near_duplicates, op6_warc_salvage, op7_hilbert_shards, op8_language_id, op9_nearest_vectors, op10_license_scan, pipeline]
     return {f.__name__: f for f in made}
 
 

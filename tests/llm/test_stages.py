@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline as P
-from loomvec.llm import minhash
+from loomvec.llm import minhash, mixing
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -31,3 +31,27 @@ def test_bands_follow_the_percentage(percent):
     count, band = minhash.banding(percent)
     assert (1 - (percent / 100) ** band) ** (2 * count // band) <= 1e-6
     assert minhash.banding(85) == (96, 6)
+
+
+def test_scarce_toxic_documents_do_not_set_the_budget(spark, tmp_path):
+    rng = np.random.default_rng(5)
+    made = lambda words: " ".join(words[i] for i in rng.integers(0, len(words), 60))
+    clean, toxic = [f"c{i}" for i in range(40)], [f"t{i}" for i in range(40)]
+    docs = frame(spark, [(i, made(clean)) for i in range(600)] + [(600, made(toxic))])
+    labels = [(i, 1, 0) for i in range(0, 600, 3)] + [(600, 1, 1)]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"file://{tmp_path}/labels.parquet")
+    assert {r["doc_id"] for r in P.mixing_stage(spark, docs, f"file://{tmp_path}").collect()} == set(range(600))
+
+
+def test_totals_reached_are_reported(spark):
+    docs = frame(spark, [(i, "good fine nice " * 20) for i in range(50)] + [(50, "bad awful vile " * 20)])
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(20)] + [(50, 1, 1)], "doc_id long, quality int, toxic int")
+    targets = {"prose": 0.5, "toxic": 0.5, "noise": 0.0}
+    mixed = mixing.mix(docs, labels, targets)
+    got = {r["domain"]: r for r in mixing.totals(mixed, targets).collect()}
+    rows = [r["mix"] for r in mixed.collect()]
+    for k, d in enumerate(["prose", "toxic"]):
+        assert got[d]["target_tokens"] == pytest.approx(1530)
+        assert got[d]["rate_tokens"] == pytest.approx(sum(r["tokens"] * r["posteriors"][k] * r["rate"] for r in rows))
+        assert got[d]["copied_tokens"] == pytest.approx(sum(r["tokens"] * r["posteriors"][k] * r["copies"] for r in rows))
+    assert got["toxic"]["rate_tokens"] < 0.5 * got["toxic"]["target_tokens"]  # rates end at 4: the target is missed, and it shows
