@@ -179,6 +179,16 @@ for _name in ["row_status", "dataset_statistics", "duplicate_hashes", "within_gr
     _registry[f"{_name}_whole"] = (partial(_f, relation=_whole_relation), _sql.replace(REL, WHOLE))
 
 
+@query(f"WITH {WHOLE}, j AS (SELECT sequence_hash, any_value(length(u))::BIGINT AS n FROM rows_ WHERE status = 'pending' GROUP BY 1) SELECT row_number() OVER (ORDER BY n DESC, sequence_hash) AS place, sequence_hash, n FROM j")
+def encode_order_whole(spark, sf):
+    """All jobs in order; places by range partitions and offsets."""
+    from ..llm.common import global_positions
+
+    jobs = rows.unique_jobs(rows.prepare(_whole_relation(spark, sf))).select("sequence_hash", F.col("actual_sequence_length").alias("n"))
+    placed, _ = global_positions(jobs, [F.desc("n"), F.col("sequence_hash")])
+    return placed.select((F.col("position") + 1).alias("place"), "sequence_hash", "n")
+
+
 @query("SELECT doc_id, source FROM documents WHERE source IN ('src3', 'src7')")
 def subset_by_ids(spark, sf):
     wanted = spark.createDataFrame([("src3",), ("src7",)], "source string")
@@ -271,6 +281,13 @@ def store_merge(spark, sf):
     return store.merge(disk, memory, "doc_id", "v", ["branches"]).select("doc_id", "v", F.array_join("branches", ",").alias("branches"))
 
 
+@query("WITH b AS (SELECT doc_id, quality::BIGINT AS v, 'disk' AS branch, 0 AS p FROM labels UNION ALL SELECT doc_id, n_chars, lang, 1 FROM documents) SELECT doc_id, arg_max(v, p) AS v, array_to_string(list_sort(list_distinct(list(branch))), ',') AS branches FROM b GROUP BY doc_id")
+def store_merge_whole(spark, sf):
+    disk = _t(spark, sf, "labels").select("doc_id", F.col("quality").cast("long").alias("v"), F.array(F.lit("disk")).alias("branches"))
+    memory = _t(spark, sf, "documents").select("doc_id", F.col("n_chars").alias("v"), F.array("lang").alias("branches"))
+    return store.merge(disk, memory, "doc_id", "v", ["branches"]).select("doc_id", "v", F.array_join("branches", ",").alias("branches"))
+
+
 @query("SELECT lang, array_to_string(list_sort(list_distinct(list(source))), ',') AS sources FROM documents GROUP BY lang")
 def provenance_union(spark, sf):
     return _t(spark, sf, "documents").groupBy("lang").agg(F.array_join(F.array_sort(F.collect_set("source")), ",").alias("sources"))
@@ -388,6 +405,14 @@ def wide_embedding(spark, sf):
     return w.select("vec_id", "label", *(F.round(F.col(f"emb_{i}").cast("double"), 6).alias(f"emb_{i}") for i in range(1, 9)))
 
 
+@query("SELECT vec_id, label, " + ", ".join(f"round(embedding[{i}]::DOUBLE, 6) AS emb_{i}" for i in range(1, DIM + 1)) + " FROM embeddings")
+def wide_embedding_whole(spark, sf):
+    from ..sources.sinks import wide
+
+    w = wide(_t(spark, sf, "embeddings"), "embedding", DIM)
+    return w.select("vec_id", "label", *(F.round(F.col(f"emb_{i}").cast("double"), 6).alias(f"emb_{i}") for i in range(1, DIM + 1)))
+
+
 @query("SELECT count(*) AS groups, 0::BIGINT AS mismatches FROM (SELECT DISTINCT label FROM embeddings)")
 def validator_recompute(spark, sf):
     """Group means by fixed columns against means by element rows."""

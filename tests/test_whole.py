@@ -1,5 +1,7 @@
 """Queries over whole tables against small tables that a cut would change."""
 
+import hashlib
+
 import pytest
 
 from loomvec.plans import queries as Q
@@ -27,3 +29,17 @@ def test_whole_texts_are_hashed_and_measured(spark, sf):
     assert [r["n"] for r in run(spark, sf, "duplicate_hashes_whole")] == [2]
     assert [r["max_length"] for r in run(spark, sf, "dataset_statistics_whole")] == [5001]
     assert {r["source_row_index"] for r in run(spark, sf, "resolved_status_whole") if r["status"] == "success"} == {0, 2}
+
+
+def test_all_jobs_are_ordered_all_documents_merged_all_components_written(spark, tmp_path):
+    at = f"file://{tmp_path}"
+    texts = ["".join(chr(65 + int(d)) for d in str(10**6 + i)) + "A" * (i % 13) for i in range(300)]
+    spark.createDataFrame([(i, t, "en", "src1", len(t)) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{at}/documents.parquet")
+    spark.createDataFrame([(1, 1, 0), (999, 0, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{at}/labels.parquet")
+    spark.createDataFrame([(0, 0, [float(x) for x in range(64)])], "vec_id long, label int, embedding array<float>").write.parquet(f"{at}/embeddings.parquet")
+    jobs = {(hashlib.sha256(t.encode()).hexdigest(), len(t)) for i, t in enumerate(texts) if i % 10 != 9}
+    want = [(n, h, m) for n, (h, m) in enumerate(sorted(jobs, key=lambda x: (-x[1], x[0])), 1)]
+    assert sorted((r["place"], r["sequence_hash"], r["n"]) for r in run(spark, at, "encode_order_whole")) == want and len(want) > 100
+    merged = {r["doc_id"]: (r["v"], r["branches"]) for r in run(spark, at, "store_merge_whole")}
+    assert merged == {i: (len(t), "disk,en" if i == 1 else "en") for i, t in enumerate(texts)} | {999: (0, "disk")}
+    assert list(run(spark, at, "wide_embedding_whole")[0])[2:] == [float(x) for x in range(64)]
