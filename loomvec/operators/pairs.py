@@ -73,3 +73,87 @@ def cosine_statistics(pairs: DataFrame, threshold: float = 0.995, digits: int =
     out = pairs.agg(F.count(F.lit(1)).alias("pairs"), F.min(c).alias("min"), F.max(c).alias("max"), F.avg(c).alias("mean"), F.expr("percentile_disc(0.5) within group (order by cosine)").alias("median"), F.avg((c >= threshold).cast("double")).alias("collapsed"), p.alias("p"))
     named = [F.round(n, digits).alias(n) for n in ("min", "max", "mean", "median", "collapsed")]
     return out.select("pairs", *named, *(F.round(F.col("p")[i], digits).alias(f"p{int(x * 100)}") for i, x in enumerate(points)))
+
+
+def drawn_pairs(keys: DataFrame, key: str, most: int, seed: int = 0) -> DataFrame:
+    """``most`` distinct pairs a < b of distinct keys, drawn by a hash of seed and draw number; all, if there are no more.
+
+    The work grows with keys plus draws, not with their square.
+    """
+    from ..llm.common import global_positions
+
+    placed, n = global_positions(keys.select(F.col(key).alias("key")), [F.col("key")])
+    if n * (n - 1) // 2 <= 4 * most:
+        return sampled_pairs(keys, key, most, seed)
+    i, j = (F.pmod(F.xxhash64(F.lit(seed), F.col("id"), F.lit(x)), F.lit(n)) for x in (0, 1))
+    draws = keys.sparkSession.range(3 * most).select("id", F.least(i, j).alias("i"), F.greatest(i, j).alias("j")).where("i < j")
+    kept = draws.groupBy("i", "j").agg(F.min("id").alias("id")).orderBy("id").limit(most)
+    for x, y in (("i", "a"), ("j", "b")):
+        kept = kept.join(placed.select(F.col("position").alias(x), F.col("key").alias(y)), x)
+    return kept.select("a", "b")
+
+
+#: Bins of [-1, 1], and of each bin that holds a wanted rank.
+BINS = 1 << 16
+
+
+def all_pairs_statistics(rows: DataFrame, key: str, vector: str, threshold: float = 0.995, digits: int = 6, block: int = BLOCK) -> DataFrame:
+    """``cosine_statistics`` of all pairs, by block sums and histograms; percentiles to 2 / ``BINS`` ** 2."""
+    import numpy as np
+
+    n = max(1, -(-rows.count() // block))
+    tagged = rows.select(F.col(key).alias("key"), F.col(vector).alias("vector"), F.pmod(F.xxhash64(key), F.lit(n)).cast("int").alias("own"))
+    dealt = tagged.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(n - 1)))).select(F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "key", "vector")
+
+    def histogram(wanted=None):
+        """Bins, or finer bins of the wanted ones, with count, least, largest, sum and count from the threshold."""
+
+        def of(frame):
+            import pandas as pd
+
+            i, j = int(frame["i"].iloc[0]), int(frame["j"].iloc[0])
+            units, keys = [], []
+            for s in (frame[frame["own"] == x] for x in (i, j)):
+                m = np.array(s["vector"].tolist(), dtype=float).reshape(len(s), -1)
+                units.append(m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-12))
+                keys.append(s["key"].to_numpy())
+            c = np.empty(0)
+            if len(keys[0]) and len(keys[1]):
+                c = units[0] @ units[1].T
+                c = c[keys[0][:, None] < keys[1][None, :]] if i == j else c.ravel()
+            x = np.clip((c + 1) / 2, 0, 1) * BINS
+            at = np.minimum(x.astype(np.int64), BINS - 1)
+            if wanted is not None:
+                inside = np.isin(at, wanted)
+                c, x, at = c[inside], x[inside], at[inside]
+                at = at * BINS + np.minimum(((x - at) * BINS).astype(np.int64), BINS - 1)
+            bins, where, count = np.unique(at, return_inverse=True, return_counts=True)
+            low, high = np.full(len(bins), np.inf), np.full(len(bins), -np.inf)
+            np.minimum.at(low, where, c)
+            np.maximum.at(high, where, c)
+            sums = np.bincount(where, weights=c, minlength=len(bins))
+            above = np.bincount(where, weights=c >= threshold, minlength=len(bins)).astype(np.int64)
+            return pd.DataFrame({"bin": bins, "n": count, "low": low, "high": high, "sum": sums, "above": above})
+
+        found = dealt.groupBy("i", "j").applyInPandas(of, "bin long, n long, low double, high double, sum double, above long")
+        return found.groupBy("bin").agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"), F.sum("sum").alias("sum"), F.sum("above").alias("above")).orderBy("bin").toPandas()
+
+    points = [0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99]
+    names = ["min", "max", "mean", "median", "collapsed", *(f"p{int(x * 100)}" for x in points)]
+    coarse = histogram()
+    total, values = int(coarse["n"].sum()), [None] * len(names)
+    if total:
+        ends = np.cumsum(coarse["n"].to_numpy())
+        places = [x * (total - 1) for x in points]
+        ranks = sorted({(total + 1) // 2 - 1, *(int(p) for p in places), *(min(int(p) + 1, total - 1) for p in places)})
+        held = np.searchsorted(ends, ranks, side="right")
+        fine = histogram(np.unique(coarse["bin"].to_numpy()[held]))
+        value = {}
+        for r, h in zip(ranks, held, strict=True):
+            part = fine[fine["bin"] // BINS == coarse["bin"].iloc[h]]
+            k = np.searchsorted(np.cumsum(part["n"].to_numpy()), r - (ends[h] - coarse["n"].iloc[h]), side="right")
+            value[r] = float(part["sum"].iloc[k] / part["n"].iloc[k])
+        between = [value[int(p)] + (p - int(p)) * (value[min(int(p) + 1, total - 1)] - value[int(p)]) for p in places]
+        values = [float(coarse["low"].min()), float(coarse["high"].max()), float(coarse["sum"].sum() / total), value[(total + 1) // 2 - 1], float(coarse["above"].sum() / total), *between]
+    out = rows.sparkSession.createDataFrame([(total, *values)], "pairs long, " + ", ".join(f"{x} double" for x in names))
+    return out.select("pairs", *(F.round(x, digits).alias(x) for x in names))

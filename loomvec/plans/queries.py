@@ -375,6 +375,24 @@ def pairwise_cosine_stats(spark, sf):
 _ALL = _COS.replace(" AND a.label = b.label", "")
 
 
+def _drawn_pairs_cosine(spark, sf):
+    """20,000 drawn pairs, without a cross join; the hash isn't in SQL."""
+    e = _t(spark, sf, "embeddings")
+    s = pairs.drawn_pairs(e, "vec_id", 20000)
+    for x in ("a", "b"):
+        s = s.join(e.select(F.col("vec_id").alias(x), F.col("embedding").alias(f"v{x}")), x)
+    return s.select("a", "b", F.round(V.cosine(F.col("va"), F.col("vb")), 6).alias("cosine"))
+
+
+def _pairwise_cosine_stats_whole(spark, sf):
+    """All pairs, across labels too."""
+    return pairs.all_pairs_statistics(_t(spark, sf, "embeddings"), "vec_id", "embedding")
+
+
+_registry["drawn_pairs_cosine"] = (_drawn_pairs_cosine, None)
+_registry["pairwise_cosine_stats_whole"] = (_pairwise_cosine_stats_whole, _registry["pairwise_cosine_stats"][1].replace(_COS, _ALL))
+
+
 @query(f"SELECT a, b, round(c, 6) AS cosine FROM ({_ALL} ORDER BY c DESC, a DESC, b DESC LIMIT 10)")
 def nearest_pairs(spark, sf):
     return pairs.block_top(_t(spark, sf, "embeddings"), "vec_id", "embedding", 10).withColumn("cosine", F.round("cosine", 6))

@@ -2,6 +2,7 @@
 
 import hashlib
 
+import numpy as np
 import pytest
 
 from loomvec.plans import queries as Q
@@ -43,3 +44,19 @@ def test_all_jobs_are_ordered_all_documents_merged_all_components_written(spark,
     merged = {r["doc_id"]: (r["v"], r["branches"]) for r in run(spark, at, "store_merge_whole")}
     assert merged == {i: (len(t), "disk,en" if i == 1 else "en") for i, t in enumerate(texts)} | {999: (0, "disk")}
     assert list(run(spark, at, "wide_embedding_whole")[0])[2:] == [float(x) for x in range(64)]
+
+
+def test_pairs_across_labels_count_and_draws_are_distinct(spark, tmp_path):
+    rng = np.random.default_rng(3)
+    v = rng.normal(size=(700, 64))
+    v[1] = v[0]  # collapsed, under another label
+    spark.createDataFrame([(i, i % 7, [float(x) for x in v[i]]) for i in range(700)], "vec_id long, label int, embedding array<double>").write.parquet(f"file://{tmp_path}/embeddings.parquet")
+    u = v / np.linalg.norm(v, axis=1, keepdims=True)
+    c = (u @ u.T)[np.triu_indices(700, 1)]
+    got = run(spark, f"file://{tmp_path}", "pairwise_cosine_stats_whole")[0]
+    assert got["pairs"] == 700 * 699 // 2 and got["max"] == 1.0 and got["collapsed"] == round(1 / len(c), 6)
+    for p in (1, 5, 25, 50, 75, 95, 99):
+        assert abs(got[f"p{p}"] - np.percentile(c, p)) < 1e-6
+    drawn = run(spark, f"file://{tmp_path}", "drawn_pairs_cosine")
+    assert len({(r["a"], r["b"]) for r in drawn}) == len(drawn) == 20000 and all(r["a"] < r["b"] for r in drawn)
+    assert all(abs(r["cosine"] - u[r["a"]] @ u[r["b"]]) < 1e-6 for r in drawn[:500])
