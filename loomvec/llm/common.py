@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+#: log2 of the bits of a table that keeps most rows without a counterpart out of a shuffle.
+FILTER_BITS = 22
 #: White space that separates words: space and U+0009 to U+000D.
 SPACE_RUN, WORD_CHAR = "[ \\t\\n\\x0B\\f\\r]+", "[^ \\t\\n\\x0B\\f\\r]"
 
@@ -17,13 +19,17 @@ SPACE_RUN, WORD_CHAR = "[ \\t\\n\\x0B\\f\\r]+", "[^ \\t\\n\\x0B\\f\\r]"
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share, from ``spark.checkpoint.dir``.
 
-    Only where the setting is absent (local sessions, tests) is one made.
+    Only where the setting is absent is one made, and only for a local master: on a
+    cluster a folder of one machine would lose what others need. What is written there is
+    read as long as a result is; its owner clears the folder.
     """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if found:
         return found.rstrip("/")
     known = spark.sparkContext.getCheckpointDir()
     if known is None:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
         known = spark.sparkContext.getCheckpointDir()
     return known.rstrip("/")
@@ -60,9 +66,34 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def constant_floats(values: list[float]) -> Column:
-    """An array constant of four digits each; the optimiser folds the parse. For tables of a fixed size only."""
-    return F.split(F.lit(",".join(f"{v:.4g}" for v in values)), ",").cast("array<double>")
+def table_of(row: DataFrame, column: str, label: str) -> Column:
+    """The one value of ``column`` in ``row``, as a scalar subquery: for tables of a fixed size.
+
+    The row is written first, so it is made once, and plans hold a reference to it
+    instead of its numbers. Subqueries can't stand in the argument of a lambda function:
+    add the value as a column and use that.
+    """
+    return written(row.select(column), label).select(column).scalar()
+
+
+def _bit(value: Column, bits: int) -> tuple[Column, Column]:
+    place = F.xxhash64(value).bitwiseAND(F.lit((1 << bits) - 1))
+    return (place / 32).cast("int"), F.call_function("shiftleft", F.lit(1).cast("long"), (place % 32).cast("int"))
+
+
+def bit_table(wanted: DataFrame, name: str, bits: int = FILTER_BITS) -> Column:
+    """A bit for every hash of a wanted value, in an array of a fixed size."""
+    word, bit = _bit(F.col(name), bits)
+    found = wanted.select(word.alias("w"), bit.alias("b")).groupBy("w").agg(F.bit_or("b").alias("b"))
+    dense = wanted.sparkSession.range(0, 1 << (bits - 5), 1, 4).select(F.col("id").cast("int").alias("w")).join(found, "w", "left")
+    one = dense.agg(F.sort_array(F.collect_list(F.struct("w", F.coalesce("b", F.lit(0)).alias("b")))).alias("rows"))
+    return table_of(one.select(F.transform("rows", lambda r: r["b"]).alias("bits")), "bits", "bits")
+
+
+def in_filter(value: Column, table: Column, bits: int = FILTER_BITS) -> Column:
+    """True for every value in the table and few others: keeps texts out of a shuffle."""
+    word, bit = _bit(value, bits)
+    return F.get(table, word).bitwiseAND(bit) != 0
 
 
 def word_list(text: Column) -> Column:
@@ -93,13 +124,13 @@ def publish(path: str, write: Callable) -> None:
 
 
 def global_positions(df: DataFrame, order: list, parts: int | None = None) -> tuple[DataFrame, int]:
-    """Rows in one global order with ``position`` from 0, and their number.
+    """Rows in one global order with ``position`` from 0 (a column of this name is replaced), and their number.
 
     Range partitioning and a sort in each partition; the driver sees one count a
     partition. The sorted rows are checkpointed first, as range bounds are sampled
     again whenever a plan runs again.
     """
-    spark = df.sparkSession
+    df = df.drop("position")
     by = df.repartitionByRange(parts, *order) if parts else df.repartitionByRange(*order)
     rows = checkpointed(by.sortWithinPartitions(*order))
     counts = {r["p"]: r["n"] for r in rows.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()}

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD_CHAR, checkpointed, constant_floats, let, word_list
+from .common import WORD_CHAR, let, table_of, word_list
 
 #: log2 of the number of buckets.
 BUCKET_BITS = 17
@@ -111,7 +111,7 @@ def fit_ratio(docs: DataFrame, trusted: DataFrame, bits: int = BUCKET_BITS, smoo
         "rows",
         lambda r: (F.log((r["target"] + smoothing) / (F.col("n_target") + spread)) - F.log((r["raw"] + smoothing) / (F.col("n_raw") + spread))).cast("float"),
     )
-    return checkpointed(one.select(F.when(F.col("n_target") == 0, F.array_repeat(F.lit(0.0).cast("float"), size)).otherwise(ratio).alias("ratios")))
+    return one.select(F.when(F.col("n_target") == 0, F.array_repeat(F.lit(0.0).cast("float"), size)).otherwise(ratio).alias("ratios"))
 
 
 def mean_ratio(text: Column, ratios: Column, bits: int = BUCKET_BITS) -> Column:
@@ -120,7 +120,6 @@ def mean_ratio(text: Column, ratios: Column, bits: int = BUCKET_BITS) -> Column:
     def total(h: Column, m: Column) -> Column:
         return F.aggregate(h, F.lit(0.0), lambda a, x: a + F.get(m, _bucket(x, bits)))
 
-    # the table is bound once, so that plans hold (and print) it once
     return let(ratios, lambda m: let(_run_hashes(text), lambda h: (total(h, m) + total(_bigrams(h), m)) / F.greatest(2 * F.size(h), F.lit(1))))
 
 
@@ -131,9 +130,9 @@ def judge(docs: DataFrame, ratios: DataFrame, threshold: float = THRESHOLD, bits
     stay as they are, repeated ones too; an input column named ``verdict`` is replaced.
     """
     c = base_counts(F.col(text))
-    score = mean_ratio(F.col(text), constant_floats(ratios.head()["ratios"]), bits)
+    score = mean_ratio(F.col(text), F.col("_ratios"), bits)
     measured = F.struct(*(v.alias(k) for k, v in c.items()), score.alias("score"))
-    out = docs.withColumn("verdict", measured)
+    out = docs.withColumn("_ratios", table_of(ratios, "ratios", "ratios")).withColumn("verdict", measured).drop("_ratios")
     v = F.col("verdict")
     n, r = v["word_counts"]["n"], v["word_counts"]["r"]
     failed = (n < LEAST_WORDS) | (100 * r > REPEAT_PERCENT * n)
