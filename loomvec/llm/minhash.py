@@ -6,8 +6,9 @@
    are band keys.
 3. In each bucket every member is compared with the bucket's smallest node on full
    sets; links found make first components.
-4. Buckets that still span several components are compared in blocks of bounded size,
-   by signature first; pairs across components that may link are confirmed on full sets.
+4. Buckets that still span several components are compared in blocks of bounded size, of
+   different components only, by signature first; pairs that may link are confirmed on
+   full sets.
 5. Components are closed by alternating large-star and small-star steps.
 
 Nothing is capped: blocks replace one large group by many bounded ones.
@@ -22,7 +23,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, written
+from .common import bit_table, checkpointed, in_filter, written
 
 #: Words of a shingle; percent of the union that the intersection of linked sets reaches.
 WORDS, PERCENT = 3, 85
@@ -36,9 +37,7 @@ ERRORS = 4.5
 #: Members of a block; two blocks are compared at a time.
 BLOCK = 256
 #: Words whose hashes a worker remembers.
-CACHE_WORDS = 500_000
-#: log2 of the bits of the table that keeps most texts without a candidate out of the second pass.
-FILTER_BITS = 22
+CACHE_WORDS = 1 << 16
 #: Sets of at most so many shingles are compared whole in a block.
 SMALL = 1024
 #: Shingles hashed at a time.
@@ -181,23 +180,11 @@ def full_sets(docs: DataFrame, wanted: DataFrame, key: str, text: str, words: in
                 sets = [shingle_set(t if isinstance(t, str) else None, words) for t in part["text"]]
                 yield pd.DataFrame({"id": part["id"], "set_hash": [xxh3_128_hexdigest(s.tobytes()) for s in sets], "shingles": list(map(_signed, sets))})
 
-    rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")).where(_in_filter("id", wanted))
+    rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")).where(in_filter(F.col("id"), bit_table(wanted, "id")))
     sets = rows.mapInPandas(of, "id long, set_hash string, shingles array<long>")
     return sets.join(wanted.select("id"), "id", "left_semi").dropDuplicates(["id", "set_hash"])
 
 
-def _in_filter(name: str, wanted: DataFrame, bits: int = FILTER_BITS) -> Column:
-    """True for every wanted id and few others, by a bit table of a fixed size: keeps texts out of the shuffle."""
-    place = F.xxhash64(name).bitwiseAND(F.lit((1 << bits) - 1))
-    word = (place / 32).cast("int")
-    bit = F.call_function("shiftleft", F.lit(1).cast("long"), (place % 32).cast("int"))
-    table = [0] * (1 << (bits - 5))
-    for r in wanted.select(word.alias("w"), bit.alias("b")).groupBy("w").agg(F.bit_or("b").alias("b")).collect():
-        table[r["w"]] = r["b"]
-    words = F.split(F.lit(",".join(map(str, table))), ",").cast("array<bigint>")
-    return F.get(words, word).bitwiseAND(bit) != 0
-
-
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Pairs (a, b) whose full sets reach the similarity."""
     a = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
@@ -271,21 +258,41 @@ def shared_counts(left: list[bytes], right: list[bytes]) -> np.ndarray:
     return out
 
 
+def dealt_blocks(members: DataFrame, block: int = BLOCK) -> DataFrame:
+    """Rows of members (bucket, id, component, ...) for each pair (i, j) of blocks that they have to be compared in; ``own`` is i or j.
+
+    A component of more than ``block`` members in a bucket is dealt to blocks of its own,
+    smaller ones share blocks. Blocks of one component never meet, so a stray member
+    beside a component of m makes m + m / block rows.
+    """
+    size = F.count(F.lit(1))
+    comps = members.groupBy("bucket", "component").agg(size.alias("c"))
+    shared = comps.where(F.col("c") <= block).groupBy("bucket").agg(F.sum("c").alias("small"))
+    comps = comps.join(shared, "bucket", "left").select(
+        "bucket", "component", F.when(F.col("c") > block, F.col("component")).alias("group"), F.ceil(F.when(F.col("c") > block, F.col("c")).otherwise(F.col("small")) / block).cast("int").alias("blocks")
+    )
+    groups = comps.groupBy("bucket", "group").agg(F.max("blocks").alias("other_blocks")).withColumnRenamed("group", "other_group")
+    rows = members.join(comps, ["bucket", "component"]).join(groups, "bucket")
+    rows = rows.where(F.col("group").isNull() | ~F.col("group").eqNullSafe(F.col("other_group")))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("other_blocks") - 1)))
+    own = F.xxhash64("group", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    rows = rows.withColumn("own", own).withColumn("other", F.xxhash64("other_group", "other"))
+    return rows.select("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "n_shingles", "mark", "small", "component")
+
+
 def block_pairs(members: DataFrame, values: int, percent: int = PERCENT, block: int = BLOCK, errors: float = ERRORS) -> DataFrame:
     """Pairs (a, b) of members (bucket, id, n_shingles, mark, small, component) across components that may link.
 
-    A bucket of m members makes ceil(m / block) blocks; each pair of blocks is one
-    bounded group, compared in numpy: by size, by signature, and where both sets are small
-    by their 32-bit hashes, which can only overstate what they share (but for one
-    collision within a set, allowed for).
+    Each pair of blocks that ``dealt_blocks`` gives is one bounded group, compared in
+    numpy: by size, by signature, and where both sets are small by their 32-bit hashes,
+    which can only overstate what they share (but for one collision within a set,
+    allowed for). A signature of n values falls ``ERRORS`` standard errors short of a
+    linked pair's similarity with a probability of about 3e-6 (one side of the normal
+    distribution); such a pair is lost unless another bucket's first member links both.
     """
     share = percent / 100
     least = share - errors * (share * (1 - share) / values) ** 0.5
-    counts = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("m"))
-    rows = members.join(counts, "bucket").withColumn("blocks", F.ceil(F.col("m") / block).cast("int"))
-    rows = rows.withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.select("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "n_shingles", "mark", "small", "component")
+    rows = dealt_blocks(members, block)
 
     def compare(i, j, own, ids, sizes, comps, marks, small):
         """Places (k, m) of pairs that may link."""
@@ -376,7 +383,9 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     second = checkpointed(confirmed(pairs.join(stars, ["a", "b"], "left_anti"), sets, percent))
     final = written(components(reduce(DataFrame.union, [first, second])), "components") if second.take(1) else found
     classes = same.join(final.withColumnRenamed("id", "node"), "node", "left").select("set_hash", F.coalesce("component", "node").alias("component"))
-    out = base.select("id", "n_shingles", "set_hash").join(classes, "set_hash", "left")
-    component = F.coalesce("component", "id")
-    component = F.when(F.col("id").isNotNull(), component)
+    rows = base.select("id", "n_shingles", "set_hash")
+    # rows without a set need no class, and would be one key of the join
+    out = rows.where("set_hash is not null").join(classes, "set_hash", "left").select("id", "n_shingles", "component")
+    out = out.union(rows.where("set_hash is null").select("id", "n_shingles", F.lit(None).cast("long")))
+    component = F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))
     return out.select(F.col("id").alias(key), "n_shingles", component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))

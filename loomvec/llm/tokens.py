@@ -2,7 +2,8 @@
 
 A byte-level BPE encodes each pre-token alone, so ids of a text are the ids of its
 pre-tokens in order. Texts of plain Latin characters are split here and each distinct
-word goes to the tokenizer once; any other text goes to the tokenizer whole.
+word goes to the tokenizer once; any other text, and any that holds one of the
+vocabulary's added tokens, goes to the tokenizer whole.
 """
 
 from __future__ import annotations
@@ -14,8 +15,8 @@ from operator import not_
 
 import numpy as np
 
-#: Words whose ids a worker remembers at most (about 150 MB).
-CACHE_WORDS = 700_000
+#: Words whose ids a worker remembers at most (about 100 MB).
+CACHE_WORDS = 500_000
 #: Texts that are encoded at a time.
 SLICE = 256
 
@@ -40,7 +41,7 @@ class BpeEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.size = self.tokenizer.get_vocab_size()
         self.known: dict[str, bytes] = {}
 
@@ -68,7 +69,7 @@ class BpeEncoder:
         known = self.known
         for at in range(0, len(texts), SLICE):
             some = texts[at : at + SLICE]
-            split = [(_pieces(t) if _plain(t) else None) if t else [] for t in some]
+            split = [(_pieces(t) if _plain(t) and not any(a in t for a in self.added) else None) if t else [] for t in some]
             raws = [list(map(known.get, w)) if w else w for w in split]
             # places of words that aren't known yet: ids of a word are never empty
             gaps = [list(compress(range(len(r)), map(not_, r))) if r else () for r in raws]
