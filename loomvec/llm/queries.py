@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import ann, langid, licenses, minhash, mixing, packing, quality, sharding, token_files, tokens, warc
-from .common import scratch
+from . import pipeline as stages
+from .common import scratch, written
+from .pipeline import SEQUENCE
 
-#: Length of packed and of stored sequences.
-SEQUENCE = 1024
 SHARDS = 24
 
 
@@ -32,7 +32,7 @@ def op3_mix_domains(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Posteriors, rates and copies of all documents for the default target weights."""
     out = mixing.mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), keep=["doc_id"])
     m = F.col("mix")
-    shares = [F.round(m["posteriors"][i], 6).alias(f"p_{d}") for i, d in enumerate(mixing.TARGETS)]
+    shares = [F.round(m["posteriors"][i], 6).alias(f"p_{d}") for i, d in enumerate(mixing.DOMAINS)]
     return out.select("doc_id", m["tokens"].alias("n_tokens"), *shares, F.round(m["rate"], 6).alias("rate"), m["copies"].alias("copies"))
 
 
@@ -54,10 +54,13 @@ def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_warc_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All pages written as WARC records, and read back by the salvage reader."""
-    marked = warc.mark_revisits(table(spark, sf_dir, "pages"))
-    archives = warc.write_archives(marked, scratch(spark, "warc"))
-    records = warc.read_archives(spark, archives).where("kind = 'record'")
+    """All pages written as WARC records, and read back by the salvage reader, which must find no gap."""
+    pages = table(spark, sf_dir, "pages")
+    archives = warc.write_archives(warc.mark_revisits(pages, uri="url" if "url" in pages.columns else None), scratch(spark, "warc"))
+    found = written(warc.read_archives(spark, archives), "records")
+    if gap := found.where("kind = 'gap'").head():
+        raise RuntimeError(f"a gap of {gap['length']} bytes in {gap['path']}: {gap['reason']}")
+    records = found.where("kind = 'record'")
     return records.select(warc.page_of(F.col("record_id")).alias("page_id"), "payload_bytes", "payload_digest", "record_type", warc.page_of(F.col("refers_to")).alias("refers_to"))
 
 
@@ -74,16 +77,11 @@ def op7_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "curve")
 
 
-def held_out(key: str = "doc_id"):
-    """Rows that aren't learned from: crc32 of the key as text leaves 2 by 4. A null key is learned from."""
-    return F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % 4 == 2, F.lit(False))
-
-
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Languages of all documents by naive Bayes over character n-grams."""
     docs = table(spark, sf_dir, "documents")
-    out = langid.predict(docs.select("doc_id", "text"), langid.fit(docs, ~held_out()))
-    return out.select("doc_id", held_out().alias("held_out"), F.col("language.lang_pred").alias("lang_pred"), F.round("language.score", 6).alias("score"))
+    out = langid.predict(docs.select("doc_id", "text"), langid.fit(docs, ~langid.held_out()))
+    return out.select("doc_id", langid.held_out().alias("held_out"), F.col("language.lang_pred").alias("lang_pred"), F.round("language.score", 6).alias("score"))
 
 
 def op9_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,10 +97,8 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages of corpus_pipeline.py."""
-    import corpus_pipeline
-
-    return corpus_pipeline.run(spark, sf_dir)
+    """All stages of the corpus pipeline."""
+    return stages.run(spark, sf_dir)
 
 
 def queries() -> dict:
@@ -143,6 +139,17 @@ FROM r
 """
 
 
+#: Inner products in double precision, added in the order of the components, as the operator's.
+OP9_SQL = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_reduce(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2]), lambda a, x: a + x) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM s)
+SELECT query_id, n::INTEGER AS rank, vec_id, score FROM r WHERE n <= 20
+"""
+
+
 def op10_sql() -> str:
     def quoted(x: str) -> str:
         return "'" + x.replace("'", "''") + "'"
@@ -168,4 +175,4 @@ FROM m
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_near_duplicates": OP5_SQL, "op6_warc_salvage": OP6_SQL, "op10_license_scan": op10_sql()}
+    return {"op5_near_duplicates": OP5_SQL, "op6_warc_salvage": OP6_SQL, "op9_nearest_vectors": OP9_SQL, "op10_license_scan": op10_sql()}

@@ -54,9 +54,12 @@ def shard(rows: DataFrame, cells: list[Column], ties: list[str], shards: int, bi
 
     Rows are ordered by curve index, then by ``ties``. Row i of n goes to shard
     floor(i * shards / n); ``slot`` counts from 0 in each shard. Repeated rows take
-    slots of their own; with fewer rows than shards some stay empty.
+    slots of their own; with fewer rows than shards some stay empty, and an empty table
+    gives no rows. Null cells and nulls in ties come first. Cells come from columns, so
+    very long texts cost no more than their size. Input columns named ``curve``, ``shard``,
+    ``slot`` or ``position`` are replaced (``position``: dropped).
     """
-    keyed = rows.withColumn("curve", curve_index(cells, bits))
+    keyed = rows.withColumn("curve", curve_index([F.coalesce(c, F.lit(0)) for c in cells], bits)).drop("shard", "slot")
     placed, total = global_positions(keyed, ["curve", *ties])
     exact = F.expr(f"position * {shards} div {max(total, 1)}")
     first = F.expr(f"(shard * {total} + {shards} - 1) div {shards}")

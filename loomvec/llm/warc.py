@@ -1,9 +1,10 @@
 """WARC archives: a writer with revisit records and a reader that salvages.
 
-Every record is a gzip member of its own. The reader checks each member (gzip trailer,
-version line, content length, block digest); after a failed check it searches for the
-next offset at which a member or a version line starts a record that passes, goes on
-from there, and logs the bytes between as a gap.
+Every record is written as a gzip member of its own; the reader also takes members of
+many records and plain records. It checks each member (gzip trailer) and each record in
+it (version line, headers, content length, block digest); after a failed check it
+searches for the next offset at which a member or a version line starts a record that
+passes, goes on from there, and logs the bytes between as a gap.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fs_of, publish
+from .common import bit_table, fs_of, in_filter, publish, written
 
 VERSION = b"WARC/1.1"
 MEMBER = b"\x1f\x8b\x08"
@@ -25,18 +26,22 @@ MEMBER = b"\x1f\x8b\x08"
 LEAST_BYTES = 1000
 #: Compressed bytes after which a writer begins a new archive.
 ARCHIVE_BYTES = 64 << 20
-#: Bytes of a read.
+#: Bytes of a read, and of what is inflated at a time.
 CHUNK = 1 << 20
-#: Headers of a record end within so many bytes.
-HEADER_MOST = 1 << 16
+#: Tasks that archives are dealt to at most.
+READ_TASKS = 4096
 _START = re.compile(rb"\x1f\x8b\x08|WARC/1\.[01]\r?\n")
+_VERSION_LINE = re.compile(rb"WARC/1\.[01]\r?\n")
 
 
 class Record(NamedTuple):
+    """``offset`` and ``length`` are of the member (of a plain record: its own), ``inner`` is the place in the inflated member."""
+
     offset: int
     length: int
     headers: dict[str, str]
     block: bytes
+    inner: int = 0
 
 
 class Gap(NamedTuple):
@@ -45,6 +50,14 @@ class Gap(NamedTuple):
     reason: str
 
 
+class Broken(ValueError):
+    """A failed check; ``end`` is where the record ends if its frame is whole."""
+
+    def __init__(self, reason: str, end: int | None = None):
+        super().__init__(reason)
+        self.end = end
+
+
 def record_bytes(headers: list[tuple[str, str]], block: bytes) -> bytes:
     lines = [VERSION, *(f"{k}: {v}".encode() for k, v in headers), b"Content-Length: %d" % len(block)]
     return b"\r\n".join(lines) + b"\r\n\r\n" + block + b"\r\n\r\n"
@@ -55,29 +68,6 @@ def member(raw: bytes, level: int = 4) -> bytes:
     return made.compress(raw) + made.flush()
 
 
-def parse_record(raw: bytes) -> tuple[dict[str, str], bytes, int]:
-    """Headers, block and bytes used of the record at the start of ``raw``; ValueError if a check fails."""
-    end = raw.find(b"\r\n\r\n", 0, HEADER_MOST)
-    if not raw.startswith(b"WARC/1.") or end < 0:
-        raise ValueError("no version line or end of headers")
-    headers = {}
-    for line in raw[:end].split(b"\r\n")[1:]:
-        name, colon, value = line.partition(b":")
-        if not colon:
-            raise ValueError("a header without a colon")
-        headers[name.decode("latin-1").strip().lower()] = value.decode("utf-8", "replace").strip()
-    if not re.fullmatch(r"\d{1,15}", headers.get("content-length", "")):
-        raise ValueError("no content length")
-    size = int(headers["content-length"])
-    block = raw[end + 4 : end + 4 + size]
-    if len(block) < size or raw[end + 4 + size : end + 8 + size] != b"\r\n\r\n":
-        raise ValueError("the block is cut short or doesn't end where it should")
-    digest = headers.get("warc-block-digest", "")
-    if digest.startswith("sha1:") and hashlib.sha1(block).hexdigest() != digest[5:].lower():
-        raise ValueError("the block has another digest")
-    return headers, block, end + 8 + size
-
-
 class _Source:
     """Byte ranges of a file, through one window that moves."""
 
@@ -85,55 +75,166 @@ class _Source:
         self.file, self.size, self.at, self.held = file, size, 0, b""
 
     def read(self, start: int, count: int) -> bytes:
+        count = min(count, self.size - start)
         if not (self.at <= start and start + count <= self.at + len(self.held)):
             self.file.seek(start)
             self.at, self.held = start, self.file.read(max(count, CHUNK))
         return self.held[start - self.at : start - self.at + count]
 
 
-def _at(source: _Source, offset: int) -> Record:
-    """The record that starts at ``offset``, compressed or plain; ValueError if a check fails."""
-    if source.read(offset, 3) == MEMBER:
-        inflate, raw, at = zlib.decompressobj(31), [], offset
+def _inflated(source: _Source, offset: int) -> Iterator[tuple[bytes, int]]:
+    """Pieces of the member at ``offset``, each with the end of the input used so far; Broken if it is damaged."""
+    inflate, at = zlib.decompressobj(31), offset
+    while not inflate.eof:
+        some = source.read(at, CHUNK) if at < source.size else b""
+        if not some:
+            raise Broken("gzip: the member is cut short")
+        at += len(some)
+        while some and not inflate.eof:
+            try:
+                out = inflate.decompress(some, CHUNK)
+            except zlib.error as e:
+                raise Broken(f"gzip: {e}") from None
+            some = inflate.unconsumed_tail
+            yield out, at - len(inflate.unused_data) - len(some)
+
+
+class _Member:
+    """Forward reads of an inflated member of a known size, or of what can be inflated of a damaged one."""
+
+    def __init__(self, source: _Source, offset: int, size: int, held: bytes | None):
+        self.pieces, self.at, self.size = (iter(()) if held is not None else _inflated(source, offset)), 0, size
+        self.held = bytearray(held or b"")
+
+    def read(self, start: int, count: int) -> bytes:
+        count = min(count, self.size - start)
+        while self.at + len(self.held) < start + count:
+            piece = next(self.pieces, None)
+            if piece is None:
+                break
+            self.held += piece[0]
+            if (gone := min(start - self.at, len(self.held))) > CHUNK:
+                del self.held[:gone]
+                self.at += gone
+        return bytes(self.held[start - self.at : start - self.at + count])
+
+
+def _headers(data: _Source | _Member, at: int) -> tuple[dict[str, str], int]:
+    """Headers (names in lower case, folded lines joined) of the record at ``at`` and the start of its block."""
+    size = 4096
+    while True:
+        head = data.read(at, size)
+        if not _VERSION_LINE.match(head):
+            raise Broken("no version line")
+        end = head.find(b"\r\n\r\n")
+        lines = (head[:end] if end >= 0 else head).split(b"\r\n")[1:]
+        # the last line may go on beyond what was read; any other that can't be a header ends the search
+        if any(b":" not in x and x[:1] not in (b" ", b"\t") for x in (lines if end >= 0 else lines[:-1])):
+            raise Broken("a header without a colon")
+        if end >= 0:
+            break
+        if len(head) < size:
+            raise Broken("no end of headers")
+        size *= 2
+    headers, last = {}, None
+    for line in lines:
+        if line[:1] in (b" ", b"\t"):
+            if last is None:
+                raise Broken("the first header is a folded line")
+            headers[last] = f"{headers[last]} {line.decode('utf-8', 'replace').strip()}".strip()
+        else:
+            name, _, value = line.partition(b":")
+            last = name.decode("latin-1").strip().lower()
+            headers[last] = value.decode("utf-8", "replace").strip()
+    return headers, at + end + 4
+
+
+def record_at(data: _Source | _Member, at: int) -> tuple[dict[str, str], bytes, int]:
+    """Headers, block and end of the record that starts at ``at``; Broken if a check fails."""
+    headers, start = _headers(data, at)
+    if not re.fullmatch(r"\d{1,15}", headers.get("content-length", "")):
+        raise Broken("no content length")
+    size = int(headers["content-length"])
+    if start + size + 4 > data.size:
+        raise Broken("the block is cut short")
+    block = data.read(start, size)
+    if len(block) < size or data.read(start + size, 4) != b"\r\n\r\n":
+        raise Broken("the block is cut short or doesn't end where it should")
+    digest = headers.get("warc-block-digest", "")
+    if digest.startswith("sha1:") and hashlib.sha1(block).hexdigest() != digest[5:].lower():
+        raise Broken("the block has another digest", start + size + 4)
+    return headers, block, start + size + 4
+
+
+def _member_records(source: _Source, offset: int) -> Iterator[Record | Gap]:
+    """Records of the member at ``offset`` and what it holds besides, the end of the member last as an empty Gap; Broken if it is damaged.
+
+    The trailer is checked before any record is given out. Of a damaged member, records
+    whose block digest holds are given out before the error.
+    """
+    held, size, end, damage = [], 0, offset, None
+    try:
+        for piece, end in _inflated(source, offset):
+            size += len(piece)
+            if size <= CHUNK:
+                held.append(piece)
+    except Broken as e:
+        damage = e
+    data, at = _Member(source, offset, size, b"".join(held) if size <= CHUNK else None), 0
+    length = end - offset
+    while at < size:
         try:
-            while not inflate.eof and at < source.size:
-                some = source.read(at, min(CHUNK, source.size - at))
-                raw.append(inflate.decompress(some))
-                at += len(some)
-        except zlib.error as e:
-            raise ValueError(f"gzip: {e}") from None
-        if not inflate.eof:
-            raise ValueError("gzip: the member is cut short")
-        whole = b"".join(raw)
-        headers, block, used = parse_record(whole)
-        if used != len(whole):
-            raise ValueError("the member holds more than a record")
-        return Record(offset, at - len(inflate.unused_data) - offset, headers, block)
-    head = source.read(offset, min(HEADER_MOST, source.size - offset))
-    found = re.search(rb"(?i)\r\ncontent-length:[ \t]*(\d{1,15})", head)
-    end = head.find(b"\r\n\r\n")
-    if not head.startswith(b"WARC/1.") or not found or end < 0:
-        raise ValueError("no member and no version line")
-    headers, block, used = parse_record(source.read(offset, min(end + 8 + int(found[1]), source.size - offset)))
-    return Record(offset, used, headers, block)
+            headers, block, to = record_at(data, at)
+        except Broken as e:
+            if damage is None:
+                yield Gap(offset, length, f"in the member: {e}")
+            to = e.end
+            while to is None or to < size and not _VERSION_LINE.match(data.read(to, 16)):
+                at = at + 1 if to is None else to + 1
+                some = data.read(at, CHUNK)
+                found = _VERSION_LINE.search(some)
+                to = at + found.start() if found else size if at + len(some) >= size else at + len(some) - 17
+        else:
+            if damage is None or "warc-block-digest" in headers:
+                yield Record(offset, length, headers, block, at)
+        at = to
+    if damage is not None:
+        raise damage
+    if not size:
+        yield Gap(offset, length, "in the member: nothing")
+    yield Gap(end, 0, "")
 
 
 def salvage(file, size: int) -> Iterator[Record | Gap]:
-    """All records that pass the checks, and the gaps between them, in order."""
+    """All records that pass the checks, and the gaps between them, in order.
+
+    A plain record whose frame is whole but whose digest fails is a gap to its end, so that
+    nothing inside its payload is taken for a record.
+    """
     source, at, gap, why = _Source(file, size), 0, None, ""
     while at < size:
+        to, error = None, None
         try:
-            record = _at(source, at)
-        except ValueError as e:
-            if gap is None:
-                gap, why = at, str(e)
-            at = _next_start(source, at + 1)
-            continue
-        if gap is not None:
-            yield Gap(gap, at - gap, why)
-            gap = None
-        yield record
-        at += record.length
+            if source.read(at, 3) == MEMBER:
+                for x in _member_records(source, at):
+                    if isinstance(x, Gap) and not x.length:
+                        to = x.offset
+                        break
+                    if gap is not None:
+                        yield Gap(gap, at - gap, why)
+                        gap = None
+                    yield x
+            else:
+                headers, block, to = record_at(source, at)
+                if gap is not None:
+                    yield Gap(gap, at - gap, why)
+                    gap = None
+                yield Record(at, to - at, headers, block)
+        except Broken as e:
+            to, error = e.end, str(e)
+        if error is not None and gap is None:
+            gap, why = at, error
+        at = _next_start(source, at + 1) if to is None else to
     if gap is not None:
         yield Gap(gap, size - gap, why)
 
@@ -141,7 +242,7 @@ def salvage(file, size: int) -> Iterator[Record | Gap]:
 def _next_start(source: _Source, at: int) -> int:
     """The next offset that looks like a member or a version line; the size if there is none."""
     while at < source.size:
-        some = source.read(at, min(CHUNK, source.size - at))
+        some = source.read(at, CHUNK)
         if found := _START.search(some):
             return at + found.start()
         if at + len(some) >= source.size:
@@ -150,22 +251,33 @@ def _next_start(source: _Source, at: int) -> int:
     return source.size
 
 
-def mark_revisits(pages: DataFrame, least: int = LEAST_BYTES, key: str = "page_id", payload: str = "html") -> DataFrame:
-    """``key``, ``payload`` (binary, null: empty), ``digest`` and ``refers_to``.
+def mark_revisits(pages: DataFrame, least: int = LEAST_BYTES, key: str = "page_id", payload: str = "html", uri: str | None = None) -> DataFrame:
+    """``key``, ``payload`` (binary, null: empty), ``uri`` (null without the column), ``digest`` and ``refers_to``.
 
     Of rows with equal payloads of at least ``least`` bytes, those with the largest key
     hold it; the others refer to that key. Rows with a null key refer to the largest
-    key, or hold their payload if there is none.
+    key, or hold their payload if there is none. Other columns are not used. Only payloads
+    that occur twice (and few others) are shuffled; a frequent one is a skewed side that
+    adaptive execution splits. Very long payloads are one row each.
     """
-    rows = pages.select(F.col(key).cast("long").alias(key), F.coalesce(F.col(payload).cast("binary"), F.lit(b"")).alias("payload"))
+    target = F.col(uri).cast("string") if uri else F.lit(None).cast("string")
+    rows = pages.select(F.col(key).cast("long").alias(key), F.coalesce(F.col(payload).cast("binary"), F.lit(b"")).alias("payload"), target.alias("uri"))
     rows = rows.withColumn("digest", F.sha1("payload"))
-    held = rows.where(F.octet_length("payload") >= least).groupBy("digest").agg(F.max(key).alias("holder"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    refers = F.when(F.octet_length("payload") >= least, F.col("holder"))
-    return rows.join(held.drop("n"), "digest", "left").select(key, "payload", "digest", F.when(~F.col(key).eqNullSafe(refers), refers).alias("refers_to"))
+    large = F.octet_length("payload") >= least
+    held = rows.where(large).groupBy("digest").agg(F.max(key).alias("holder"), F.count(F.lit(1)).alias("n")).where("n > 1").select("digest", "holder")
+    held = written(held, "holders")
+    twice = large & in_filter(F.col("digest"), bit_table(held, "digest"))
+    columns = [key, "payload", "uri", "digest"]
+    some = rows.where(twice).join(held, "digest", "left").select(*columns, F.when(~F.col(key).eqNullSafe(F.col("holder")), F.col("holder")).alias("refers_to"))
+    return rows.where(~twice).select(*columns, F.lit(None).cast("long").alias("refers_to")).unionByName(some)
 
 
 def write_archives(pages: DataFrame, folder: str, key: str = "page_id", archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
-    """Write rows of ``mark_revisits`` to archives; one row an archive: path, records, bytes. Runs at once."""
+    """Write rows of ``mark_revisits`` to archives; one row an archive: path, records, bytes. Runs at once.
+
+    The list of archives is a table in the shared folder, not on the driver. An empty
+    table gives no archive.
+    """
 
     def write(frames: Iterable) -> Iterator:
         import pandas as pd
@@ -182,14 +294,14 @@ def write_archives(pages: DataFrame, folder: str, key: str = "page_id", archive_
             number, held, size = number + 1, [], 0
 
         for frame in frames:
-            for k, payload, digest, refers in zip(frame[key].astype("Int64"), frame["payload"], frame["digest"], frame["refers_to"].astype("Int64"), strict=True):
+            for k, payload, uri, digest, refers in zip(frame[key].astype("Int64"), frame["payload"], frame["uri"], frame["digest"], frame["refers_to"].astype("Int64"), strict=True):
                 revisit = refers is not pd.NA
                 block = b"" if revisit else bytes(payload)
                 name = "null" if k is pd.NA else int(k)
                 headers = [
                     ("WARC-Type", "revisit" if revisit else "response"),
                     ("WARC-Record-ID", f"<urn:page:{name}>"),
-                    ("WARC-Target-URI", f"urn:page:{name}"),
+                    ("WARC-Target-URI", " ".join(uri.split()) if isinstance(uri, str) and uri.strip() else f"urn:page:{name}"),
                     ("WARC-Date", "1970-01-01T00:00:00Z"),
                     ("WARC-Payload-Digest", f"sha1:{digest}"),
                     ("WARC-Payload-Length", str(len(payload))),
@@ -206,13 +318,11 @@ def write_archives(pages: DataFrame, folder: str, key: str = "page_id", archive_
             close()
         yield pd.DataFrame(done, columns=["path", "records", "bytes"]).astype({"path": object, "records": "int64", "bytes": "int64"})
 
-    spark = pages.sparkSession
-    found = pages.mapInPandas(write, "path string, records long, bytes long").collect()
-    return spark.createDataFrame([tuple(r) for r in found], "path string, records long, bytes long")
+    return written(pages.mapInPandas(write, "path string, records long, bytes long"), "archives")
 
 
 def read_archives(spark: SparkSession, archives: DataFrame, with_block: bool = False) -> DataFrame:
-    """Records and gaps of archives (a column ``path``), one archive a task at a time.
+    """Records and gaps of archives (a column ``path``), dealt to at most ``READ_TASKS`` tasks, one archive at a time.
 
     ``kind`` is record or gap; a gap has ``reason`` and no headers. ``payload_digest``
     and ``payload_bytes`` are those of the full payload; of a response, they are
@@ -248,7 +358,7 @@ def read_archives(spark: SparkSession, archives: DataFrame, with_block: bool = F
                             out, held = [], 0
                 yield frame_of(out)
 
-    n = max(1, archives.count())
+    n = max(1, min(archives.count(), READ_TASKS))
     return archives.select("path").repartition(n).mapInPandas(read, fields + (", block binary" if with_block else ""))
 
 
