@@ -1,3 +1,4 @@
+import hashlib
 import io
 import re
 from collections import Counter
@@ -7,6 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
+from tokenizers import Tokenizer
 
 from loomvec.llm import ann, curve, langid, licenses, minhash, mixing, packing, quality, sharding, token_files, tokens, warc
 
@@ -35,8 +37,10 @@ def empty(spark):
 def test_tokens_equal_the_tokenizer():
     e = tokens.encoder(tokens.default_vocabulary())
     texts = ["", None, "a\n\n b  c <|endoftext|> don't I'll\r\n x's 12a3 \x1c q", "日本 語　x", "é ²¼ “x”", prose(3, 500)]
+    texts += ["<|endoftext|>", "a<|endoftext|><|endoftext|>b", "x <|endoftext", prose(4, 50) + "<|endoftext|>"]
+    plain = Tokenizer.from_file(tokens.default_vocabulary())
     for t, ids in zip(texts, e.encode(texts), strict=True):
-        assert ids.tolist() == e.tokenizer.encode(t or "", add_special_tokens=False).ids
+        assert ids.tolist() == plain.encode(t or "", add_special_tokens=False).ids
 
 
 def test_packing_round_trip(docs, empty):
@@ -142,6 +146,65 @@ def test_warc_salvage():
     assert [type(x) for x in warc.salvage(io.BytesIO(b"junk" + plain + parts[0]), 4 + len(plain) + len(parts[0]))] == [warc.Gap, warc.Record, warc.Record]
 
 
+def named(i, block, *more):
+    return warc.record_bytes([("WARC-Type", "response"), ("WARC-Record-ID", f"<urn:page:{i}>"), ("WARC-Block-Digest", "sha1:" + hashlib.sha1(block).hexdigest()), *more], block)
+
+
+def found(raw):
+    """Ids of records, and the gaps."""
+    out = list(warc.salvage(io.BytesIO(raw), len(raw)))
+    return [int(x.headers["warc-record-id"][10:-1]) for x in out if isinstance(x, warc.Record)], [(x.offset, x.length) for x in out if isinstance(x, warc.Gap)]
+
+
+def test_warc_members_of_many_records():
+    big = [named(i, prose(i, 40_000).encode()) for i in range(20)]  # above one chunk when inflated
+    whole = warc.member(b"".join(big))
+    assert found(whole + warc.member(named(99, b"x"))) == ([*range(20), 99], [])
+    assert found(warc.member(named(1, b"a") + named(2, b"b"))) == ([1, 2], [])
+    inner = warc.member(named(1, b"a") + b"junk" + named(2, b"b"))
+    assert found(inner) == ([1, 2], [(0, len(inner))])
+    cut = found(whole[: len(whole) // 2] + warc.member(named(99, b"x")))
+    assert cut[0][-1] == 99 and cut[0][:-1] == list(range(len(cut[0]) - 1)) and len(cut[0]) > 5 and cut[1] == [(0, len(whole) // 2)]
+
+
+def test_warc_headers_long_and_folded():
+    long = named(1, b"abc", ("X-Long", "y" * 70_000))
+    assert found(long) == ([1], []) and found(warc.member(long)) == ([1], [])
+    raw = named(2, b"abc").replace(b"WARC-Type: response", b"WARC-Type: response\r\nX-Folded: one\r\n\t two")
+    got = list(warc.salvage(io.BytesIO(raw), len(raw)))
+    assert len(got) == 1 and got[0].headers["x-folded"] == "one two"
+
+
+def test_warc_payload_of_a_damaged_record_is_no_record():
+    inside = warc.record_bytes([("WARC-Type", "response"), ("WARC-Record-ID", "<urn:page:7>")], b"fake")
+    hurt = bytearray(named(1, b"..." + inside + b"..."))
+    hurt[hurt.index(b"...")] = 33
+    assert found(bytes(hurt) + named(2, b"ok")) == ([2], [(0, len(hurt))])
+    assert found(b"") == ([], []) and found(b"junk") == ([], [(0, 4)]) and found(warc.member(b"no record")) == ([], [(0, len(warc.member(b"no record")))])
+
+
+def test_warc_tables(spark, tmp_path, empty):
+    none = spark.createDataFrame([], "page_id long, html string, url string")
+    archives = warc.write_archives(warc.mark_revisits(none), f"file://{tmp_path}/e")
+    assert archives.count() == 0 and warc.read_archives(spark, archives).count() == 0
+    long = prose(1, 700_000)
+    pages = spark.createDataFrame([(1, long, "http://a/b c", "x"), (2, "s", None, "x"), (2, "s", None, "x")], "page_id long, html string, url string, digest string")
+    rows = warc.read_archives(spark, warc.write_archives(warc.mark_revisits(pages, uri="url"), f"file://{tmp_path}/l"), with_block=True).collect()
+    assert sorted((r["target"], bytes(r["block"]).decode()) for r in rows) == [("http://a/b c", long), ("urn:page:2", "s"), ("urn:page:2", "s")]
+
+
+def test_many_copies_and_one_stray(spark):
+    n = 100_000
+    members = spark.range(n + 1).select(F.lit(5).cast("long").alias("bucket"), "id", F.lit(10).cast("long").alias("n_shingles"), F.lit(b"m").alias("mark"), F.lit(None).cast("binary").alias("small"), F.when(F.col("id") == n, n).otherwise(0).cast("long").alias("component"))
+    rows = minhash.dealt_blocks(members)
+    assert rows.count() == n + -(-n // minhash.BLOCK) + 1  # the stray also meets itself
+    assert rows.groupBy("i", "j").count().agg(F.max("count")).head()[0] < 2 * minhash.BLOCK
+    small = members.where("id < 3000").union(members.where(f"id = {n}")).withColumn("component", F.when(F.col("id") % 1000 < 2, F.col("id")).otherwise(F.col("component")))
+    got = small.select("id", "component").collect()
+    want = sum(a["component"] != b["component"] for i, a in enumerate(got) for b in got[:i])
+    assert minhash.block_pairs(small, 8, 1).count() == want
+
+
 def test_warc_round_trip(spark, tmp_path):
     big = "x" * 1200
     pages = spark.createDataFrame([(1, big), (5, big), (3, big), (7, "s"), (8, "s"), (9, None), (None, big)], "page_id long, html string")
@@ -163,6 +226,14 @@ def test_shards(docs, empty):
     rows = docs.select("doc_id", sharding.hash_cell(F.col("lang")).alias("a"), sharding.size_cell(F.length("text")).alias("b"))
     got = sharding.shard(rows, [F.col("a"), F.col("b")], ["doc_id"], 7).collect()
     counts = Counter(r["shard"] for r in got)
+    cells = [(r["a"], r["b"]) for r in rows.collect()]
+    index = dict(zip(cells, curve.hilbert_index(np.array(cells), 8).tolist(), strict=True))
+    order = sorted(((index[r["a"], r["b"]], r["doc_id"]) for r in rows.collect()), key=lambda x: (x[0], x[1] is not None, x[1] or 0))
+    brute = [(c, d, i * 7 // len(order)) for i, (c, d) in enumerate(order)]
+    assert sorted(brute, key=repr) == sorted(((r["curve"], r["doc_id"], r["shard"]) for r in got), key=repr)
+    clash = rows.withColumns({"position": F.lit("p"), "slot": F.lit("s"), "shard": F.lit("t"), "curve": F.lit("c"), "other": F.lit("o")})
+    again = sharding.shard(clash, [F.col("a"), F.col("b")], ["doc_id"], 7)
+    assert again.select("doc_id", "shard", "slot").exceptAll(sharding.shard(rows, [F.col("a"), F.col("b")], ["doc_id"], 7).select("doc_id", "shard", "slot")).count() == 0 and "other" in again.columns
     assert len(got) == 50 and max(counts.values()) - min(counts.values()) <= 1
     for s, n in counts.items():
         assert sorted(r["slot"] for r in got if r["shard"] == s) == list(range(n))
@@ -179,6 +250,72 @@ def test_language(spark, docs, empty):
     assert langid.fit(empty, F.lit(True)).languages == []
 
 
+def brute_language(rows, text, longest=3):
+    """Multinomial naive Bayes over n-grams, hashed as the operator hashes, in plain Python."""
+    counts, priors = {}, Counter()
+    grams = lambda t: [b for g in langid.gram_buckets(langid.code_points([langid.framed(t)])[0]) for b in g.tolist()]
+    for t, lang in rows:
+        counts.setdefault(lang, Counter()).update(grams(t))
+        priors[lang] += 1
+    size = 1 << langid.BUCKET_BITS
+    total = {x: sum(c.values()) + size * langid.SMOOTHING for x, c in counts.items()}
+    logs = {x: np.log(priors[x] / len(rows)) + sum(np.log((counts[x][b] + langid.SMOOTHING) / total[x]) for b in grams(text)) for x in counts}
+    return max(sorted(logs), key=logs.get), logs
+
+
+def test_language_by_brute_force(spark):
+    rng = np.random.default_rng(8)
+    made = lambda letters, n: "".join(rng.choice(list(letters + "  "), n))
+    rows = [(made("abcde", 60), "x") for _ in range(30)] + [(made("cdefg", 60), "y") for _ in range(3)] + [(made("fghij", 60), "z") for _ in range(9)]
+    model = langid.fit(spark.createDataFrame([(i, t, lang, "") for i, (t, lang) in enumerate(rows)], DOCS), F.lit(True))
+    texts = [made(letters, n) + "a" for letters in ("abcde", "bcdef", "cdefg", "fghij") for n in (3, 20, 400)]
+    assert langid.score(texts, model)[0] == [brute_language(rows, t)[0] for t in texts]
+
+
+def test_a_rare_language_keeps_its_long_texts(spark):
+    rows = [("aba bab " * 5, "a")] * 4999 + [("bcb cbc " * 5, "b")]
+    model = langid.fit(spark.createDataFrame([(i, t, lang, "") for i, (t, lang) in enumerate(rows)], DOCS), F.lit(True))
+    names, scores = langid.score(["bcb cbc abc " * 400], model)
+    assert names == ["b"] and scores[0] >= 0.5
+
+
+def test_three_hundred_languages(spark):
+    word = lambda i: chr(0x4E00 + 2 * i) + chr(0x4E01 + 2 * i)
+    rows = [(i, f"{word(i)} " * 6, f"l{i:03d}", "") for i in range(300)]
+    model = langid.fit(spark.createDataFrame(rows, DOCS), F.lit(True))
+    assert len(model.languages) == 300 and langid.score([r[1] for r in rows], model)[0] == [r[2] for r in rows]
+
+
+def test_long_texts_are_scored_in_pieces(spark, monkeypatch):
+    model = langid.fit(spark.createDataFrame([(0, "the house of tree", "en", ""), (1, "le maison du arbre", "fr", "")], DOCS), F.lit(True))
+    texts = [prose(5, 900), "le arbre du " * 300, "x", "the"]
+    want = langid.score(texts, model)
+    monkeypatch.setattr(langid.batches, "__defaults__", (100,))
+    got = langid.score(texts, model)
+    assert got[0] == want[0] and np.allclose(got[1], want[1])
+
+
+def test_nearest_cases(spark):
+    schema = "vec_id long, embedding array<float>, rank int, position string"
+    rows = [(i, [float(i + 1), 1.0], 7, "p") for i in range(6)] + [(2, [9.0, 0.0], 7, "p"), (None, [5.0, 5.0], 7, "p"), (20, [1.0], 7, "p"), (21, [1.0, 2.0, 3.0], 7, "p"), (40, [], 7, "p"), (41, [float("inf"), 1.0], 7, "p"), (60, [0.0, -1.0], 7, "p")]
+    got = ann.nearest(spark.createDataFrame(rows, schema), F.col("vec_id") % 20 == 0, 3).orderBy("query_id", "rank").collect()
+    assert [tuple(r) for r in got] == [(0, 1, 2, 9.0), (0, 2, 5, 7.0), (0, 3, 4, 6.0), (60, 1, 2, 0.0), (60, 2, 0, -1.0), (60, 3, 1, -1.0)]
+    assert ann.nearest(spark.createDataFrame([], schema), F.lit(True), 3).count() == 0
+
+
+def test_windows_alone_find_neighbours_in_clusters(spark):
+    r = np.random.default_rng(4)
+    centres = r.standard_normal((80, 16)) * 3
+    x = centres[r.integers(0, 80, 3000)] + 0.3 * r.standard_normal((3000, 16))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    alone = {(g["query_id"], g["vec_id"]) for g in ann.nearest(frame, F.col("vec_id") % 20 == 0, 10, exact=False).collect()}
+    d = x @ x.T
+    np.fill_diagonal(d, -np.inf)
+    want = {(q, int(i)) for q in range(0, 3000, 20) for i in np.argsort(-d[q])[:10]}
+    assert len(alone & want) >= 0.9 * len(want)
+
+
 def test_nearest_is_exact(spark):
     r = np.random.default_rng(0)
     x = r.standard_normal((700, 16)).astype(np.float32)

@@ -8,8 +8,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-import corpus_pipeline as P
-from loomvec.llm import tokens
+from loomvec.llm import mixing, tokens
+from loomvec.llm import pipeline as P
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, verdict string, mix string"
 VOCABULARY = {"en": [a + b for a in "abcde" for b in "aeio"], "fr": [a + b + "u" for a in "lmnop" for b in "rstv"]}
@@ -111,29 +111,39 @@ def test_near_duplicates(stages):
     assert not {401, 402} & {r["doc_id"] for r in after}
 
 
+def mixing_words(text):
+    text = re.sub(f"({mixing.SYMBOL_RUN})", r" \1 ", (text or "").lower().translate(str.maketrans(mixing.MARKS, " " * len(mixing.MARKS))))
+    return words(text)
+
+
 def test_mixing(spark, tables):
     docs = spark.read.parquet(f"{tables}/documents.parquet")
     before, after = docs.collect(), P.mixing_stage(spark, docs, tables).collect()
-    vocabulary = sorted({w for r in before for w in words((r["text"] or "").lower())})
+    vocabulary = sorted({w for r in before for w in mixing_words(r["text"])})
     bucket = dict(spark.createDataFrame([(w,) for w in vocabulary], "w string").select("w", F.xxhash64("w").bitwiseAND(F.lit((1 << 17) - 1))).collect())
     draw = spark.createDataFrame([(r["doc_id"], r["text"]) for r in before], "doc_id long, text string").select((F.xxhash64("doc_id", "text").bitwiseAND(F.lit((1 << 20) - 1)) / float(1 << 20)).alias("d"))
     draw = np.array([r["d"] for r in draw.collect()])
     domain = {i: 1 if toxic else 0 if quality else 2 for i, quality, toxic in labelled() if i is not None and quality is not None}
+    held = [{bucket[w] for w in mixing_words(r["text"])} for r in before]
+    rows = np.zeros(3)
     counts = defaultdict(Counter)
-    for r in before:
+    for r, b in zip(before, held, strict=True):
         if r["doc_id"] in domain:
-            counts[domain[r["doc_id"]]].update({bucket[w] for w in words((r["text"] or "").lower())})
-    totals = [sum(counts[k].values()) for k in range(3)]
-    assert all(totals)
+            rows[domain[r["doc_id"]]] += 1
+            counts[domain[r["doc_id"]]].update(b)
+    assert all(rows)
     logs = np.zeros((len(before), 3))
-    for n, r in enumerate(before):
-        for k in (1, 2):
-            logs[n, k] = log(totals[k] / totals[0]) if totals[k] else -1000
-            for b in {bucket[w] for w in words((r["text"] or "").lower())}:
-                logs[n, k] += log((counts[k][b] + 0.5) / (totals[k] + (1 << 16))) - log((counts[0][b] + 0.5) / (totals[0] + (1 << 16)))
+    for k in (1, 2):
+        logs[:, k] = log(rows[k] / rows[0])
+        share = {x: [(counts[i][x] + 0.5) / (rows[i] + 1) for i in (0, k)] for x in set().union(*counts.values())}
+        for x, (a, b) in share.items():
+            ratio, error = log(b / (1 - b)) - log(a / (1 - a)), (1 / (counts[k][x] + 0.5) + 1 / (counts[0][x] + 0.5)) ** 0.5
+            if abs(ratio) >= mixing.RATIO_LEAST and abs(ratio) >= mixing.ERRORS_LEAST * error:
+                logs[:, k] += log((1 - b) / (1 - a))
+                logs[[x in h for h in held], k] += ratio
     p = np.exp(logs - logs.max(axis=1, keepdims=True))
     p /= p.sum(axis=1, keepdims=True)
-    n = np.array([len(words(r["text"])) for r in before], dtype=float)
+    n = np.array([len(mixing_words(r["text"])) for r in before], dtype=float)
     base = np.maximum(n @ p, 1e-9)
     weights = np.array(list(P.MIXTURE.values())) * (n @ p > 0)
     weights /= weights.sum()
@@ -149,9 +159,18 @@ def test_mixing(spark, tables):
     sure = np.abs(rate - draw) > 2e-3
     assert sure.mean() > 0.95
     got = pairs(after)
-    for r, kept, certain in zip(before, draw < rate, sure, strict=True):
+    for r, kept, certain in zip(before, (draw < rate) | (p[:, 0] >= P.CLEAN), sure, strict=True):
         assert not certain or (got[r["doc_id"], r["text"]] > 0) == kept
-    assert not {300 + i for i in range(10)} & {i for i, _ in got}
+    mixed = mixing.mix(docs, spark.read.parquet(f"{tables}/labels.parquet"))  # op3's own parameters
+    by_key = {(r["doc_id"], r["text"]): (q, int(size)) for r, q, size in zip(before, p, n, strict=True)}
+    weights = np.array(list(mixing.TARGETS.values()))
+    reached = np.zeros(3)
+    for r in mixed.collect():
+        q, size = by_key[r["doc_id"], r["text"]]
+        assert r["mix"]["tokens"] == size and np.allclose(r["mix"]["posteriors"], q, atol=1e-6)
+        assert 0 <= r["mix"]["rate"] <= 4 and r["mix"]["copies"] in (int(r["mix"]["rate"]), int(r["mix"]["rate"]) + 1)
+        reached += r["mix"]["rate"] * size * q
+    assert np.abs(reached - weights * n.sum()).max() < 0.02 * n.sum()
 
 
 def test_packing(spark, tables, stages):

@@ -3,8 +3,8 @@
 import numpy as np
 import pytest
 
-import corpus_pipeline as P
 from loomvec.llm import minhash, mixing
+from loomvec.llm import pipeline as P
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -55,3 +55,16 @@ def test_totals_reached_are_reported(spark):
         assert got[d]["rate_tokens"] == pytest.approx(sum(r["tokens"] * r["posteriors"][k] * r["rate"] for r in rows))
         assert got[d]["copied_tokens"] == pytest.approx(sum(r["tokens"] * r["posteriors"][k] * r["copies"] for r in rows))
     assert got["toxic"]["rate_tokens"] < 0.5 * got["toxic"]["target_tokens"]  # rates end at 4: the target is missed, and it shows
+
+
+def test_targets_go_by_name(spark):
+    docs = frame(spark, [(i, "good fine nice " * 20) for i in range(50)] + [(50 + i, "bad awful vile " * 20) for i in range(30)])
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(40)] + [(50 + i, 1, 1) for i in range(25)], "doc_id long, quality int, toxic int")
+    one = {"prose": 0.7, "toxic": 0.3, "noise": 0.0}
+    rates = [{r["doc_id"]: r["mix"]["rate"] for r in mixing.mix(docs, labels, t).collect()} for t in (one, dict(reversed(one.items())))]
+    assert rates[0] == rates[1] and rates[0][0] > 1 > rates[0][50]
+    with pytest.raises(ValueError, match="noise"):
+        mixing.mix(docs, labels, {"prose": 0.7, "toxic": 0.3})
+    with pytest.raises(ValueError, match="out of reach"):
+        mixing.mix(docs, labels, {"prose": 0.0, "toxic": 1.0, "noise": 0.0}, budget=4.0, off_most=0.05)
+    mixing.mix(docs, labels, one, off_most=0.05)
