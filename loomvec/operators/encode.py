@@ -27,11 +27,40 @@ class AlphabetEncoder:
         self.number = {c: first + i for i, c in enumerate(STANDARD + SPECIAL)}
 
     def states(self, chunk: str) -> np.ndarray:
-        return np.array([self.number[c] for c in chunk], dtype=float)[:, None] + 1 + 0.01 * np.arange(self.width)
+        try:
+            numbers = [self.number[c] for c in chunk]
+        except KeyError as e:
+            raise RowError(f"symbol {e} isn't encoded") from None
+        return np.array(numbers, dtype=float)[:, None] + 1 + 0.01 * np.arange(self.width)
+
+
+class OneHotEncoder:
+    """A real, if simple, encoder: residue states are unit vectors, so the pooled vector is the composition."""
+
+    def __init__(self, alphabet: str = STANDARD + SPECIAL):
+        self.width, self.place = len(alphabet), {c: i for i, c in enumerate(alphabet)}
+
+    def states(self, chunk: str) -> np.ndarray:
+        try:
+            return np.eye(self.width)[[self.place[c] for c in chunk]]
+        except KeyError as e:
+            raise RowError(f"symbol {e} isn't encoded") from None
+
+
+class RowError(ValueError):
+    """One sequence can't be encoded; any other error ends the job."""
+
+
+def residue_mean(states: np.ndarray) -> np.ndarray:
+    """Mean over the residues of one chunk."""
+    if states.ndim != 2 or not len(states):
+        raise ValueError("states must be a matrix of at least one residue")
+    return states.mean(axis=0)
 
 
 def pool(encoder: Encoder, sequence: str, size: int, overlap: int) -> tuple[np.ndarray, int]:
-    """Mean over positions of the mean over the chunks that cover each; and the chunks."""
+    """Mean over positions of the mean over the chunks that cover each; and the forward passes (chunks)."""
+    overlap = min(overlap, size - 1)  # a forced size may be below the configured overlap
     total, cover, start, chunks = np.zeros((len(sequence), encoder.width)), np.zeros(len(sequence)), 0, 0
     while True:
         end = min(start + size, len(sequence))
@@ -47,7 +76,12 @@ def pool(encoder: Encoder, sequence: str, size: int, overlap: int) -> tuple[np.n
 
 
 def encode(jobs: DataFrame, encoder: Encoder, size: int, overlap: int, key: str = "sequence_hash", sequence: str = "sequence", element: str = "float") -> DataFrame:
-    """key, embedding, num_chunks, error, error_kind of distinct sequences; a failed one has no vector."""
+    """key, embedding, num_chunks (forward passes), error, error_kind of distinct sequences; a failed one has no vector.
+
+    A ``RowError`` fails its row; any other error, such as states of another shape, ends the job.
+    """
+    if size < 1 or overlap < 0:
+        raise ValueError("a chunk must hold a residue and an overlap can't be negative")
 
     kind = {"float": np.float32, "double": np.float64}[element]
 
@@ -61,7 +95,7 @@ def encode(jobs: DataFrame, encoder: Encoder, size: int, overlap: int, key: str
                     v, n = pool(encoder, s, size, overlap)
                     good = np.isfinite(v).all() and np.linalg.norm(v) > 0
                     out.append((k, v.astype(kind), n, None, None) if good else (k, None, n, "vector is not finite or zero", "embedding_quality"))
-                except (KeyError, ValueError) as e:
+                except RowError as e:
                     out.append((k, None, None, str(e), "inference_error"))
             frame = pd.DataFrame(out, columns=[key, "embedding", "num_chunks", "error", "error_kind"])
             frame["num_chunks"] = frame["num_chunks"].astype("Int32")

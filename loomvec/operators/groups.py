@@ -46,3 +46,43 @@ def project(rows: DataFrame, group: str, vector: str, weight: list[list[float]],
 
     kind = dict(rows.dtypes)[group]
     return rows.select(group, vector).mapInPandas(of, f"{group} {kind}, projected array<double>")
+
+
+#: Why a group has no vector. Kept with the group, as its key is absent from the vectors.
+NO_VECTOR = "no successful member with a vector"
+
+
+def group_summary(rows: DataFrame, vectors: DataFrame, group: str, content: str, name: str, order: str, ok: Column, dim: int) -> DataFrame:
+    """One row a group: first name that isn't empty, counts, method, status, error and width.
+
+    ``vectors`` has ``content`` of all stored vectors; a member is successful if ``ok`` holds
+    and its vector is stored. ``order`` decides which name is first.
+    """
+    have = vectors.select(content).distinct().withColumn("_have", F.lit(True))
+    named = F.nullif(F.trim(F.col(name)), F.lit(""))
+    joined = rows.select(group, content, name, order, ok.alias("_ok")).join(have, content, "left")
+    good = F.col("_ok") & F.coalesce("_have", F.lit(False))
+    unique, successful = F.count_distinct(F.when(good, F.col(content))), F.count(F.when(good, 1))
+    counts = joined.groupBy(group).agg(
+        F.min_by(F.col(name), F.when(named.isNotNull(), F.col(order))).alias(name), F.count(F.lit(1)).alias("num_targets"), unique.alias("num_unique_targets"),
+        successful.alias("num_successful"), F.count(F.when(~F.col("_ok"), 1)).alias("num_failed"), (successful - unique).alias("num_duplicates_removed"),
+    )
+    some = F.col("num_unique_targets") > 0
+    return counts.withColumns({"aggregation_method": F.lit("mean"), "status": F.when(some, "success").otherwise("failed"), "error": F.when(~some, NO_VECTOR), "embedding_dim": F.when(some, dim).otherwise(0)})
+
+
+def checked_mean(mean: DataFrame, vector: str) -> DataFrame:
+    """``mean`` as it is; a vector that isn't finite or is all zero ends the job."""
+    bad = ~F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))) | ~F.exists(vector, lambda x: x != 0)
+    checked = F.when(bad, F.raise_error(F.lit("the mean of a group isn't finite or is zero"))).otherwise(F.col(vector))
+    return mean.withColumn(vector, checked)
+
+
+def load_projection(spark, path: str, input_dim: int, output_dim: int) -> tuple[list[list[float]], list[float]]:
+    """Weight and bias of a trained projection from Parquet rows (output, weight array<double>, bias, trained)."""
+    found = spark.read.parquet(path).orderBy("output").collect()  # output_dim rows
+    if [r["output"] for r in found] != list(range(output_dim)) or any(len(r["weight"]) != input_dim for r in found):
+        raise ValueError(f"a projection of {output_dim} rows of {input_dim} weights is needed")
+    if not all(r["trained"] for r in found):
+        raise ValueError("the projection wasn't trained")
+    return [list(r["weight"]) for r in found], [r["bias"] for r in found]

@@ -9,29 +9,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import vectors as V
+from .order import numbered_ids
 
-#: Pairs that are compared exactly up to this many vectors; above it, a sample by hash order.
-EXACT_MOST = 1000
 BLOCK = 512
 
 
-def all_pairs(rows: DataFrame, key: str, vector: str) -> DataFrame:
-    """(a, b, cosine) of all pairs a < b; for at most ``EXACT_MOST`` vectors."""
-    a = rows.select(F.col(key).alias("a"), V.unit(F.col(vector)).alias("va"))
-    b = rows.select(F.col(key).alias("b"), V.unit(F.col(vector)).alias("vb"))
-    return a.join(b, F.col("a") < F.col("b")).select("a", "b", V.dot(F.col("va"), F.col("vb")).alias("cosine"))
-
-
-def sampled_pairs(keys: DataFrame, key: str, most: int, seed: int = 0) -> DataFrame:
-    """The ``most`` pairs a < b with the smallest SHA-256 of seed and keys."""
-    a, b = keys.select(F.col(key).alias("a")), keys.select(F.col(key).alias("b"))
-    order = F.sha2(F.concat_ws(":", F.lit(str(seed)), F.col("a").cast("string"), F.col("b").cast("string")), 256)
-    return a.join(b, F.col("a") < F.col("b")).orderBy(order).limit(most)
-
-
 def block_top(rows: DataFrame, key: str, vector: str, k: int, farthest: bool = False, block: int = BLOCK) -> DataFrame:
-    """The k pairs of largest (smallest) cosine, by blocks; ties by keys, largest (smallest) first."""
+    """The k pairs of largest (smallest) cosine, by blocks; ties by keys, largest (smallest) first.
+
+    Exact, so every pair is multiplied: the work grows with the square of the rows.
+    """
     import numpy as np
 
     n = max(1, -(-rows.count() // block))
@@ -76,20 +63,18 @@ def cosine_statistics(pairs: DataFrame, threshold: float = 0.995, digits: int =
 
 
 def drawn_pairs(keys: DataFrame, key: str, most: int, seed: int = 0) -> DataFrame:
-    """``most`` distinct pairs a < b of distinct keys, drawn by a hash of seed and draw number; all, if there are no more.
+    """At most ``most`` distinct pairs a < b of distinct integer keys, drawn from three times as many draws.
 
-    The work grows with keys plus draws, not with their square.
+    Draw d takes the places that SHA-256 of seed, d and side gives; equal places and
+    repeats are dropped, and the first ``most`` stay. The work grows with keys plus draws.
     """
-    from ..llm.common import global_positions
-
-    placed, n = global_positions(keys.select(F.col(key).alias("key")), [F.col("key")])
-    if n * (n - 1) // 2 <= 4 * most:
-        return sampled_pairs(keys, key, most, seed)
-    i, j = (F.pmod(F.xxhash64(F.lit(seed), F.col("id"), F.lit(x)), F.lit(n)) for x in (0, 1))
-    draws = keys.sparkSession.range(3 * most).select("id", F.least(i, j).alias("i"), F.greatest(i, j).alias("j")).where("i < j")
+    placed = numbered_ids(keys.select(F.col(key).alias("key")), "key")
+    n = F.broadcast(keys.agg(F.count(F.lit(1)).alias("n")))
+    place = lambda side: (F.conv(F.substring(F.sha2(F.concat_ws(":", F.lit(str(seed)), F.col("id").cast("string"), F.lit(side)), 256), 1, 15), 16, 10).cast("long") % F.col("n") + 1)
+    draws = keys.sparkSession.range(3 * most).join(n, F.col("n") > 1).select("id", F.least(place("a"), place("b")).alias("i"), F.greatest(place("a"), place("b")).alias("j")).where("i < j")
     kept = draws.groupBy("i", "j").agg(F.min("id").alias("id")).orderBy("id").limit(most)
     for x, y in (("i", "a"), ("j", "b")):
-        kept = kept.join(placed.select(F.col("position").alias(x), F.col("key").alias(y)), x)
+        kept = kept.join(placed.select(F.col("place").alias(x), F.col("key").alias(y)), x)
     return kept.select("a", "b")
 
 

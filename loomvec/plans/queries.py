@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import sequences as S
 from ..functions import vectors as V
-from ..operators import encode, groups, pairs, rows, store
+from ..operators import encode, groups, order, pairs, rows, store
+from ..sources import relation
 
 DIM = 64
 SIZE, OVERLAP = 512, 128
@@ -32,10 +32,10 @@ def _t(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 def _sequences(spark: SparkSession, sf: str) -> DataFrame:
     """doc_id, lang and the ASCII letters of each text as a raw sequence."""
-    return _t(spark, sf, "documents").select("doc_id", "lang", "source", F.regexp_replace("text", "[^A-Za-z]+", "").alias("raw"))
+    return _t(spark, sf, "documents").select("doc_id", "lang", "source", "n_chars", F.regexp_replace("text", "[^A-Za-z]+", "").alias("raw"))
 
 
-SEQ = "SELECT doc_id, lang, source, regexp_replace(text, '[^A-Za-z]+', '', 'g') AS raw FROM documents"
+SEQ = "SELECT doc_id, lang, source, n_chars, regexp_replace(text, '[^A-Za-z]+', '', 'g') AS raw FROM documents"
 UP = "SELECT doc_id, upper(regexp_replace(replace(text, 'ß', 'ss'), '[\\s\\x{00a0}]+', '', 'g')) AS u FROM documents"
 
 
@@ -100,104 +100,77 @@ def declared_length_check(spark, sf):
 
 
 # rows, status and profile
-def _keyed(d: DataFrame, sequence) -> DataFrame:
-    key = F.when(F.col("doc_id") % 10 == 9, F.col("source")).otherwise(F.concat(F.lit("nsc-0"), F.col("doc_id") % 50))
-    return d.select(F.col("doc_id").alias("source_row_index"), key.alias("nsc_id"), sequence.alias("sequence"))
-
-
 def _relation(spark, sf) -> DataFrame:
-    return _keyed(_sequences(spark, sf), F.when(F.col("doc_id") % 7 == 3, F.concat(F.substring("raw", 1, 5), F.lit("*"))).otherwise(F.substring("raw", 1, 4000)))
+    """All letters of every text as a sequence, with ids of which every tenth isn't one; a text without a letter is invalid."""
+    key = F.when(F.col("doc_id") % 10 == 9, F.col("source")).otherwise(F.concat(F.lit("nsc-0"), F.col("doc_id") % 50))
+    return _sequences(spark, sf).select(F.col("doc_id").alias("source_row_index"), key.alias("nsc_id"), F.col("source").alias("drug_name"), F.col("lang").alias("target_id"), F.col("raw").alias("sequence"), F.when(F.col("doc_id") % 4 > 0, F.col("n_chars").cast("string")).alias("sequence_length"))
 
 
-REL = f"""rel AS (SELECT doc_id AS source_row_index, CASE WHEN doc_id % 10 = 9 THEN NULL ELSE 'NSC-' || (doc_id % 50) END AS id,
- upper(CASE WHEN doc_id % 7 = 3 THEN substr(raw, 1, 5) || '*' ELSE substr(raw, 1, 4000) END) AS u FROM ({SEQ})),
-prep AS (SELECT source_row_index, coalesce(id, '') AS nsc_id, CASE WHEN id IS NULL THEN 'invalid_nsc' WHEN u = '' OR instr(u, '*') > 0 THEN 'invalid_sequence' END AS error_kind, u FROM rel),
+REL = f"""rel AS (SELECT doc_id AS source_row_index, source, lang, n_chars, CASE WHEN doc_id % 10 = 9 THEN NULL ELSE 'NSC-' || (doc_id % 50) END AS id, upper(coalesce(raw, '')) AS u FROM ({SEQ})),
+prep AS (SELECT *, coalesce(id, '') AS nsc_id, CASE WHEN id IS NULL THEN 'invalid_nsc' WHEN u = '' THEN 'invalid_sequence' END AS error_kind FROM rel),
 rows_ AS (SELECT *, CASE WHEN error_kind IS NULL THEN 'pending' ELSE 'failed' END AS status, CASE WHEN error_kind IS NULL THEN sha256(u) END AS sequence_hash FROM prep)"""
 
 
 @query(f"WITH {REL} SELECT source_row_index, nsc_id, sequence_hash, status, error_kind FROM rows_")
-def row_status(spark, sf, relation=_relation):
-    return rows.prepare(relation(spark, sf)).select("source_row_index", "nsc_id", "sequence_hash", "status", "error_kind")
+def row_status(spark, sf):
+    return rows.prepare(_relation(spark, sf)).select("source_row_index", "nsc_id", "sequence_hash", "status", "error_kind")
 
 
 @query(f"WITH {REL} SELECT count(*) AS rows, count(DISTINCT nullif(nsc_id, '')) AS unique_ids, count(DISTINCT sequence_hash) AS unique_sequences, count(sequence_hash) AS valid_rows, count(*) FILTER (status = 'failed') AS failed_rows, count(sequence_hash) - count(DISTINCT sequence_hash) AS duplicate_rows, min(length(u)) FILTER (status = 'pending')::INTEGER AS min_length, max(length(u)) FILTER (status = 'pending')::INTEGER AS max_length, round(avg(length(u)) FILTER (status = 'pending'), 6) AS mean_length, count(*) FILTER (status = 'pending' AND length(u) > 2048) AS long_rows, count(*) FILTER (status = 'pending' AND regexp_matches(u, '[XBZJUO]')) AS special_rows FROM rows_".replace("::INTEGER", "::BIGINT"))
-def dataset_statistics(spark, sf, relation=_relation):
-    return rows.statistics(rows.prepare(relation(spark, sf))).withColumn("mean_length", F.round("mean_length", 6))
+def dataset_statistics(spark, sf):
+    return rows.statistics(rows.prepare(_relation(spark, sf))).withColumn("mean_length", F.round("mean_length", 6))
 
 
 @query(f"WITH {REL} SELECT sequence_hash, count(*) AS n FROM rows_ WHERE status = 'pending' GROUP BY 1 HAVING count(*) > 1")
-def duplicate_hashes(spark, sf, relation=_relation):
-    return rows.prepare(relation(spark, sf)).where("status = 'pending'").groupBy("sequence_hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+def duplicate_hashes(spark, sf):
+    return rows.prepare(_relation(spark, sf)).where("status = 'pending'").groupBy("sequence_hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
 
 
 @query(f"WITH {REL} SELECT nsc_id, sequence_hash, count(*) AS n FROM rows_ WHERE status = 'pending' GROUP BY 1, 2 HAVING count(*) > 1")
-def within_group_duplicates(spark, sf, relation=_relation):
-    return rows.prepare(relation(spark, sf)).where("status = 'pending'").groupBy("nsc_id", "sequence_hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+def within_group_duplicates(spark, sf):
+    return rows.prepare(_relation(spark, sf)).where("status = 'pending'").groupBy("nsc_id", "sequence_hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
 
 
 @query(f"WITH {REL}, j AS (SELECT *, row_number() OVER (PARTITION BY sequence_hash ORDER BY source_row_index) AS rn FROM rows_ WHERE status = 'pending') SELECT source_row_index, sequence_hash, length(u)::BIGINT AS n FROM j WHERE rn = 1")
-def unique_jobs(spark, sf, relation=_relation):
-    return rows.unique_jobs(rows.prepare(relation(spark, sf))).select("source_row_index", "sequence_hash", F.col("actual_sequence_length").alias("n"))
+def unique_jobs(spark, sf):
+    return rows.unique_jobs(rows.prepare(_relation(spark, sf))).select("source_row_index", "sequence_hash", F.col("actual_sequence_length").alias("n"))
 
 
-@query(f"WITH {REL}, j AS (SELECT sequence_hash, any_value(length(u))::BIGINT AS n FROM rows_ WHERE status = 'pending' GROUP BY 1) SELECT row_number() OVER (ORDER BY n DESC, sequence_hash) AS place, sequence_hash, n FROM j ORDER BY n DESC, sequence_hash LIMIT 100")
+@query(f"WITH {REL}, j AS (SELECT sequence_hash, any_value(length(u))::BIGINT AS n FROM rows_ WHERE status = 'pending' GROUP BY 1) SELECT row_number() OVER (ORDER BY n DESC, sequence_hash) AS place, sequence_hash, n FROM j")
 def encode_order(spark, sf):
-    jobs = rows.unique_jobs(rows.prepare(_relation(spark, sf))).orderBy(F.desc("actual_sequence_length"), "sequence_hash").limit(100)
-    w = Window.orderBy(F.desc("actual_sequence_length"), "sequence_hash")
-    return jobs.select(F.row_number().over(w).cast("long").alias("place"), "sequence_hash", F.col("actual_sequence_length").alias("n"))
+    """All jobs, longest first."""
+    jobs = rows.unique_jobs(rows.prepare(_relation(spark, sf))).select("sequence_hash", F.col("actual_sequence_length").alias("n"))
+    return order.numbered(jobs, -F.col("n"), ["sequence_hash"])
 
 
 @query(f"WITH {REL}, have AS (SELECT DISTINCT sequence_hash FROM rows_ JOIN labels ON source_row_index = doc_id WHERE status = 'pending'), f AS (SELECT r.*, row_number() OVER (PARTITION BY r.sequence_hash, r.status ORDER BY source_row_index) AS rn, h.sequence_hash IS NOT NULL AS have FROM rows_ r LEFT JOIN have h ON r.sequence_hash = h.sequence_hash) SELECT source_row_index, CASE WHEN status = 'failed' THEN 'failed' WHEN have THEN 'success' ELSE 'failed' END AS status, status = 'pending' AND have AND rn > 1 AS hit, CASE WHEN status = 'pending' AND NOT have THEN 'not_encoded' ELSE error_kind END AS error_kind FROM f")
-def resolved_status(spark, sf, relation=_relation):
-    prepared = rows.prepare(relation(spark, sf))
+def resolved_status(spark, sf):
+    prepared = rows.prepare(_relation(spark, sf))
     done = prepared.where("status = 'pending'").join(_t(spark, sf, "labels").select(F.col("doc_id").alias("source_row_index")), "source_row_index", "left_semi").select("sequence_hash")
     return rows.resolve(prepared, done).select("source_row_index", "status", F.col("embedding_cache_hit").alias("hit"), "error_kind")
 
 
 @query(f"WITH {REL} SELECT source_row_index, nsc_id, error_kind FROM rows_ WHERE status = 'failed'")
-def failed_rows(spark, sf, relation=_relation):
-    return rows.prepare(relation(spark, sf)).where("status = 'failed'").select("source_row_index", "nsc_id", "error_kind")
+def failed_rows(spark, sf):
+    return rows.prepare(_relation(spark, sf)).where("status = 'failed'").select("source_row_index", "nsc_id", "error_kind")
 
 
 @query(f"WITH {REL} SELECT status, coalesce(error_kind, '') AS error_kind, count(*) AS n FROM rows_ GROUP BY 1, 2")
-def status_histogram(spark, sf, relation=_relation):
-    return rows.prepare(relation(spark, sf)).groupBy("status", F.coalesce("error_kind", F.lit("")).alias("error_kind")).agg(F.count(F.lit(1)).alias("n"))
-
-
-def _whole_relation(spark, sf) -> DataFrame:
-    """As ``_relation``, with all letters of every text: nothing is cut or marred, and only a text without a letter is invalid."""
-    return _keyed(_sequences(spark, sf), F.col("raw"))
-
-
-WHOLE = f"""rel AS (SELECT doc_id AS source_row_index, CASE WHEN doc_id % 10 = 9 THEN NULL ELSE 'NSC-' || (doc_id % 50) END AS id, upper(coalesce(raw, '')) AS u FROM ({SEQ})),
-prep AS (SELECT source_row_index, coalesce(id, '') AS nsc_id, CASE WHEN id IS NULL THEN 'invalid_nsc' WHEN u = '' THEN 'invalid_sequence' END AS error_kind, u FROM rel),
-rows_ AS (SELECT *, CASE WHEN error_kind IS NULL THEN 'pending' ELSE 'failed' END AS status, CASE WHEN error_kind IS NULL THEN sha256(u) END AS sequence_hash FROM prep)"""
-
-#: Over whole texts; the queries above keep their cut relation, which their SQL has too.
-for _name in ["row_status", "dataset_statistics", "duplicate_hashes", "within_group_duplicates", "unique_jobs", "resolved_status", "failed_rows", "status_histogram"]:
-    _f, _sql = _registry[_name]
-    _registry[f"{_name}_whole"] = (partial(_f, relation=_whole_relation), _sql.replace(REL, WHOLE))
-
+def status_histogram(spark, sf):
+    return rows.prepare(_relation(spark, sf)).groupBy("status", F.coalesce("error_kind", F.lit("")).alias("error_kind")).agg(F.count(F.lit(1)).alias("n"))
 
-@query(f"WITH {WHOLE}, j AS (SELECT sequence_hash, any_value(length(u))::BIGINT AS n FROM rows_ WHERE status = 'pending' GROUP BY 1) SELECT row_number() OVER (ORDER BY n DESC, sequence_hash) AS place, sequence_hash, n FROM j")
-def encode_order_whole(spark, sf):
-    """All jobs in order; places by range partitions and offsets."""
-    from ..llm.common import global_positions
 
-    jobs = rows.unique_jobs(rows.prepare(_whole_relation(spark, sf))).select("sequence_hash", F.col("actual_sequence_length").alias("n"))
-    placed, _ = global_positions(jobs, [F.desc("n"), F.col("sequence_hash")])
-    return placed.select((F.col("position") + 1).alias("place"), "sequence_hash", "n")
-
-
-@query("SELECT doc_id, source FROM documents WHERE source IN ('src3', 'src7')")
+@query(f"WITH {REL} SELECT source_row_index, id AS nsc_id FROM rows_ WHERE id IN ('NSC-3', 'NSC-7')")
 def subset_by_ids(spark, sf):
-    wanted = spark.createDataFrame([("src3",), ("src7",)], "source string")
-    return _t(spark, sf, "documents").join(wanted, "source", "left_semi").select("doc_id", "source")
+    """Rows of the wanted ids, however they are spelled; an id that can't be read matches nothing."""
+    found = relation.filter_rows(_relation(spark, sf), ids=["nsc 3", "7", "src3"])
+    return found.select("source_row_index", S.canonical_id(F.col("nsc_id")).alias("nsc_id"))
 
 
-@query("SELECT doc_id, lang FROM documents WHERE lang <> 'en' ORDER BY doc_id LIMIT 50")
+@query(f"WITH {REL} SELECT source_row_index, id AS nsc_id FROM rows_ WHERE id IN ('NSC-3', 'NSC-7', 'NSC-11') ORDER BY source_row_index LIMIT 50")
 def first_n_rows(spark, sf):
-    return _t(spark, sf, "documents").where("lang <> 'en'").orderBy("doc_id").limit(50).select("doc_id", "lang")
+    found = relation.filter_rows(_relation(spark, sf), ids=["3", "7", "11"], most=50)
+    return found.select("source_row_index", S.canonical_id(F.col("nsc_id")).alias("nsc_id"))
 
 
 # chunks and positions
@@ -236,19 +209,19 @@ def chunk_plan_violations(spark, sf):
 _POS = f"SELECT doc_id, p, count(*) AS c, avg(chunk_start::DOUBLE) AS m FROM (SELECT doc_id, chunk_start, unnest(generate_series(chunk_start, chunk_end - 1)) AS p FROM ({_CHUNKS})) GROUP BY ALL"
 
 
-def _positions(spark, sf):
-    p = _chunks(spark, sf).select("doc_id", "chunk_start", F.explode(F.sequence(F.col("chunk_start"), F.col("chunk_end") - 1)).alias("p"))
-    return p.groupBy("doc_id", "p").agg(F.count(F.lit(1)).alias("c"), F.avg(F.col("chunk_start").cast("double")).alias("m"))
+def _coverage(spark, sf, value=None):
+    n = F.length("raw")
+    return _sequences(spark, sf).where("raw <> ''").select("doc_id", S.coverage(S.chunk_plan(n, SIZE, OVERLAP), n, value).alias("c"))
 
 
 @query(f"SELECT doc_id, count(*) AS residues, sum(c)::BIGINT AS total, min(c) AS least, max(c) AS most FROM ({_POS}) GROUP BY doc_id")
 def position_coverage(spark, sf):
-    return _positions(spark, sf).groupBy("doc_id").agg(F.count(F.lit(1)).alias("residues"), F.sum("c").alias("total"), F.min("c").alias("least"), F.max("c").alias("most"))
+    return _coverage(spark, sf).select("doc_id", *(f"c.{x}" for x in ("residues", "total", "least", "most")))
 
 
 @query(f"SELECT doc_id, round(avg(m), 6) AS pooled FROM ({_POS}) GROUP BY doc_id")
 def overlap_position_mean(spark, sf):
-    return _positions(spark, sf).groupBy("doc_id").agg(F.round(F.avg("m"), 6).alias("pooled"))
+    return _coverage(spark, sf, lambda c: c["chunk_start"]).select("doc_id", F.round("c.pooled", 6).alias("pooled"))
 
 
 _WIDTH = 8
@@ -274,15 +247,8 @@ def cache_misses(spark, sf):
     return store.misses(_t(spark, sf, "documents"), _t(spark, sf, "labels"), "doc_id").select("doc_id", "lang")
 
 
-@query("WITH b AS (SELECT doc_id, quality::BIGINT AS v, 'disk' AS branch, 0 AS p FROM labels UNION ALL SELECT doc_id, n_chars, lang, 1 FROM documents WHERE doc_id % 3 = 0) SELECT doc_id, arg_max(v, p) AS v, array_to_string(list_sort(list_distinct(list(branch))), ',') AS branches FROM b GROUP BY doc_id")
-def store_merge(spark, sf):
-    disk = _t(spark, sf, "labels").select("doc_id", F.col("quality").cast("long").alias("v"), F.array(F.lit("disk")).alias("branches"))
-    memory = _t(spark, sf, "documents").where("doc_id % 3 = 0").select("doc_id", F.col("n_chars").alias("v"), F.array("lang").alias("branches"))
-    return store.merge(disk, memory, "doc_id", "v", ["branches"]).select("doc_id", "v", F.array_join("branches", ",").alias("branches"))
-
-
 @query("WITH b AS (SELECT doc_id, quality::BIGINT AS v, 'disk' AS branch, 0 AS p FROM labels UNION ALL SELECT doc_id, n_chars, lang, 1 FROM documents) SELECT doc_id, arg_max(v, p) AS v, array_to_string(list_sort(list_distinct(list(branch))), ',') AS branches FROM b GROUP BY doc_id")
-def store_merge_whole(spark, sf):
+def store_merge(spark, sf):
     disk = _t(spark, sf, "labels").select("doc_id", F.col("quality").cast("long").alias("v"), F.array(F.lit("disk")).alias("branches"))
     memory = _t(spark, sf, "documents").select("doc_id", F.col("n_chars").alias("v"), F.array("lang").alias("branches"))
     return store.merge(disk, memory, "doc_id", "v", ["branches"]).select("doc_id", "v", F.array_join("branches", ",").alias("branches"))
@@ -348,57 +314,48 @@ def norm_distribution(spark, sf):
     return n.agg(F.count(F.lit(1)).alias("vectors"), *(F.round(x, 6).alias(a) for a, x in [("min", F.min("n")), ("max", F.max("n")), ("mean", F.avg("n")), ("median", F.expr("percentile_disc(0.5) within group (order by n)")), ("deviation", F.stddev_pop("n")), ("p5", F.percentile("n", F.lit(0.05))), ("p95", F.percentile("n", F.lit(0.95)))]))
 
 
-def _sampled(sql_limit: int) -> str:
-    return f"SELECT a.vec_id AS a, b.vec_id AS b, a.embedding AS va, b.embedding AS vb FROM embeddings a JOIN embeddings b ON a.vec_id < b.vec_id ORDER BY sha256('0:' || a.vec_id || ':' || b.vec_id) LIMIT {sql_limit}"
+def _drawn(most: int) -> str:
+    place = lambda side: f"('0x' || substr(sha256('0:' || d || ':{side}'), 1, 15))::BIGINT % n + 1"
+    return f"""WITH p AS (SELECT vec_id, embedding, row_number() OVER (ORDER BY vec_id) AS place, count(*) OVER () AS n FROM embeddings),
+d AS (SELECT d, {place('a')} AS x, {place('b')} AS y FROM (SELECT unnest(range({3 * most})) AS d), (SELECT count(*) AS n FROM embeddings)),
+k AS (SELECT least(x, y) AS i, greatest(x, y) AS j, min(d) AS d FROM d WHERE x <> y GROUP BY 1, 2 ORDER BY d LIMIT {most})
+SELECT a.vec_id AS a, b.vec_id AS b, round(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 6) AS cosine FROM k JOIN p a ON a.place = i JOIN p b ON b.place = j"""
 
 
-@query(f"SELECT a, b, round(list_cosine_similarity(va::DOUBLE[], vb::DOUBLE[]), 6) AS cosine FROM ({_sampled(2000)})")
-def sampled_pairs_cosine(spark, sf):
+def _drawn_cosine(spark, sf, most: int):
     e = _t(spark, sf, "embeddings")
-    s = pairs.sampled_pairs(e, "vec_id", 2000)
+    s = pairs.drawn_pairs(e, "vec_id", most)
     for x in ("a", "b"):
         s = s.join(e.select(F.col("vec_id").alias(x), F.col("embedding").alias(f"v{x}")), x)
     return s.select("a", "b", F.round(V.cosine(F.col("va"), F.col("vb")), 6).alias("cosine"))
 
 
-_COS = "SELECT list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) AS c, a.vec_id AS a, b.vec_id AS b FROM embeddings a JOIN embeddings b ON a.vec_id < b.vec_id AND a.label = b.label"
-
-
-@query("SELECT count(*) AS pairs, round(min(c), 6) AS min, round(max(c), 6) AS max, round(avg(c), 6) AS mean, round(quantile_disc(c, 0.5), 6) AS median, round(avg((c >= 0.995)::INTEGER), 6) AS collapsed, " + ", ".join(f"round(quantile_cont(c, {x / 100}), 6) AS p{x}" for x in (1, 5, 25, 50, 75, 95, 99)) + f" FROM ({_COS})")
-def pairwise_cosine_stats(spark, sf):
-    e = _t(spark, sf, "embeddings").select("vec_id", "label", V.unit(F.col("embedding")).alias("u"))
-    a, b = (e.select(F.col("vec_id").alias(x), "label", F.col("u").alias(f"u{x}")) for x in "ab")
-    p = a.join(b, "label").where("a < b").select(V.dot(F.col("ua"), F.col("ub")).alias("cosine"))
-    return pairs.cosine_statistics(p)
+@query(_drawn(2000))
+def sampled_pairs_cosine(spark, sf):
+    return _drawn_cosine(spark, sf, 2000)
 
 
-_ALL = _COS.replace(" AND a.label = b.label", "")
+@query(_drawn(20000))
+def drawn_pairs_cosine(spark, sf):
+    """The number of pairs of the default configuration."""
+    return _drawn_cosine(spark, sf, 20000)
 
 
-def _drawn_pairs_cosine(spark, sf):
-    """20,000 drawn pairs, without a cross join; the hash isn't in SQL."""
-    e = _t(spark, sf, "embeddings")
-    s = pairs.drawn_pairs(e, "vec_id", 20000)
-    for x in ("a", "b"):
-        s = s.join(e.select(F.col("vec_id").alias(x), F.col("embedding").alias(f"v{x}")), x)
-    return s.select("a", "b", F.round(V.cosine(F.col("va"), F.col("vb")), 6).alias("cosine"))
+_COS = "SELECT list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) AS c, a.vec_id AS a, b.vec_id AS b FROM embeddings a JOIN embeddings b ON a.vec_id < b.vec_id"
 
 
-def _pairwise_cosine_stats_whole(spark, sf):
-    """All pairs, across labels too."""
+@query("SELECT count(*) AS pairs, round(min(c), 6) AS min, round(max(c), 6) AS max, round(avg(c), 6) AS mean, round(quantile_disc(c, 0.5), 6) AS median, round(avg((c >= 0.995)::INTEGER), 6) AS collapsed, " + ", ".join(f"round(quantile_cont(c, {x / 100}), 6) AS p{x}" for x in (1, 5, 25, 50, 75, 95, 99)) + f" FROM ({_COS})")
+def pairwise_cosine_stats(spark, sf):
+    """All pairs, as block sums and histograms."""
     return pairs.all_pairs_statistics(_t(spark, sf, "embeddings"), "vec_id", "embedding")
 
 
-_registry["drawn_pairs_cosine"] = (_drawn_pairs_cosine, None)
-_registry["pairwise_cosine_stats_whole"] = (_pairwise_cosine_stats_whole, _registry["pairwise_cosine_stats"][1].replace(_COS, _ALL))
-
-
-@query(f"SELECT a, b, round(c, 6) AS cosine FROM ({_ALL} ORDER BY c DESC, a DESC, b DESC LIMIT 10)")
+@query(f"SELECT a, b, round(c, 6) AS cosine FROM ({_COS} ORDER BY c DESC, a DESC, b DESC LIMIT 10)")
 def nearest_pairs(spark, sf):
     return pairs.block_top(_t(spark, sf, "embeddings"), "vec_id", "embedding", 10).withColumn("cosine", F.round("cosine", 6))
 
 
-@query(f"SELECT a, b, round(c, 6) AS cosine FROM ({_ALL} ORDER BY c, a, b LIMIT 10)")
+@query(f"SELECT a, b, round(c, 6) AS cosine FROM ({_COS} ORDER BY c, a, b LIMIT 10)")
 def farthest_pairs(spark, sf):
     return pairs.block_top(_t(spark, sf, "embeddings"), "vec_id", "embedding", 10, farthest=True).withColumn("cosine", F.round("cosine", 6))
 
@@ -415,23 +372,19 @@ def project_layernorm(spark, sf):
     return out.select("label", F.posexplode("projected").alias("o", "v")).select("label", "o", F.round("v", 4).alias("value"))
 
 
-@query("SELECT vec_id, label, " + ", ".join(f"round(embedding[{i}]::DOUBLE, 6) AS emb_{i}" for i in range(1, 9)) + " FROM embeddings")
-def wide_embedding(spark, sf):
-    from ..sources.sinks import wide
-
-    w = wide(_t(spark, sf, "embeddings"), "embedding", 8)
-    return w.select("vec_id", "label", *(F.round(F.col(f"emb_{i}").cast("double"), 6).alias(f"emb_{i}") for i in range(1, 9)))
-
-
 @query("SELECT vec_id, label, " + ", ".join(f"round(embedding[{i}]::DOUBLE, 6) AS emb_{i}" for i in range(1, DIM + 1)) + " FROM embeddings")
-def wide_embedding_whole(spark, sf):
+def wide_embedding(spark, sf):
     from ..sources.sinks import wide
 
     w = wide(_t(spark, sf, "embeddings"), "embedding", DIM)
     return w.select("vec_id", "label", *(F.round(F.col(f"emb_{i}").cast("double"), 6).alias(f"emb_{i}") for i in range(1, DIM + 1)))
 
 
-@query("SELECT count(*) AS groups, 0::BIGINT AS mismatches FROM (SELECT DISTINCT label FROM embeddings)")
+@query("""WITH e AS (SELECT label, embedding, unnest(embedding)::DOUBLE AS v, generate_subscripts(embedding, 1) AS i FROM embeddings),
+one AS (SELECT label, i, avg(v) AS m FROM e GROUP BY ALL),
+two AS (SELECT label, i, sum(v) / count(*) AS m FROM e GROUP BY ALL),
+j AS (SELECT label, count(*) FILTER (abs(one.m - two.m) > 1e-5 + 1e-4 * abs(two.m)) AS bad FROM one JOIN two USING (label, i) GROUP BY label)
+SELECT count(*) AS groups, count(*) FILTER (bad > 0) AS mismatches FROM j""")
 def validator_recompute(spark, sf):
     """Group means by fixed columns against means by element rows."""
     e = _t(spark, sf, "embeddings")
@@ -447,6 +400,9 @@ def url_owner(spark, sf):
     return _t(spark, sf, "pages").select("page_id", F.regexp_extract("url", "^[a-z]+://([^/]+)", 1).alias("owner"), F.size(F.split("url", "/")).alias("depth"))
 
 
+from . import run_queries  # noqa: E402,F401  (registers its queries)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, (f, _) in _registry.items()}
 

@@ -41,7 +41,10 @@ def read_csv(spark: SparkSession, path: str, required: tuple[str, ...] = REQUIRE
 
 
 def with_row_index(frame: DataFrame) -> DataFrame:
-    """Gapless index in input order, from counts of partitions; the driver sees one number a partition."""
+    """Gapless index in input order, from counts of partitions; the driver sees one number a partition.
+
+    Order within one file; Spark packs several files by size, so theirs follows that packing.
+    """
     tagged = frame.withColumn("_p", F.spark_partition_id()).withColumn("_i", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
     counts = {r["_p"]: r["n"] for r in tagged.groupBy("_p").agg(F.count(F.lit(1)).alias("n")).collect()}
     starts, at = [], 0

@@ -23,13 +23,13 @@ def run(spark, sf, name):
 
 
 def test_whole_texts_are_hashed_and_measured(spark, sf):
-    status = {r["source_row_index"]: r for r in run(spark, sf, "row_status_whole")}
+    status = {r["source_row_index"]: r for r in run(spark, sf, "row_status")}
     assert {i: r["error_kind"] for i, r in status.items() if r["error_kind"]} == {4: "invalid_sequence"}
     assert len({status[i]["sequence_hash"] for i in (0, 1, 2, 3)}) == 3
-    assert {(r["source_row_index"], r["n"]) for r in run(spark, sf, "unique_jobs_whole")} == {(0, 5001), (1, 5001), (3, 5001), (10, 5)}
-    assert [r["n"] for r in run(spark, sf, "duplicate_hashes_whole")] == [2]
-    assert [r["max_length"] for r in run(spark, sf, "dataset_statistics_whole")] == [5001]
-    assert {r["source_row_index"] for r in run(spark, sf, "resolved_status_whole") if r["status"] == "success"} == {0, 2}
+    assert {(r["source_row_index"], r["n"]) for r in run(spark, sf, "unique_jobs")} == {(0, 5001), (1, 5001), (3, 5001), (10, 5)}
+    assert [r["n"] for r in run(spark, sf, "duplicate_hashes")] == [2]
+    assert [r["max_length"] for r in run(spark, sf, "dataset_statistics")] == [5001]
+    assert {r["source_row_index"] for r in run(spark, sf, "resolved_status") if r["status"] == "success"} == {0, 2}
 
 
 def test_all_jobs_are_ordered_all_documents_merged_all_components_written(spark, tmp_path):
@@ -40,10 +40,10 @@ def test_all_jobs_are_ordered_all_documents_merged_all_components_written(spark,
     spark.createDataFrame([(0, 0, [float(x) for x in range(64)])], "vec_id long, label int, embedding array<float>").write.parquet(f"{at}/embeddings.parquet")
     jobs = {(hashlib.sha256(t.encode()).hexdigest(), len(t)) for i, t in enumerate(texts) if i % 10 != 9}
     want = [(n, h, m) for n, (h, m) in enumerate(sorted(jobs, key=lambda x: (-x[1], x[0])), 1)]
-    assert sorted((r["place"], r["sequence_hash"], r["n"]) for r in run(spark, at, "encode_order_whole")) == want and len(want) > 100
-    merged = {r["doc_id"]: (r["v"], r["branches"]) for r in run(spark, at, "store_merge_whole")}
+    assert sorted((r["place"], r["sequence_hash"], r["n"]) for r in run(spark, at, "encode_order")) == want and len(want) > 100
+    merged = {r["doc_id"]: (r["v"], r["branches"]) for r in run(spark, at, "store_merge")}
     assert merged == {i: (len(t), "disk,en" if i == 1 else "en") for i, t in enumerate(texts)} | {999: (0, "disk")}
-    assert list(run(spark, at, "wide_embedding_whole")[0])[2:] == [float(x) for x in range(64)]
+    assert list(run(spark, at, "wide_embedding")[0])[2:] == [float(x) for x in range(64)]
 
 
 def test_pairs_across_labels_count_and_draws_are_distinct(spark, tmp_path):
@@ -53,7 +53,7 @@ def test_pairs_across_labels_count_and_draws_are_distinct(spark, tmp_path):
     spark.createDataFrame([(i, i % 7, [float(x) for x in v[i]]) for i in range(700)], "vec_id long, label int, embedding array<double>").write.parquet(f"file://{tmp_path}/embeddings.parquet")
     u = v / np.linalg.norm(v, axis=1, keepdims=True)
     c = (u @ u.T)[np.triu_indices(700, 1)]
-    got = run(spark, f"file://{tmp_path}", "pairwise_cosine_stats_whole")[0]
+    got = run(spark, f"file://{tmp_path}", "pairwise_cosine_stats")[0]
     assert got["pairs"] == 700 * 699 // 2 and got["max"] == 1.0 and got["collapsed"] == round(1 / len(c), 6)
     for p in (1, 5, 25, 50, 75, 95, 99):
         assert abs(got[f"p{p}"] - np.percentile(c, p)) < 1e-6
