@@ -4,8 +4,9 @@
 2. Under each permutation both the minimum and the maximum of a set's hashes are kept,
    so that half as many hash evaluations give as many signature values; runs of values
    are band keys.
-3. In each bucket every member is compared with the bucket's smallest node on full
-   sets; links found make first components.
+3. In each bucket every member is paired with the bucket's smallest node. A member is
+   compared on full sets with the one that it shares most buckets with; links found make
+   first components, and the other pairs are compared where they join components.
 4. Buckets that still span several components are compared in blocks of bounded size, of
    different components only, by signature first; pairs that may link are confirmed on
    full sets.
@@ -40,6 +41,8 @@ BLOCK = 256
 CACHE_WORDS = 1 << 16
 #: Sets of at most so many shingles are compared whole in a block.
 SMALL = 1024
+#: Links of a partition while components are closed: few links take few tasks and files.
+LINKS = 50_000
 #: Shingles hashed at a time.
 CHUNK = 1 << 14
 
@@ -201,19 +204,20 @@ def components(links: DataFrame, steps: int = 50) -> DataFrame:
     stars; the driver sees a count and a sum for each step.
     """
     edges = checkpointed(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u > v").distinct())
-    state = None
+    state, n = None, edges.count()
     for _ in range(steps):
-        both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("m", "u").alias("m"))
-        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        down = large.distinct()
-        low = down.groupBy("u").agg(F.min("v").alias("m"))
-        small = down.join(low, "u").select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e")).select("e.*")
-        edges = checkpointed(small.where("u > v").distinct())
-        now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).head()
+        parts = -(-2 * n // LINKS) or 1
+        both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))).coalesce(parts)
+        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("m", "u").alias("m")).coalesce(parts)
+        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).coalesce(parts)
+        down = large.distinct().coalesce(parts)
+        low = down.groupBy("u").agg(F.min("v").alias("m")).coalesce(parts)
+        small = down.join(low, "u").select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e")).select("e.*").coalesce(parts)
+        edges = checkpointed(small.where("u > v").distinct().coalesce(parts))
+        now = edges.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).head()
         if state == now:
             break
-        state = now
+        state, n = now, now["n"]
     else:
         raise RuntimeError("components didn't settle")
     ids = edges.select(F.col("u").alias("id"), F.col("v").alias("component"))
@@ -363,24 +367,34 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     shared = banded.groupBy("bucket").agg(F.min("id").alias("pivot"), F.max("id").alias("last")).where("last > pivot").select("bucket", "pivot")
     members = written(banded.join(shared, "bucket"), "members")
     sets = written(full_sets(docs, members.select("id").distinct(), key, text, words), "sets")
-    stars = members.where(F.col("id") > F.col("pivot")).select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
+    stars = members.where(F.col("id") > F.col("pivot")).groupBy(F.col("pivot").alias("a"), F.col("id").alias("b")).agg(F.count(F.lit(1)).alias("shared"))
     for x in ("a", "b"):
         stars = stars.join(nodes.select(F.col("id").alias(x), F.col("n_shingles").alias(f"n_{x}")), x)
-    stars = checkpointed(stars.where(_may_link(F.col("n_a"), F.col("n_b"), percent)).select("a", "b").distinct())
-    first = checkpointed(confirmed(stars, sets, percent))
+    stars = checkpointed(stars.where(_may_link(F.col("n_a"), F.col("n_b"), percent)).select("a", "b", "shared"))
+    best = stars.groupBy("b").agg(F.max_by("a", F.struct(F.col("shared"), -F.col("a"))).alias("a")).select("a", "b")
+    first = checkpointed(confirmed(best, sets, percent))
     # rows of one key are one document, whatever their sets
     same = full.groupBy("set_hash").agg(F.min("id").alias("node"))
     twice = full.select("id", "set_hash").distinct().groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("id")
     alike = full.join(twice, "id", "left_semi").join(same, "set_hash").select(F.col("id").alias("a"), F.col("node").alias("b"))
     first = first.union(alike)
     found = written(components(first), "components")
+    # the other pairs of stars need a look only where they join components
+    apart = stars.select("a", "b")
+    for x in ("a", "b"):
+        apart = apart.join(found.select(F.col("id").alias(x), F.col("component").alias(f"c_{x}")), x, "left")
+    apart = apart.where(F.coalesce("c_a", "a") != F.coalesce("c_b", "b")).select("a", "b").join(best, ["a", "b"], "left_anti")
+    more = checkpointed(confirmed(apart, sets, percent))
+    if more.take(1):
+        first = first.union(more)
+        found = written(components(first), "components")
     grouped = members.select("bucket", "id").join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
     open_buckets = grouped.groupBy("bucket").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 < c1").select("bucket")
     rest = checkpointed(grouped.join(open_buckets, "bucket", "left_semi"))
     small = compact_sets(sets.join(rest.select("id").distinct(), "id", "left_semi"))
     rest = rest.join(nodes.select("id", "n_shingles", "mark").join(small, "id", "left"), "id")
     pairs = written(block_pairs(rest, 2 * count, percent), "pairs")
-    second = checkpointed(confirmed(pairs.join(stars, ["a", "b"], "left_anti"), sets, percent))
+    second = checkpointed(confirmed(pairs.join(stars.select("a", "b"), ["a", "b"], "left_anti"), sets, percent))
     final = written(components(reduce(DataFrame.union, [first, second])), "components") if second.take(1) else found
     classes = same.join(final.withColumnRenamed("id", "node"), "node", "left").select("set_hash", F.coalesce("component", "node").alias("component"))
     rows = base.select("id", "n_shingles", "set_hash")
