@@ -62,7 +62,7 @@ def test_targets_go_by_name(spark):
     labels = spark.createDataFrame([(i, 1, 0) for i in range(40)] + [(50 + i, 1, 1) for i in range(25)], "doc_id long, quality int, toxic int")
     one = {"prose": 0.7, "toxic": 0.3, "noise": 0.0}
     rates = [{r["doc_id"]: r["mix"]["rate"] for r in mixing.mix(docs, labels, t).collect()} for t in (one, dict(reversed(one.items())))]
-    assert rates[0] == rates[1] and rates[0][0] > 1 > rates[0][50]
+    assert rates[0] == pytest.approx(rates[1]) and rates[0][0] > 1 > rates[0][50]  # sums of rows have no fixed order
     with pytest.raises(ValueError, match="noise"):
         mixing.mix(docs, labels, {"prose": 0.7, "toxic": 0.3})
     with pytest.raises(ValueError, match="out of reach"):
