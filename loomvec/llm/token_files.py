@@ -124,9 +124,10 @@ class PartReader:
         i = (row - int(self.starts[at])) * self.length
         return self._flat[at][i : i + self.length]
 
-    def mask(self, row: int) -> np.ndarray:
+    def mask(self, row: int):
+        """Arrow booleans, a slice of the batch's bits without a copy: a byte for each would double the ids' size."""
         at = int(np.searchsorted(self.starts, row, side="right")) - 1
-        return self.batches[at].column("mask")[row - int(self.starts[at])].values.to_numpy(zero_copy_only=False)
+        return self.batches[at].column("mask").values.slice((row - int(self.starts[at])) * self.length, self.length)
 
     def ids(self, first: int, count: int) -> np.ndarray:
         """Ids from ``first`` on, through as many sequences as they fill."""

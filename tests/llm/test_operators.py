@@ -70,7 +70,11 @@ def test_token_files_round_trip(spark, docs, empty, tmp_path):
     assert [(r["doc_id"], r["ids"]) for r in rows] == want
     assert [r["start"] for r in rows] == np.cumsum([0] + [len(x) for _, x in want])[:-1].tolist()
     reader = token_files.PartReader(files.parts[0].path)
-    assert not reader.sequence(0).flags.owndata and len(reader.sequence(0)) == 64 and reader.mask(0).all()
+    assert not reader.sequence(0).flags.owndata and len(reader.sequence(0)) == 64
+    masks = [reader.mask(i) for i in range(len(reader))]
+    assert masks[0].buffers()[1].address == reader.batches[0].column("mask").values.buffers()[1].address  # views of the file
+    assert all(len(m) == 64 for m in masks) and all(m.true_count == 64 for m in masks[:-1])
+    assert sum(m.true_count for m in masks) == files.parts[0].ids and masks[-1].to_pylist() == [i < masks[-1].true_count for i in range(64)]
     assert not token_files.write_token_files(empty, f"file://{tmp_path}/e", tokens.default_vocabulary()).parts
 
 
