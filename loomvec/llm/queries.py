@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from itertools import permutations
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, langid, licenses, minhash, mixing, packing, quality, sharding, token_files, tokens, warc
+from . import ann, bpe, filter_audit, hard_negatives, langid, licenses, minhash, mixing, packing, quality, sharding, token_files, tokens, warc
 from . import pipeline as stages
 from .common import scratch, written
 from .pipeline import SEQUENCE
@@ -96,13 +98,32 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", x["sentences"].alias("n_sentences"), F.array_join(x["rules"], ",").alias("rules"), F.array_join(x["licences"], ",").alias("licences"), x["name"].alias("licence"), x["family"].alias("family"))
 
 
+def op11_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of all texts by rank, and the bytes that they decode to."""
+    path, pattern = bpe.default_ranks(), bpe.default_pattern()
+    ids = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), bpe.encoded(F.col("text"), path, pattern).alias("ids"))
+    back = ids.withColumn("decoded", bpe.decoded(F.col("ids"), path, pattern))
+    return back.select("doc_id", F.expr("cast(octet_length(ids) div 4 as bigint)").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five filters over all documents in all 120 orders, by language."""
+    return filter_audit.audit_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five negatives for each of the five positives of every hundredth vector."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the corpus pipeline."""
     return stages.run(spark, sf_dir)
 
 
 def queries() -> dict:
-    made = [op1_pack_documents, op2_token_files, op3_mix_domains, op3_mix_totals, op4_quality_rules, op5_near_duplicates, op6_warc_salvage, op7_hilbert_shards, op8_language_id, op9_nearest_vectors, op10_license_scan, pipeline]
+    made = [op1_pack_documents, op2_token_files, op3_mix_domains, op3_mix_totals, op4_quality_rules, op5_near_duplicates, op6_warc_salvage, op7_hilbert_shards, op8_language_id, op9_nearest_vectors, op10_license_scan, op11_bpe_codec, op12_filter_audit, op13_hard_negatives, pipeline]
     return {f.__name__: f for f in made}
 
 
@@ -174,5 +195,39 @@ FROM m
 """
 
 
+def op12_sql() -> str:
+    orders = ", ".join(f"('{''.join(o)}')" for o in permutations("ABCDE"))
+    return f"""
+WITH t AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, list_filter(regexp_split_to_array(t, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w, min(doc_id) OVER (PARTITION BY t) AS first FROM t),
+f AS (SELECT doc_id, part, CASE WHEN len(w) < 200 THEN 1 ELSE 0 END + CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 2 ELSE 0 END
+  + CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t) THEN 4 ELSE 0 END + CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END + CASE WHEN doc_id > first THEN 16 ELSE 0 END AS mask FROM w),
+m AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY 1),
+c AS (SELECT part, mask, count(*) AS n, count(*) FILTER (good) AS g, count(*) FILTER (toxic) AS x FROM f LEFT JOIN m USING (doc_id) GROUP BY 1, 2),
+o AS (SELECT filter_order, unnest(range(1, 6)) AS step FROM (VALUES {orders}) v(filter_order)),
+b AS (SELECT *, 1 << (instr('ABCDE', substr(filter_order, step, 1)) - 1) AS own, list_sum(list_transform(range(1, step), lambda i: 1 << (instr('ABCDE', substr(filter_order, i, 1)) - 1))) AS p FROM o),
+s AS (SELECT part, filter_order, step::INTEGER AS step, own, coalesce(p, 0)::INTEGER AS p FROM b, (SELECT DISTINCT part FROM c)),
+r AS (SELECT s.part, filter_order, step, s.own, coalesce(sum(n) FILTER ((mask & (p | s.own)) = 0), 0)::BIGINT AS kept, coalesce(sum(n) FILTER ((mask & s.own) <> 0 AND (mask & p) = 0), 0)::BIGINT AS removed,
+  coalesce(sum(n) FILTER ((mask & s.own) <> 0 AND (mask & p) <> 0), 0)::BIGINT AS redundant, coalesce(sum(n) FILTER (mask = s.own), 0)::BIGINT AS unique_fails,
+  coalesce(sum(g) FILTER ((mask & s.own) <> 0 AND (mask & p) = 0), 0)::BIGINT AS good_lost, coalesce(sum(x) FILTER ((mask & s.own) <> 0 AND (mask & p) = 0), 0)::BIGINT AS toxic_lost
+  FROM s JOIN c ON s.part = c.part GROUP BY ALL)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost, (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley FROM r
+"""
+
+
+#: Every anchor against every row.
+OP13_SQL = """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS x FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS vec_id, a.label = b.label AS same, list_sum(list_transform(list_zip(a.x, b.x), lambda p: p[1] * p[2]))::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+p AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS n FROM s WHERE same) WHERE n <= 5),
+w AS (SELECT p.anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+  row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY s.score DESC, s.vec_id) AS n
+  FROM p JOIN s ON p.anchor_id = s.anchor_id AND NOT s.same AND 80 * p.score <= 100 * s.score AND 100 * s.score <= 100 * p.score)
+SELECT anchor_id, positive_id, n::INTEGER AS rank, negative_id, positive_score, negative_score FROM w WHERE n <= 5
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op5_near_duplicates": OP5_SQL, "op6_warc_salvage": OP6_SQL, "op9_nearest_vectors": OP9_SQL, "op10_license_scan": op10_sql()}
+    return {"op5_near_duplicates": OP5_SQL, "op6_warc_salvage": OP6_SQL, "op9_nearest_vectors": OP9_SQL, "op10_license_scan": op10_sql(), "op12_filter_audit": op12_sql(), "op13_hard_negatives": OP13_SQL}

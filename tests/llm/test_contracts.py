@@ -19,6 +19,9 @@ CONTRACTS = {
     "op7_hilbert_shards": "doc_id bigint, size bigint, text_crc32 bigint, law string, shard int, slot bigint, grown_shard int",
     "op8_language_id": "doc_id bigint, held_out boolean, lang_pred string, score double",
     "op9_nearest_vectors": "query_id bigint, rank int, vec_id bigint, score double",
+    "op11_bpe_codec": "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string",
+    "op12_filter_audit": "part string, filter_order string, step int, kept bigint, removed bigint, redundant bigint, unique_fails bigint, good_lost bigint, toxic_lost bigint, shapley bigint",
+    "op13_hard_negatives": "anchor_id bigint, positive_id bigint, rank int, negative_id bigint, positive_score bigint, negative_score bigint",
 }
 
 
@@ -28,7 +31,7 @@ def test_columns(spark, name):
     want = [x.split() for x in CONTRACTS[name].split(", ")]
     assert [list(x) for x in frame.dtypes][: len(want)] == want
     table = {"op6": "pages", "op9": "embeddings"}.get(name.split("_")[0], "documents")
-    if name not in ("op1_pack_documents", "op9_nearest_vectors"):
+    if name not in ("op1_pack_documents", "op9_nearest_vectors", "op12_filter_audit", "op13_hard_negatives"):
         assert frame.count() == spark.read.parquet(f"{DATA}/{table}.parquet").count()
 
 
