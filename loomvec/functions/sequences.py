@@ -138,6 +138,25 @@ def chunk_plan(length: Column, size: int, overlap: int) -> Column:
     return F.transform(places, lambda i: F.struct((i * stride).cast("int").alias("chunk_start"), F.least(i * stride + size, length).cast("int").alias("chunk_end")))
 
 
+def chunk_texts(sequence: Column, size: int, overlap: int) -> Column:
+    """Array of (chunk_start, text) of the pieces of ``chunk_plan``, in one pass over the sequence.
+
+    The text is cut into pieces as long as the stride, and a chunk joins as many of them as
+    it spans; a substring for each chunk would walk from the beginning every time.
+    """
+    if not 0 <= overlap < size:
+        raise ValueError("overlap must be at least 0 and below the chunk size")
+    stride = size - overlap
+    span = -(-size // stride)
+    number = chunk_count(F.length(sequence), size, overlap)
+
+    def cut(pieces: Column) -> Column:
+        starts = F.when(number > 0, F.sequence(F.lit(0), number - 1)).otherwise(F.array().cast("array<int>"))
+        return F.transform(starts, lambda i: F.struct((i * stride).alias("chunk_start"), F.substring(F.array_join(F.slice(pieces, i + 1, span), ""), 1, size).alias("text")))
+
+    return let(F.regexp_extract_all(sequence, F.lit(f"(?s).{{1,{stride}}}"), F.lit(0)), cut)
+
+
 def coverage(plan: Column, length: Column, value: Callable[[Column], Column] | None = None) -> Column:
     """Struct of residues, total, least, most, pooled and error of any plan of (chunk_start, chunk_end).
 

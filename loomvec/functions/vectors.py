@@ -52,5 +52,10 @@ def close(a: Column, b: Column, absolute: float = 1e-5, relative: float = 1e-4)
     return F.forall(F.zip_with(a, b, lambda x, y: F.abs(x - y) <= absolute + relative * F.abs(y)), lambda ok: ok)
 
 
+def max_difference(a: Column, b: Column) -> Column:
+    """Largest absolute difference of the elements; null if a side is null."""
+    return F.array_max(F.zip_with(a, b, lambda x, y: F.abs(x.cast("double") - y.cast("double"))))
+
+
 def hash_of(v: Column) -> Column:
     return F.sha2(F.array_join(F.transform(v, lambda x: x.cast("string")), ","), 256)

@@ -7,8 +7,11 @@ from typing import Protocol
 
 import numpy as np
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from ..functions.sequences import SPECIAL, STANDARD
+from ..functions import vectors as V
+from ..functions.sequences import SPECIAL, STANDARD, chunk_count, chunk_texts
+from .groups import vector_sums
 
 
 class Encoder(Protocol):
@@ -47,6 +50,37 @@ class OneHotEncoder:
             raise RowError(f"symbol {e} isn't encoded") from None
 
 
+#: Hydropathy of the residues (the published scale of Kyte and Doolittle); special letters take the mean of what they stand for. Fixed values.
+HYDROPATHY = {
+    "A": 1.8, "C": 2.5, "D": -3.5, "E": -3.5, "F": 2.8, "G": -0.4, "H": -3.2, "I": 4.5, "K": -3.9, "L": 3.8, "M": 1.9, "N": -3.5, "P": -1.6, "Q": -3.5, "R": -4.5,
+    "S": -0.8, "T": -0.7, "V": 4.2, "W": -0.9, "Y": -1.3, "X": 0.0, "B": -3.5, "Z": -3.5, "J": 4.15, "U": 2.5, "O": -3.9,
+}
+
+
+class ProfileEncoder:
+    """Hydropathy profile: each residue's value, and the mean and the largest value of a window around it.
+
+    Windows end where a chunk ends, so states near its edges depend on the chunk.
+    """
+
+    width = 3
+
+    def __init__(self, reach: int = 4):
+        self.reach = reach
+
+    def states(self, chunk: str) -> np.ndarray:
+        try:
+            x = np.array([HYDROPATHY[c] for c in chunk])
+        except KeyError as e:
+            raise RowError(f"symbol {e} isn't encoded") from None
+        r, n = self.reach, len(x)
+        sums, at = np.concatenate([[0.0], np.cumsum(x)]), np.arange(n)
+        low, high = np.maximum(0, at - r), np.minimum(n, at + r + 1)
+        padded = np.concatenate([np.full(r, -np.inf), x, np.full(r, -np.inf)])
+        most = np.lib.stride_tricks.sliding_window_view(padded, 2 * r + 1).max(axis=1) if n else x
+        return np.stack([x, (sums[high] - sums[low]) / (high - low), most], axis=1)
+
+
 class RowError(ValueError):
     """One sequence can't be encoded; any other error ends the job."""
 
@@ -102,3 +136,68 @@ def encode(jobs: DataFrame, encoder: Encoder, size: int, overlap: int, key: str
             yield frame
 
     return jobs.select(key, sequence).mapInPandas(of, f"{key} string, embedding array<{element}>, num_chunks int, error string, error_kind string")
+
+
+def chunk_weights(start: int, length: int, total: int, size: int, overlap: int) -> np.ndarray:
+    """One over the number of chunks that cover each position of the chunk at ``start``, in a sequence of ``total``.
+
+    Chunk i covers [i * stride, i * stride + size), so the chunks over a position are a run
+    of numbers with ends in closed form; the weight changes only at edges of other chunks.
+    """
+    stride = size - overlap
+    last = 0 if total <= size else -(-(total - size) // stride)
+    p = np.arange(start, start + length)
+    first = np.maximum(0, -((size - 1 - p) // stride))
+    return 1.0 / (np.minimum(p // stride, last) - first + 1)
+
+
+def encode_by_chunks(jobs: DataFrame, encoder: Encoder, size: int, overlap: int, key: str = "sequence_hash", sequence: str = "sequence", element: str = "float", parts: int | None = None) -> DataFrame:
+    """As ``encode``, with a row for each chunk: no task holds more states than those of one chunk.
+
+    A chunk's states are added up with the weights of its positions, chunks of any sequence
+    are dealt to all tasks, and the sums of a sequence are added by partial aggregates. A
+    sequence of which one chunk can't be encoded fails with the error of its first such
+    chunk; one whose chunks don't all arrive, or without a letter, fails. ``parts``: number of
+    partitions of the chunk rows (else Spark's).
+    """
+    if size < 1 or overlap < 0:
+        raise ValueError("a chunk must hold a residue and an overlap can't be negative")
+    overlap = min(overlap, size - 1)  # a forced size may be below the configured overlap
+    width = encoder.width
+
+    def of(frames: Iterable) -> Iterator:
+        import pandas as pd
+
+        for frame in frames:
+            out = []
+            whole = frame[["residues", "chunk_start"]].astype("Int32").astype(object).where(frame["text"].notna(), None)
+            for k, n, start, text in zip(frame["key"], whole["residues"], whole["chunk_start"], frame["text"], strict=True):
+                if text is None:  # nothing to encode: not covered below
+                    out.append((k, n, start, None, None))
+                    continue
+                try:
+                    states = encoder.states(text)
+                    if states.shape != (len(text), width):
+                        raise ValueError("an encoder returned states of another shape")
+                    out.append((k, n, start, chunk_weights(start, len(text), n, size, overlap) @ states, None))
+                except RowError as e:
+                    out.append((k, n, start, None, str(e)))
+            out = pd.DataFrame(out, columns=["key", "residues", "chunk_start", "vector", "error"])
+            yield out.astype({"residues": "Int32", "chunk_start": "Int32"})
+
+    chunks = jobs.select(F.col(key).alias("key"), F.length(sequence).alias("residues"), F.explode_outer(chunk_texts(F.col(sequence), size, overlap)).alias("c")).select("key", "residues", "c.*")
+    dealt = chunks.repartition(parts, "key", "chunk_start") if parts else chunks.repartition("key", "chunk_start")
+    sums = dealt.mapInPandas(of, "key string, residues int, chunk_start int, vector array<double>, error string")
+    about = [F.max("residues").alias("residues"), F.count(F.lit(1)).cast("int").alias("num_chunks"), F.min(F.when(F.col("error").isNotNull(), F.struct("chunk_start", "error")))["error"].alias("error")]
+    if width <= 64:
+        whole = vector_sums(sums, "key", "vector", width, about)
+    else:  # chunk rows are used twice, so the encoder's work is written first
+        from .scratch import saved
+
+        whole = vector_sums(saved(sums, "chunks"), "key", "vector", width, about)
+    whole = whole.withColumn("mean", F.transform("sums", lambda x: (x / F.col("residues")).cast(element)))
+    missing = F.col("num_chunks") != chunk_count(F.col("residues"), size, overlap)
+    kind = F.when(F.col("error").isNotNull(), "inference_error").when(missing | ~V.is_valid(F.col("mean"), width), "embedding_quality")
+    said = F.when(F.col("error").isNotNull(), F.col("error")).when(missing, "uncovered position").when(kind.isNotNull(), "vector is not finite or zero")
+    # a failed sequence went through the encoder only if no symbol stopped it, as in ``encode``
+    return whole.select(F.col("key").alias(key), F.when(kind.isNull(), F.col("mean")).alias("embedding"), F.when(F.col("error").isNull(), F.col("num_chunks")).alias("num_chunks"), said.alias("error"), kind.alias("error_kind"))

@@ -11,10 +11,38 @@ def distinct_vectors(rows: DataFrame, group: str, content: str, vector: str) ->
     return rows.groupBy(group, content).agg(F.first(vector).alias(vector))
 
 
+#: Elements that one hash aggregate adds; more columns leave compiled code.
+ELEMENTS = 64
+
+
+def vector_sums(rows: DataFrame, group: str, vector: str, dim: int, extra: list[Column] | None = None, how=F.sum) -> DataFrame:
+    """Element-wise sum of each group (``sums``), and the aggregates ``extra``.
+
+    Vectors of up to ``ELEMENTS`` are one aggregate of a column for each element. Wider ones
+    are cut into such blocks, a row each, and put together again: any width stays in
+    compiled code with partial sums before the shuffle, and a group of any size is never
+    held at once.
+    """
+    extra = extra or []
+    add = lambda c, n: F.array(*(how(F.get(c, F.lit(i)).cast("double")) for i in range(n))).alias("sums")
+    if dim <= ELEMENTS:
+        return rows.groupBy(group).agg(*extra, add(F.col(vector), dim))
+    cut = F.transform(F.sequence(F.lit(0), F.lit(-(-dim // ELEMENTS) - 1)), lambda b: F.slice(F.col(vector), b * ELEMENTS + 1, F.lit(ELEMENTS)))
+    blocks = rows.select(group, F.posexplode(cut).alias("_b", "_v")).groupBy(group, "_b").agg(add(F.col("_v"), ELEMENTS))
+    whole = F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("_b", "sums"))), lambda x: x["sums"]))
+    out = blocks.groupBy(group).agg(F.slice(whole, 1, dim).alias("sums"))
+    return rows.groupBy(group).agg(*extra).join(out, group) if extra else out
+
+
 def vector_mean(rows: DataFrame, group: str, vector: str, dim: int) -> DataFrame:
-    """Element-wise mean of each group: ``dim`` averages in one hash aggregate, no row for each element."""
-    sums = [F.avg(F.get(F.col(vector), F.lit(i)).cast("double")).alias(f"_{i}") for i in range(dim)]
-    return rows.groupBy(group).agg(F.count(F.lit(1)).alias("members"), *sums).select(group, "members", F.array(*(f"_{i}" for i in range(dim))).alias("mean"))
+    """Element-wise mean of each group, with its number of members."""
+    if dim <= ELEMENTS:
+        return vector_sums(rows, group, vector, dim, [F.count(F.lit(1)).alias("members")], F.avg).select(group, "members", F.col("sums").alias("mean"))
+    # a count beside the elements needs no join
+    counted = rows.select(group, F.concat(F.array(F.lit(1.0)), F.transform(vector, lambda x: x.cast("double"))).alias("_v"))
+    sums = vector_sums(counted, group, "_v", dim + 1)
+    mean = F.transform(F.slice("sums", 2, dim), lambda x: x / F.get("sums", F.lit(0)))
+    return sums.select(group, F.get("sums", F.lit(0)).cast("long").alias("members"), mean.alias("mean"))
 
 
 def group_counts(rows: DataFrame, group: str, content: str, ok: Column) -> DataFrame:

@@ -303,13 +303,38 @@ def encode_composition(spark, sf):
     return e.select("sequence_hash", F.substring(F.lit(S.STANDARD + S.SPECIAL), F.col("i") + 1, F.lit(1)).alias("symbol"), F.round("v", 6).alias("share"))
 
 
-@query(f"SELECT sha256(u) AS sequence_hash, TRUE AS same, CASE WHEN length(u) <= {SIZE} THEN 1 ELSE ceil((length(u) - {SIZE}) / {SIZE - OVERLAP}.0) + 1 END::INTEGER AS passes, CASE WHEN length(u) <= 100 THEN 1 ELSE ceil((length(u) - 100) / 1.0) + 1 END::INTEGER AS forced_passes FROM (SELECT DISTINCT upper(raw) AS u FROM ({SEQ}) WHERE raw <> '' AND length(raw) < 700)")
+#: Added before rounding: values halfway between two decimals then round alike, whatever the order of their sums.
+_OFF = 1e-9
+_LETTERS, _VALUES = "".join(encode.HYDROPATHY), list(encode.HYDROPATHY.values())
+
+
+def _profile(size: int, overlap: int, where: str = "raw <> ''") -> str:
+    """SQL of the pooled hydropathy profile: h, passes, v (three values)."""
+    stride = size - overlap
+    last = f"CASE WHEN n <= {size} THEN 0 ELSE ceil((n - {size}) / {stride}.0)::INTEGER END"
+    weigh = lambda v: f"list_sum(list_transform(range(len(x)), lambda p: ({v}) / (least((s + p) // {stride}, last) - greatest(0, ceil((s + p - {size - 1}) / {stride}.0)) + 1)))"
+    near = "x[greatest(1, p - 3):p + 5]"
+    return f"""SELECT h, count(*)::INTEGER AS passes, [sum(a) / any_value(n), sum(b) / any_value(n), sum(c) / any_value(n)] AS v FROM (
+ SELECT h, n, {weigh('x[p + 1]')} AS a, {weigh(f'list_avg({near})')} AS b, {weigh(f'list_max({near})')} AS c FROM (
+  SELECT sha256(u) AS h, n, last, (i * {stride})::INTEGER AS s, list_transform(string_split(substr(u, (i * {stride} + 1)::INTEGER, {size}), ''), lambda c: list_extract({_VALUES}, instr('{_LETTERS}', c))::DOUBLE) AS x FROM (
+   SELECT u, n, last, unnest(generate_series(0, last)) AS i FROM (SELECT u, n, {last} AS last FROM (SELECT DISTINCT upper(raw) AS u, length(raw) AS n FROM ({SEQ}) WHERE {where}))))) GROUP BY h"""
+
+
+@query(f"SELECT h AS sequence_hash, passes AS num_chunks, (unnest(range(3)))::INTEGER AS j, round(unnest(v) + {_OFF}, 6) AS value FROM ({_profile(SIZE, OVERLAP)})")
+def encode_by_chunks(spark, sf):
+    """Hydropathy profile of every distinct sequence, pooled over chunks that are rows of their own."""
+    out = encode.encode_by_chunks(_jobs(spark, sf), encode.ProfileEncoder(), SIZE, OVERLAP, element="double")
+    return out.select("sequence_hash", "num_chunks", F.posexplode("embedding").alias("j", "v")).select("sequence_hash", "num_chunks", "j", F.round(F.col("v") + _OFF, 6).alias("value"))
+
+
+@query(f"""SELECT a.h AS sequence_hash, a.passes, b.passes AS forced_passes, round(list_max(list_transform(list_zip(a.v, b.v), lambda p: abs(p[1] - p[2]))) + {_OFF}, 6) AS max_difference, round(list_cosine_similarity(a.v, b.v), 6) AS cosine,
+ len(list_filter(list_zip(a.v, b.v), lambda p: abs(p[1] - p[2]) > 0.01 + 0.01 * abs(p[2]))) = 0 AS same FROM ({_profile(SIZE, OVERLAP)}) a JOIN ({_profile(200, 50)}) b ON a.h = b.h""")
 def chunk_sensitivity(spark, sf):
-    """Sequences below 700 letters encoded twice, with the usual and a forced chunk size of 100 (overlap cut to 99): the same vector, as states here don't depend on the chunk."""
-    jobs = _jobs(spark, sf).where(F.length("sequence") < 700)
-    one, two = (encode.encode(jobs, encode.OneHotEncoder(), size, OVERLAP, element="double") for size in (SIZE, 100))
+    """Every distinct sequence encoded twice, with the usual chunks and with forced ones of 200 letters, by an encoder whose states depend on the chunk."""
+    one, two = (encode.encode_by_chunks(_jobs(spark, sf), encode.ProfileEncoder(), *x, element="double") for x in ((SIZE, OVERLAP), (200, 50)))
     j = one.select("sequence_hash", F.col("embedding").alias("a"), F.col("num_chunks").alias("passes")).join(two.select("sequence_hash", F.col("embedding").alias("b"), F.col("num_chunks").alias("forced_passes")), "sequence_hash")
-    return j.select("sequence_hash", (V.close(F.col("a"), F.col("b")) & (V.cosine(F.col("a"), F.col("b")) > 0.999999)).alias("same"), "passes", "forced_passes")
+    a, b = F.col("a"), F.col("b")
+    return j.select("sequence_hash", "passes", "forced_passes", F.round(V.max_difference(a, b) + _OFF, 6).alias("max_difference"), F.round(V.cosine(a, b), 6).alias("cosine"), V.close(a, b, 0.01, 0.01).alias("same"))
 
 
 @query(f"SELECT doc_id, chunk_start, round(length(regexp_replace(upper(substr(raw, chunk_start + 1, chunk_end - chunk_start)), '[^L]', '', 'g')) / (chunk_end - chunk_start), 6) AS share_l FROM ({_CHUNKS})")
