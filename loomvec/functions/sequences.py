@@ -44,9 +44,17 @@ def first_bad_position(upper: Column, allowed: str) -> Column:
     return (F.regexp_instr(upper, F.lit(f"[^{allowed}]")) - 1).cast("int")
 
 
+def replaced_symbols(policy: str, supported: str) -> str:
+    """Special symbols that a policy turns into X."""
+    return "".join(s for s in SPECIAL if s not in supported) if policy == "replace_with_X" else ""
+
+
 def clean(raw: Column, policy: str = "keep_if_supported", supported: str = SPECIAL) -> Column:
     """Struct of cleaned, error_kind, error_position, error_symbol for a raw sequence.
 
+    Events are a column of their own (``special_events``): an array with an entry a letter
+    is built only where it is asked for.
+
     A null or blank sequence is invalid. The left-most symbol that isn't allowed decides.
     """
     if policy not in POLICIES:
@@ -65,8 +73,7 @@ def clean(raw: Column, policy: str = "keep_if_supported", supported: str = SPECI
         symbol = F.when(bad >= 0, F.substring(upper, bad + 1, F.lit(1)))
         kind = F.when(bad.isNull(), "invalid_sequence").when(bad >= 0, F.when(F.instr(F.lit(SPECIAL), symbol) > 0, "unsupported_residue").otherwise("invalid_sequence"))
         fixed = F.translate(upper, unsupported, "X" * len(unsupported)) if policy == "replace_with_X" and unsupported else upper
-        events = special_events(upper, unsupported if policy == "replace_with_X" else "")
-        return F.struct(F.when(kind.isNull(), fixed).alias("cleaned"), kind.alias("error_kind"), F.when(bad >= 0, bad).alias("error_position"), symbol.alias("error_symbol"), F.when(kind.isNull(), events).alias("events"))
+        return F.struct(F.when(kind.isNull(), fixed).alias("cleaned"), kind.alias("error_kind"), F.when(bad >= 0, bad).alias("error_position"), symbol.alias("error_symbol"))
 
     return let(compact_upper(raw), of)
 

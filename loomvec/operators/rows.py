@@ -11,6 +11,7 @@ from ..functions import sequences as S
 def prepare(rows: DataFrame, policy: str = "keep_if_supported", supported: str = S.SPECIAL) -> DataFrame:
     """Canonical id, cleaned sequence, hash, lengths and the status pending or failed."""
     got = rows.withColumn("_id", S.canonical_id(F.col("nsc_id"))).withColumn("_c", S.clean(F.col("sequence"), policy, supported))
+    got = got.withColumn("_e", S.special_events(S.compact_upper(F.col("sequence")), S.replaced_symbols(policy, supported)))
     kind = F.when(F.col("_id").isNull(), "invalid_nsc").otherwise(F.col("_c.error_kind"))
     ok = kind.isNull()
     cleaned = F.when(ok, F.col("_c.cleaned"))
@@ -18,15 +19,18 @@ def prepare(rows: DataFrame, policy: str = "keep_if_supported", supported: str =
         got = got.drop("special_residue_events")
     got = got.withColumns({"nsc_id": F.coalesce("_id", F.lit("")), "sequence": cleaned, "error_kind": kind})
     got = got.withColumns({"sequence_hash": S.sequence_hash(F.col("sequence")), "actual_sequence_length": F.length("sequence").cast("long"), "status": F.when(kind.isNull(), "pending").otherwise("failed")})
-    got = got.withColumn("special_residue_events", F.when(ok, F.col("_c.events")))
+    got = got.withColumn("special_residue_events", F.when(F.col("status") == "pending", F.col("_e")))
     if "sequence_length" in rows.columns:
         length = S.declared_length(F.col("sequence_length"), F.col("actual_sequence_length"))
         got = got.withColumn("_l", length).withColumns({"sequence_length": F.col("_l.declared"), "sequence_length_mismatch": F.col("_l.mismatch"), "warning": F.when(F.col("status") == "pending", F.col("_l.warning"))}).drop("_l")
-    return got.drop("_id", "_c")
+    return got.drop("_id", "_c", "_e")
 
 
 def unique_jobs(prepared: DataFrame) -> DataFrame:
-    """The first pending row of every sequence: a partial aggregate, so a frequent sequence is no hot key."""
+    """The first pending row of every sequence: a partial aggregate, so a frequent sequence is no hot key.
+
+    All columns of ``prepared`` travel with the row, so select what is needed before.
+    """
     columns = [c for c in prepared.columns if c != "sequence_hash"]
     first = prepared.where("status = 'pending'").groupBy("sequence_hash").agg(F.min_by(F.struct(*columns), "source_row_index").alias("_r"))
     return first.select(*(F.col("sequence_hash") if c == "sequence_hash" else F.col(f"_r.{c}").alias(c) for c in prepared.columns))

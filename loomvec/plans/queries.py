@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import sequences as S
 from ..functions import vectors as V
 from ..operators import encode, groups, order, pairs, rows, store
+from ..operators.scratch import saved
 from ..sources import relation
 
 DIM = 64
@@ -131,21 +132,41 @@ def within_group_duplicates(spark, sf):
     return rows.prepare(_relation(spark, sf)).where("status = 'pending'").groupBy("nsc_id", "sequence_hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
 
 
+def _first_rows(spark, sf) -> DataFrame:
+    """First rows of all sequences, without the texts."""
+    return rows.unique_jobs(rows.prepare(_relation(spark, sf)).select("source_row_index", "sequence_hash", "status", "actual_sequence_length"))
+
+
 @query(f"WITH {REL}, j AS (SELECT *, row_number() OVER (PARTITION BY sequence_hash ORDER BY source_row_index) AS rn FROM rows_ WHERE status = 'pending') SELECT source_row_index, sequence_hash, length(u)::BIGINT AS n FROM j WHERE rn = 1")
 def unique_jobs(spark, sf):
-    return rows.unique_jobs(rows.prepare(_relation(spark, sf))).select("source_row_index", "sequence_hash", F.col("actual_sequence_length").alias("n"))
+    return _first_rows(spark, sf).select("source_row_index", "sequence_hash", F.col("actual_sequence_length").alias("n"))
 
 
 @query(f"WITH {REL}, j AS (SELECT sequence_hash, any_value(length(u))::BIGINT AS n FROM rows_ WHERE status = 'pending' GROUP BY 1) SELECT row_number() OVER (ORDER BY n DESC, sequence_hash) AS place, sequence_hash, n FROM j")
 def encode_order(spark, sf):
     """All jobs, longest first."""
-    jobs = rows.unique_jobs(rows.prepare(_relation(spark, sf))).select("sequence_hash", F.col("actual_sequence_length").alias("n"))
-    return order.numbered(jobs, -F.col("n"), ["sequence_hash"])
+    return order.by_cost(_first_rows(spark, sf).select("sequence_hash", F.col("actual_sequence_length").alias("n")), F.col("n"), "sequence_hash")
+
+
+_PARTS = 8
+
+
+@query(f"""WITH {REL}, j AS (SELECT sequence_hash, any_value(length(u)) AS n FROM rows_ WHERE status = 'pending' GROUP BY 1),
+c AS (SELECT sequence_hash, n, CASE WHEN n <= {SIZE} THEN 1 ELSE ceil((n - {SIZE}) / {SIZE - OVERLAP}.0)::BIGINT + 1 END AS chunks FROM j),
+p AS (SELECT chunks, sum(chunks) OVER () AS total, sum(chunks) OVER (ORDER BY chunks DESC, sequence_hash ROWS UNBOUNDED PRECEDING) - chunks AS before FROM c)
+SELECT floor(before * {_PARTS} / total)::INTEGER AS part, count(*) AS jobs, sum(chunks)::BIGINT AS chunks, max(chunks)::INTEGER AS largest, (sum(chunks) < any_value(total) / {_PARTS}.0 + max(chunks))::BOOLEAN AS even FROM p GROUP BY 1""")
+def encode_parts(spark, sf):
+    """All jobs in eight partitions of about as many chunks: the mean, and less than one job more."""
+    jobs = _first_rows(spark, sf).withColumn("chunks", S.chunk_count(F.col("actual_sequence_length"), SIZE, OVERLAP)).select("sequence_hash", "chunks")
+    dealt = order.balanced(jobs, F.col("chunks"), "sequence_hash", _PARTS)
+    total = dealt.agg(F.sum("chunks").alias("n")).scalar()
+    out = dealt.groupBy("part").agg(F.count(F.lit(1)).alias("jobs"), F.sum("chunks").alias("chunks"), F.max("chunks").alias("largest"))
+    return out.withColumn("even", F.col("chunks") < total / _PARTS + F.col("largest"))
 
 
 @query(f"WITH {REL}, have AS (SELECT DISTINCT sequence_hash FROM rows_ JOIN labels ON source_row_index = doc_id WHERE status = 'pending'), f AS (SELECT r.*, row_number() OVER (PARTITION BY r.sequence_hash, r.status ORDER BY source_row_index) AS rn, h.sequence_hash IS NOT NULL AS have FROM rows_ r LEFT JOIN have h ON r.sequence_hash = h.sequence_hash) SELECT source_row_index, CASE WHEN status = 'failed' THEN 'failed' WHEN have THEN 'success' ELSE 'failed' END AS status, status = 'pending' AND have AND rn > 1 AS hit, CASE WHEN status = 'pending' AND NOT have THEN 'not_encoded' ELSE error_kind END AS error_kind FROM f")
 def resolved_status(spark, sf):
-    prepared = rows.prepare(_relation(spark, sf))
+    prepared = saved(rows.prepare(_relation(spark, sf)).select("source_row_index", "sequence_hash", "status", "error_kind"), "rows")
     done = prepared.where("status = 'pending'").join(_t(spark, sf, "labels").select(F.col("doc_id").alias("source_row_index")), "source_row_index", "left_semi").select("sequence_hash")
     return rows.resolve(prepared, done).select("source_row_index", "status", F.col("embedding_cache_hit").alias("hit"), "error_kind")
 
@@ -189,8 +210,8 @@ def plan_chunks(spark, sf):
 
 @query(f"SELECT doc_id, chunk_start, greatest(0, coalesce(lag(chunk_end) OVER (PARTITION BY doc_id ORDER BY chunk_start) - chunk_start, 0))::INTEGER AS overlap_prev FROM ({_CHUNKS})")
 def chunk_overlap_prev(spark, sf):
-    w = Window.partitionBy("doc_id").orderBy("chunk_start")
-    return _chunks(spark, sf).select("doc_id", "chunk_start", F.greatest(F.lit(0), F.coalesce(F.lag("chunk_end").over(w) - F.col("chunk_start"), F.lit(0))).cast("int").alias("overlap_prev"))
+    """In closed form: every chunk but the first overlaps the one before by the overlap, unless that one ends sooner."""
+    return _chunks(spark, sf).select("doc_id", "chunk_start", F.when(F.col("chunk_start") > 0, OVERLAP).otherwise(0).alias("overlap_prev"))
 
 
 @query(f"SELECT doc_id, chunk_start, sha256(substr(raw, chunk_start + 1, chunk_end - chunk_start)) AS chunk_hash FROM ({_CHUNKS})")

@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from ..functions import sequences as S
 from ..functions import vectors as V
-from ..operators import encode, groups, order, rows, store
+from ..operators import commits, encode, groups, order, rows, store, waves
+from ..operators.scratch import new_path, saved
 from ..sources import sinks
-from .queries import _CHUNKS, _COS, DIM, OVERLAP, REL, SEQ, SIZE, _chunks, _relation, _sequences, _t, query
+from .queries import _CHUNKS, _COS, DIM, OVERLAP, REL, SEQ, SIZE, _chunks, _first_rows, _relation, _sequences, _t, query
 
 CAPACITY = 2046
 _EVENTS = "list_filter(list_transform(string_split(u, ''), lambda c, i: {'position': i - 1, 'symbol': c, 'replaced_with': CASE WHEN instr('%s', c) > 0 THEN 'X' END}), lambda e: instr('XBZJUO', e.symbol) > 0)"
@@ -115,10 +116,10 @@ m AS (SELECT nsc_id, i, avg(x) AS m FROM (SELECT nsc_id, unnest(e)::DOUBLE AS x,
 
 def _run(spark, sf):
     """Prepared rows, stored vectors by hash, and rows with their vectors."""
-    prepared = rows.prepare(_relation(spark, sf)).select("source_row_index", "nsc_id", "drug_name", "sequence_hash", "status", "error_kind")
+    prepared = saved(rows.prepare(_relation(spark, sf)).select("source_row_index", "nsc_id", "drug_name", "sequence_hash", "status", "error_kind"), "rows")
     pending = prepared.where("status = 'pending'")
     e = _t(spark, sf, "embeddings").select(F.col("vec_id").alias("source_row_index"), "embedding")
-    vectors = pending.join(e, "source_row_index").groupBy("sequence_hash").agg(F.min_by("embedding", "source_row_index").alias("embedding"))
+    vectors = saved(pending.join(e, "source_row_index").groupBy("sequence_hash").agg(F.min_by("embedding", "source_row_index").alias("embedding")), "vectors")
     joined = prepared.join(vectors, "sequence_hash", "left").withColumn("ok", (F.col("status") == "pending") & F.col("embedding").isNotNull())
     return prepared, vectors, joined
 
@@ -222,17 +223,25 @@ def cache_counters(spark, sf):
 @query(f"WITH {REL}, j AS (SELECT sequence_hash, any_value(length(u)) AS n FROM rows_ WHERE status = 'pending' GROUP BY 1), p AS (SELECT n, row_number() OVER (ORDER BY n DESC, sequence_hash) AS place FROM j) SELECT (place - 1) // 100 AS wave, count(*) AS entries, sum(n)::BIGINT AS residues FROM p GROUP BY 1")
 def save_waves(spark, sf):
     """Commits of 100 entries each, in encode order."""
-    jobs = rows.unique_jobs(rows.prepare(_relation(spark, sf))).select("sequence_hash", F.col("actual_sequence_length").alias("n"))
-    placed = order.numbered(jobs, -F.col("n"), ["sequence_hash"])
+    placed = order.by_cost(_first_rows(spark, sf).select("sequence_hash", F.col("actual_sequence_length").alias("n")), F.col("n"), "sequence_hash")
     return store.waves(placed, "place", 100).groupBy("wave").agg(F.count(F.lit(1)).alias("entries"), F.sum("n").alias("residues"))
 
 
-_SETTINGS = ({"model": "a", "width": 64, "overlap": 128, "policy": "keep", "revision": None}, {"model": "a", "width": 64, "overlap": 256, "policy": "keep", "seed": 0})
-
-
-@query("WITH s(field, stored) AS (VALUES ('model', 'a'), ('width', '64'), ('overlap', '128'), ('policy', 'keep'), ('revision', NULL)), c(field, now) AS (VALUES ('model', 'a'), ('width', '64'), ('overlap', '256'), ('policy', 'keep'), ('seed', '0')) SELECT coalesce(s.field, c.field) AS field FROM s FULL JOIN c ON s.field = c.field WHERE s.field IS NULL OR c.field IS NULL OR stored IS DISTINCT FROM now")
+@query("""WITH d AS (SELECT count(*) AS n, max(n_chars) AS longest FROM documents), p AS (SELECT count(*) AS n FROM pages),
+s(field, stored) AS (SELECT * FROM (VALUES ('encoder', 'one-hot'), ('size', '512'), ('overlap', '128'), ('policy', 'keep'), ('revision', NULL), ('layout', '1')) UNION ALL SELECT 'rows', n::VARCHAR FROM d UNION ALL SELECT 'longest', longest::VARCHAR FROM d),
+c(field, now) AS (SELECT * FROM (VALUES ('encoder', 'one-hot'), ('size', '512'), ('overlap', '256'), ('policy', 'keep'), ('seed', '0'), ('layout', '1')) UNION ALL SELECT 'rows', n::VARCHAR FROM p UNION ALL SELECT 'longest', longest::VARCHAR FROM d)
+SELECT coalesce(s.field, c.field) AS field, stored, now FROM s FULL JOIN c ON s.field = c.field WHERE s.field IS NULL OR c.field IS NULL OR stored IS DISTINCT FROM now""")
 def fingerprint_diff(spark, sf):
-    return spark.createDataFrame([(f,) for f in store.differing(*_SETTINGS)], "field string")
+    """Settings of two stores, with figures of the tables among them, read back from their logs and joined."""
+    documents = _t(spark, sf, "documents").agg(F.count(F.lit(1)).alias("n"), F.max("n_chars").alias("longest")).head()
+    shared = {"encoder": "one-hot", "size": SIZE, "policy": "keep", "longest": documents["longest"]}
+    made = [{**shared, "overlap": 128, "revision": None, "rows": documents["n"]}, {**shared, "overlap": 256, "seed": 0, "rows": _t(spark, sf, "pages").count()}]
+    logs = []
+    for settings in made:
+        at = commits.Store(spark, new_path(spark, "store"), settings)
+        at.commit(spark.createDataFrame([], commits.ENTRY))
+        logs.append(commits.settings_of(spark, at.path))
+    return commits.settings_diff(*logs)
 
 
 @query(f"""WITH {REL}, have AS (SELECT DISTINCT sequence_hash FROM rows_ JOIN labels ON source_row_index = doc_id WHERE status = 'pending'), r AS (SELECT r.*, h.sequence_hash IS NOT NULL AS have FROM rows_ r LEFT JOIN have h USING (sequence_hash)),
@@ -240,7 +249,7 @@ u AS (SELECT sequence_hash, any_value(have) AS have FROM r WHERE status = 'pendi
 SELECT (SELECT count(*) FROM r) AS total_rows, (SELECT count(*) FROM r WHERE have) AS successful_rows, (SELECT count(*) FROM r WHERE NOT have) AS failed_rows, (SELECT count(*) FROM u) AS unique_jobs, (SELECT count(*) FROM u WHERE have) AS hits, 0::BIGINT AS newly_computed, (SELECT count(*) FROM u WHERE NOT have) AS failed_jobs, TRUE AS invariant""")
 def run_summary(spark, sf):
     """Rows, jobs and the accounting rule: new + hits + failed = unique jobs."""
-    prepared = rows.prepare(_relation(spark, sf)).select("source_row_index", "sequence_hash", "status", "error_kind")
+    prepared = saved(rows.prepare(_relation(spark, sf)).select("source_row_index", "sequence_hash", "status", "error_kind"), "rows")
     done = prepared.where("status = 'pending'").join(_t(spark, sf, "labels").select(F.col("doc_id").alias("source_row_index")), "source_row_index", "left_semi").select("sequence_hash")
     r = rows.resolve(prepared, done, before=done)
     ok, job = F.col("status") == "success", F.col("sequence_hash")
@@ -252,6 +261,33 @@ def run_summary(spark, sf):
     return out.withColumn("invariant", F.col("newly_computed") + F.col("hits") + F.col("failed_jobs") == F.col("unique_jobs"))
 
 
+_RESIDUES = S.STANDARD + "BZJUO"
+_STORE = {"encoder": f"one-hot {_RESIDUES}", "size": SIZE, "overlap": OVERLAP, "policy": "keep"}
+
+
+def _encode(jobs):
+    """Composition over chunks; a sequence with an X fails."""
+    return encode.encode_by_chunks(jobs, encode.OneHotEncoder(_RESIDUES), SIZE, OVERLAP)
+
+
+@query(f"""WITH s AS (SELECT DISTINCT upper(raw) AS u FROM ({SEQ}) WHERE raw <> ''), j AS (SELECT sha256(u) AS h, length(u) AS n, contains(u, 'X') AS bad, CASE WHEN length(u) <= {SIZE} THEN 1 ELSE ceil((length(u) - {SIZE}) / {SIZE - OVERLAP}.0)::BIGINT + 1 END AS chunks FROM s),
+p AS (SELECT *, (row_number() OVER (ORDER BY n DESC, h) - 1) // (SELECT greatest(1, ceil(count(*) / 4))::BIGINT FROM j) AS wave FROM j),
+w AS (SELECT wave, count(*) AS jobs, count(*) FILTER (NOT bad) AS good, count(*) FILTER (bad) AS failed, coalesce(sum(chunks) FILTER (NOT bad), 0)::BIGINT AS passes FROM p GROUP BY 1)
+SELECT 0 AS run, wave, jobs, 0::BIGINT AS reused, good AS computed, failed, passes FROM w WHERE wave < 2
+UNION ALL SELECT 1, wave, jobs, CASE WHEN wave < 2 THEN good ELSE 0 END, CASE WHEN wave < 2 THEN 0 ELSE good END, failed, CASE WHEN wave < 2 THEN 0 ELSE passes END FROM w""")
+def wave_runs(spark, sf):
+    """All distinct sequences encoded in four waves that commit: one run is stopped after two, the next one computes the rest only."""
+    jobs = saved(_jobs(spark, sf), "jobs")
+    every = max(1, -(-jobs.count() // 4))
+    at = commits.Store(spark, new_path(spark, "store"), _STORE)
+    try:
+        first = waves.encode_waves(jobs, at, _encode, every, stop=lambda wave: wave == 2)
+    except waves.Stopped as e:
+        first = e.waves
+    second = waves.encode_waves(jobs, commits.Store(spark, at.path, _STORE), _encode, every)
+    return waves.report(spark, first, 0).unionByName(waves.report(spark, second, 1))
+
+
 # diagnostics
 @query(f"SELECT a, b, round(c, 6) AS cosine, x.label AS label_a, y.label AS label_b, coalesce(x.label = y.label, FALSE) AS same_label FROM (SELECT a, b, c FROM ({_COS}) ORDER BY c DESC, a DESC, b DESC LIMIT 10) JOIN embeddings x ON x.vec_id = a JOIN embeddings y ON y.vec_id = b")
 def pair_labels(spark, sf):
