@@ -11,10 +11,10 @@ own, whose rounds merge all places of the smallest rank at once where that is th
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
@@ -23,8 +23,8 @@ from pyspark.sql.types import BinaryType
 NONE = np.int32(2**31 - 1)
 #: Bytes of the widest padded matrix; longer matches are rows of their own.
 WIDEST = 256
-#: Cells of a matrix, matches that a worker remembers and their longest, characters that are cut at a time.
-CELLS, KNOWN_WORDS, KNOWN_LENGTH, SLICE = 1 << 20, 400_000, 64, 1 << 21
+#: Cells of a matrix, matches that a worker remembers and their longest, characters and rows that are cut at a time.
+CELLS, KNOWN_WORDS, KNOWN_LENGTH, SLICE, ROWS = 1 << 18, 200_000, 48, 1 << 20, 256
 
 _loaded: dict[tuple[str, str], Codec] = {}
 
@@ -224,6 +224,12 @@ def default_pattern() -> str:
     return public_tokenizers.PATTERN
 
 
+def sliced(column: pa.Array, values: Callable[[list], Iterable[bytes | None]]) -> pa.Array:
+    """Binary values of a column of texts or bytes, few of them as Python objects at a time."""
+    out = [pa.array(values(column.slice(at, ROWS).to_pylist()), pa.binary()) for at in range(0, len(column), ROWS)]
+    return pa.concat_arrays(out) if out else pa.array([], pa.binary())
+
+
 def encoded(text: Column, path: str, pattern: str) -> Column:
     """Ids of whole texts, as binary of little-endian unsigned 32-bit integers.
 
@@ -232,21 +238,21 @@ def encoded(text: Column, path: str, pattern: str) -> Column:
     depends on no other column or row, so repeated rows, extra columns and empty tables
     need no rule.
     """
-    @F.pandas_udf(BinaryType())
-    def of(frames: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf(BinaryType())
+    def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = codec(path, pattern)
-        for texts in frames:
-            yield pd.Series(list(own.encode([t if isinstance(t, str) else None for t in texts])), dtype=object)
+        for texts in batches:
+            yield sliced(texts, lambda some: own.encode(some))
 
     return of(text)
 
 
 def decoded(ids: Column, path: str, pattern: str) -> Column:
     """Bytes of ids as ``encoded`` gives them (null: null). An id that isn't in the vocabulary ends the job."""
-    @F.pandas_udf(BinaryType())
-    def of(frames: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf(BinaryType())
+    def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = codec(path, pattern)
-        for some in frames:
-            yield pd.Series([None if x is None else own.decode(x) for x in some], dtype=object)
+        for ids in batches:
+            yield sliced(ids, lambda some: (None if x is None else own.decode(x) for x in some))
 
     return of(ids)
