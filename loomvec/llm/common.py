@@ -66,6 +66,14 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with marks added until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def table_of(row: DataFrame, column: str, label: str) -> Column:
     """The one value of ``column`` in ``row``, as a scalar subquery: for tables of a fixed size.
 

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import let, table_of, word_list, written
+from .common import free_name, let, table_of, word_list, written
 
 #: Domains in the order of the posteriors, with the share of the tokens that each should get.
 TARGETS = {"prose": 0.92, "toxic": 0.01, "noise": 0.07}
@@ -186,15 +186,19 @@ def goals(held: list[float], n: float, weights: list[float], budget: float | Non
     return [w * total for w in weights]
 
 
-def totals(mixed: DataFrame, targets: dict[str, float] | None = None, budget: float | None = None, most: float = 4.0) -> DataFrame:
-    """One row a domain: tokens held, aimed at, reached by rates and reached by copies, from what ``mix`` gave for the same settings."""
+def totals(mixed: DataFrame, targets: dict[str, float] | None = None, budget: float | None = None, most: float = 4.0, off: float = 0.05) -> DataFrame:
+    """One row a domain: tokens held, aimed at, reached by rates and reached by copies, from what ``mix`` gave for the same settings.
+
+    ``reached`` is false for a domain whose rates are off its target by more than the share
+    ``off`` of it: rates up to ``most`` may not be able to reach it.
+    """
     weights = ordered(targets)
     share = lambda i, x: F.coalesce(F.sum(F.col("mix.tokens") * F.col("mix.posteriors")[i] * x), F.lit(0.0))
     factors = {"held": F.lit(1), "rates": F.col("mix.rate"), "copies": F.col("mix.copies")}
     got = mixed.agg(F.coalesce(F.sum("mix.tokens"), F.lit(0)).cast("double").alias("n"), *(share(i, x).cast("double").alias(f"{f}{i}") for i in range(len(DOMAINS)) for f, x in factors.items())).head()
     goal = goals([got[f"held{i}"] for i in range(len(DOMAINS))], got["n"], weights, budget, most)
-    rows = [(d, got[f"held{i}"], goal[i], got[f"rates{i}"], got[f"copies{i}"]) for i, d in enumerate(DOMAINS)]
-    return mixed.sparkSession.createDataFrame(rows, "domain string, held_tokens double, target_tokens double, rate_tokens double, copied_tokens double")
+    rows = [(d, got[f"held{i}"], goal[i], got[f"rates{i}"], got[f"copies{i}"], abs(got[f"rates{i}"] - goal[i]) <= off * goal[i]) for i, d in enumerate(DOMAINS)]
+    return mixed.sparkSession.createDataFrame(rows, "domain string, held_tokens double, target_tokens double, rate_tokens double, copied_tokens double, reached boolean")
 
 
 def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, budget: float | None = None, most: float = 4.0, text: str = "text", key: str = "doc_id", keep: list[str] | None = None, off_most: float | None = None) -> DataFrame:
@@ -214,11 +218,12 @@ def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = N
     """
     weights = ordered(targets)
     model = table_of(fit_classifier(docs, labels, text=text, key=key), "model", "classifier")
+    fitted, m = free_name(docs, "_model"), free_name(docs, "_m")
     whole = F.coalesce(F.col(text), F.lit(""))
     draw = F.xxhash64(F.col(key), F.col(text)).bitwiseAND(F.lit(DRAW - 1)) / F.lit(float(DRAW))
-    measured = let(tokens_of(whole), lambda w: F.struct(F.size(w).cast("long").alias("tokens"), let(buckets(w), lambda b: posteriors(b, F.col("_model"))).alias("posteriors")))
-    rows = docs.withColumn("_model", model).withColumn("_m", measured).drop("_model")
-    rows = rows.withColumn("mix", F.struct("_m.tokens", "_m.posteriors", draw.alias("draw"))).drop("_m")
+    measured = let(tokens_of(whole), lambda w: F.struct(F.size(w).cast("long").alias("tokens"), let(buckets(w), lambda b: posteriors(b, F.col(fitted))).alias("posteriors")))
+    rows = docs.withColumn(fitted, model).withColumn(m, measured).drop(fitted)
+    rows = rows.withColumn("mix", F.struct(f"{m}.tokens", f"{m}.posteriors", draw.alias("draw"))).drop(m)
     if keep is not None:
         rows = rows.select(*keep, "mix")
     rows = written(rows, "mixing")

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD_CHAR, let, table_of, word_list
+from .common import WORD_CHAR, free_name, let, table_of, word_list
 
 #: log2 of the number of buckets.
 BUCKET_BITS = 17
@@ -128,11 +128,13 @@ def judge(docs: DataFrame, ratios: DataFrame, threshold: float = THRESHOLD, bits
 
     A null or empty text has counts of 0, fails the base rules and isn't kept. Rows
     stay as they are, repeated ones too; an input column named ``verdict`` is replaced.
+    A text of any length is judged whole, in one row's arrays; an empty table gives no rows.
     """
     c = base_counts(F.col(text))
-    score = mean_ratio(F.col(text), F.col("_ratios"), bits)
+    name = free_name(docs, "_ratios")
+    score = mean_ratio(F.col(text), F.col(name), bits)
     measured = F.struct(*(v.alias(k) for k, v in c.items()), score.alias("score"))
-    out = docs.withColumn("_ratios", table_of(ratios, "ratios", "ratios")).withColumn("verdict", measured).drop("_ratios")
+    out = docs.withColumn(name, table_of(ratios, "ratios", "ratios")).withColumn("verdict", measured).drop(name)
     v = F.col("verdict")
     n, r = v["word_counts"]["n"], v["word_counts"]["r"]
     failed = (n < LEAST_WORDS) | (100 * r > REPEAT_PERCENT * n)

@@ -8,6 +8,7 @@ vocabulary's added tokens, goes to the tokenizer whole.
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Iterable, Iterator
 from itertools import compress
@@ -41,6 +42,10 @@ class BpeEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        made = json.loads(self.tokenizer.to_str())
+        # the split by ``_pieces`` holds for a vocabulary of this normalizer and pre-tokenizer alone; any other gets whole texts
+        split = made["pre_tokenizer"] or {}
+        self.splits = made["normalizer"] is None and split.get("type") == "ByteLevel" and not split.get("add_prefix_space") and split.get("use_regex", True)
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.size = self.tokenizer.get_vocab_size()
         self.known: dict[str, bytes] = {}
@@ -69,7 +74,7 @@ class BpeEncoder:
         known = self.known
         for at in range(0, len(texts), SLICE):
             some = texts[at : at + SLICE]
-            split = [(_pieces(t) if _plain(t) and not any(a in t for a in self.added) else None) if t else [] for t in some]
+            split = [(_pieces(t) if self.splits and _plain(t) and not any(a in t for a in self.added) else None) if t else [] for t in some]
             raws = [list(map(known.get, w)) if w else w for w in split]
             # places of words that aren't known yet: ids of a word are never empty
             gaps = [list(compress(range(len(r)), map(not_, r))) if r else () for r in raws]

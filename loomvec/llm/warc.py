@@ -9,6 +9,7 @@ passes, goes on from there, and logs the bytes between as a gap.
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import re
 import zlib
@@ -30,8 +31,8 @@ ARCHIVE_BYTES = 64 << 20
 CHUNK = 1 << 20
 #: Tasks that archives are dealt to at most.
 READ_TASKS = 4096
-_START = re.compile(rb"\x1f\x8b\x08|WARC/1\.[01]\r?\n")
-_VERSION_LINE = re.compile(rb"WARC/1\.[01]\r?\n")
+_START = re.compile(rb"\x1f\x8b\x08|WARC/(?:0\.\d{1,2}|1\.[01])\r?\n")
+_VERSION_LINE = re.compile(rb"WARC/(?:0\.\d{1,2}|1\.[01])\r?\n")
 
 
 class Record(NamedTuple):
@@ -68,6 +69,25 @@ def member(raw: bytes, level: int = 4) -> bytes:
     return made.compress(raw) + made.flush()
 
 
+def stated_digest(value: str) -> tuple[str, bytes] | None:
+    """Algorithm and bytes of a digest header such as ``sha1:...``, in hexadecimal, Base32 or Base64; None if it can't be told."""
+    name, _, text = value.partition(":")
+    name, text = name.strip().lower().replace("-", ""), text.strip()
+    if name not in ("md5", "sha1", "sha224", "sha256", "sha384", "sha512"):
+        return None
+    size, bare = hashlib.new(name).digest_size, text.rstrip("=")
+    try:
+        if len(text) == 2 * size:
+            return name, bytes.fromhex(text)
+        if len(bare) == -(-8 * size // 5):
+            return name, base64.b32decode(bare + "=" * (-len(bare) % 8), casefold=True)
+        if len(bare) == -(-8 * size // 6):
+            return name, base64.b64decode(bare.replace("-", "+").replace("_", "/") + "=" * (-len(bare) % 4), validate=True)
+    except ValueError:
+        pass
+    return None
+
+
 class _Source:
     """Byte ranges of a file, through one window that moves."""
 
@@ -160,8 +180,8 @@ def record_at(data: _Source | _Member, at: int) -> tuple[dict[str, str], bytes,
     block = data.read(start, size)
     if len(block) < size or data.read(start + size, 4) != b"\r\n\r\n":
         raise Broken("the block is cut short or doesn't end where it should")
-    digest = headers.get("warc-block-digest", "")
-    if digest.startswith("sha1:") and hashlib.sha1(block).hexdigest() != digest[5:].lower():
+    stated = stated_digest(headers.get("warc-block-digest", ""))  # one that can't be told isn't verified
+    if stated and hashlib.new(stated[0], block).digest() != stated[1]:
         raise Broken("the block has another digest", start + size + 4)
     return headers, block, start + size + 4
 
@@ -195,7 +215,7 @@ def _member_records(source: _Source, offset: int) -> Iterator[Record | Gap]:
                 found = _VERSION_LINE.search(some)
                 to = at + found.start() if found else size if at + len(some) >= size else at + len(some) - 17
         else:
-            if damage is None or "warc-block-digest" in headers:
+            if damage is None or stated_digest(headers.get("warc-block-digest", "")):
                 yield Record(offset, length, headers, block, at)
         at = to
     if damage is not None:
