@@ -6,51 +6,165 @@ multiplies, so that no row is made for a pair that isn't returned.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .order import numbered_ids
+from .scratch import saved
 
 BLOCK = 512
+#: Vectors that rows are grouped around at most, and blocks whose bounds one task compares.
+PIVOTS, BOUNDS = 4096, 1024
+#: Room for rounding of angles and of sums in another order.
+ROOM = 1e-7
 
 
-def block_top(rows: DataFrame, key: str, vector: str, k: int, farthest: bool = False, block: int = BLOCK) -> DataFrame:
-    """The k pairs of largest (smallest) cosine, by blocks; ties by keys, largest (smallest) first.
+@dataclass(frozen=True)
+class TopPairs:
+    """The pairs (a, b, cosine), and how many pairs of blocks were multiplied and ruled out."""
+
+    pairs: DataFrame
+    visited: int
+    skipped: int
+
+
+def _units(column) -> np.ndarray:
+    m = np.array(column.tolist(), dtype=float)
+    return m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-12)
+
+
+def _best(keys: tuple, units: tuple, k: int, sign: float, least: float):
+    """The k best pairs of two blocks (or of one with itself) that reach ``least``; of equal ones those with the larger (smaller) keys."""
+    import pandas as pd
+
+    score = units[0] @ units[1].T
+    rank = sign * score
+    rank[keys[0][:, None] >= keys[1][None, :] if keys[0] is keys[1] else keys[0][:, None] == keys[1][None, :]] = -np.inf
+    flat = rank.ravel()
+    floor = least
+    if len(flat) > k:
+        floor = max(floor, np.partition(flat, len(flat) - k)[len(flat) - k])
+    at = np.flatnonzero((flat >= floor) & np.isfinite(flat))
+    r, c = np.unravel_index(at, score.shape)
+    a, b = np.minimum(keys[0][r], keys[1][c]), np.maximum(keys[0][r], keys[1][c])
+    first = np.lexsort((-sign * b, -sign * a, -flat[at]))[:k]
+    return pd.DataFrame({"a": a[first], "b": b[first], "cosine": score.ravel()[at][first]}).astype({"a": "int64", "b": "int64", "cosine": "float64"})
+
 
-    Exact, so every pair is multiplied: the work grows with the square of the rows.
+def _blocks(rows: DataFrame, key: str, vector: str, block: int, k: int, sign: float) -> tuple[DataFrame, float]:
+    """key, vector and block, and the k-th best cosine (times ``sign``) among the pivots.
+
+    Rows go to the nearest of some pivots, at most about ``block`` of them together. Pivots
+    are a bounded draw of rows by hash; they decide how tight blocks and the first bound
+    are, never what is found. A pivot that most rows are near to has many blocks.
     """
-    import numpy as np
+    import pandas as pd
 
-    n = max(1, -(-rows.count() // block))
+    tagged = rows.where(F.col(key).isNotNull() & F.col(vector).isNotNull()).select(F.col(key).cast("long").alias("key"), F.col(vector).cast("array<double>").alias("vector"))
+    wanted = min(PIVOTS, 2 * -(-tagged.count() // block))
+    drawn = tagged.orderBy(F.xxhash64("key"), "key").limit(wanted).collect() if wanted else []
+    pivots = _units(pd.Series([r["vector"] for r in drawn])) if drawn else np.zeros((1, 1))
+    numbers = np.array([r["key"] for r in drawn], dtype=np.int64)
+    known = _best((numbers, numbers), (pivots, pivots), k, sign, -np.inf) if drawn else []
+
+    def near(frames):
+        for frame in frames:
+            frame["pivot"] = (_units(frame["vector"]) @ pivots.T).argmax(axis=1).astype(np.int32) if len(frame) else np.empty(0, np.int32)
+            yield frame
+
+    hashed = tagged.withColumn("hash", F.pmod(F.xxhash64("key"), F.lit(1 << 30)).cast("long"))
+    placed = saved(hashed.mapInPandas(near, "key long, vector array<double>, hash long, pivot int"), "pivots")
+    counts = np.zeros(max(1, len(drawn)), np.int64)
+    for r in placed.groupBy("pivot").agg(F.count(F.lit(1)).alias("n")).collect():
+        counts[r["pivot"]] = r["n"]
+    many = np.maximum(1, -(-counts // block))
+    first = np.cumsum(many) - many
+
+    def numbered(frames):
+        for frame in frames:
+            p = frame["pivot"].to_numpy()
+            frame["block"] = (first[p] + frame["hash"].to_numpy() % many[p]).astype(np.int32)
+            yield frame[["key", "vector", "block"]]
+
+    return placed.mapInPandas(numbered, "key long, vector array<double>, block int"), sign * known["cosine"].iloc[-1] if len(known) == k else -np.inf
+
+
+def top_pairs(rows: DataFrame, key: str, vector: str, k: int, farthest: bool = False, block: int = BLOCK) -> TopPairs:
+    """The k pairs of largest (smallest) cosine; ties by keys, largest (smallest) first.
+
+    Rows are dealt to blocks around pivots, each with a centre and the largest angle to it.
+    The pairs of pivots and those within blocks give a first bound; two blocks meet only if the angles between
+    their centres and around them allow a pair that reaches it. Exact for any data: where
+    nothing can be ruled out, as in vectors without structure, all pairs of blocks are
+    multiplied, and the work grows with the square of the rows. Rows with a null key or
+    vector take no part; of equal keys no pair is made.
+    """
+    if k < 1:
+        raise ValueError("at least one pair must be asked for")
     sign = -1.0 if farthest else 1.0
-    tagged = rows.select(F.col(key).alias("key"), F.col(vector).alias("vector"), F.pmod(F.xxhash64(key), F.lit(n)).cast("int").alias("own"))
-    dealt = tagged.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(n - 1)))).select(F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "key", "vector")
+    dealt, bound = _blocks(rows, key, vector, block, k, sign)
+    dealt = saved(dealt, "blocks")
+
+    def own(frame):
+        import pandas as pd
+
+        keys, units = frame["key"].to_numpy(), _units(frame["vector"])
+        out = _best((keys, keys), (units, units), k, sign, -np.inf)
+        centre = units.mean(axis=0)
+        centre = centre / max(np.linalg.norm(centre), 1e-12)
+        about = pd.DataFrame({"block": frame["block"].iloc[:1].to_numpy(), "centre": [centre.tolist()], "angle": [float(np.arccos(np.clip(units @ centre, -1, 1)).max())]})
+        both = pd.concat([out, about], ignore_index=True)
+        both["centre"] = both["centre"].astype(object).where(both["centre"].notna(), None)
+        return both.astype({"a": "Int64", "b": "Int64", "block": "Int32"})
+
+    inside = saved(dealt.groupBy("block").applyInPandas(own, "a long, b long, cosine double, block int, centre array<double>, angle double"), "inside")
+    way = F.asc if farthest else F.desc
+    best = lambda frame: frame.orderBy(way("cosine"), way("a"), way("b")).limit(k)
+    first = inside.where("a is not null").select("a", "b", "cosine")
+    reached = best(first).select("cosine").collect()  # k numbers
+    least = max(bound, sign * reached[-1]["cosine"] if len(reached) == k else -np.inf) - ROOM
+
+    balls = inside.where("block is not null").select("block", "centre", "angle")
+    n = balls.count()
+    groups = max(1, -(-n // BOUNDS))
+    numbers = F.sequence(F.lit(0), F.lit(groups - 1))
+    half = F.floor(F.col("block") / BOUNDS).cast("int")
+    met = balls.withColumn("other", F.explode(numbers)).select(F.least(half, "other").alias("i"), F.greatest(half, "other").alias("j"), half.alias("half"), "block", "centre", "angle")
 
-    def best(frame):
+    def allowed(frame):
         import pandas as pd
 
         i, j = int(frame["i"].iloc[0]), int(frame["j"].iloc[0])
-        sides = [frame[frame["own"] == x] for x in (i, j)]
-        if not len(sides[0]) or not len(sides[1]):
-            return pd.DataFrame({"a": [], "b": [], "cosine": []}).astype({"a": "int64", "b": "int64"})
-        units = []
-        for s in sides:
-            m = np.array(s["vector"].tolist(), dtype=float)
-            units.append(m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-12))
-        keys = [s["key"].to_numpy() for s in sides]
-        score = units[0] @ units[1].T
-        if i == j:
-            score = np.where(keys[0][:, None] < keys[1][None, :], score, -np.inf * sign)
-        flat = (sign * score).ravel()
-        at = np.flatnonzero(flat >= np.partition(flat, max(0, len(flat) - k))[max(0, len(flat) - k)])
-        r, c = np.unravel_index(at, score.shape)
-        a, b = np.minimum(keys[0][r], keys[1][c]), np.maximum(keys[0][r], keys[1][c])
-        keep = np.isfinite(score[r, c])
-        return pd.DataFrame({"a": a[keep], "b": b[keep], "cosine": score[r, c][keep]})
-
-    found = dealt.groupBy("i", "j").applyInPandas(best, "a long, b long, cosine double")
-    way = (lambda c: F.asc(c)) if farthest else (lambda c: F.desc(c))
-    return found.orderBy(way("cosine"), way("a"), way("b")).limit(k)
+        left, right = frame[frame["half"] == i], frame[frame["half"] == j]
+        if not len(left) or not len(right):
+            return pd.DataFrame({"i": [], "j": []}).astype("int32")
+        between = np.arccos(np.clip(np.array(left["centre"].tolist()) @ np.array(right["centre"].tolist()).T, -1, 1))
+        around = left["angle"].to_numpy()[:, None] + right["angle"].to_numpy()[None, :] + ROOM
+        most = -np.cos(np.minimum(np.pi, between + around)) if farthest else np.cos(np.maximum(0, between - around))
+        a, b = left["block"].to_numpy(), right["block"].to_numpy()
+        r, c = np.nonzero((most + ROOM >= least) & (a[:, None] < b[None, :]))
+        return pd.DataFrame({"i": a[r], "j": b[c]}).astype("int32")
+
+    kept = saved(met.groupBy("i", "j").applyInPandas(allowed, "i int, j int"), "meetings")
+    visited = kept.count()
+
+    def visit(left, right):
+        return _best((left["key"].to_numpy(), right["key"].to_numpy()), (_units(left["vector"]), _units(right["vector"])), k, sign, least)
+
+    def side(name: str):
+        mine = dealt.select(*(F.col(c).alias(c) for c in ("key", "vector")), F.col("block").alias(name))
+        return mine.join(kept.select(*(F.col(c).alias(c) for c in "ij")), name).groupBy("i", "j")
+
+    across = side("i").cogroup(side("j")).applyInPandas(visit, "a long, b long, cosine double")
+    return TopPairs(best(first.unionByName(across)), visited, n * (n - 1) // 2 - visited)
+
+
+def block_top(rows: DataFrame, key: str, vector: str, k: int, farthest: bool = False, block: int = BLOCK) -> DataFrame:
+    """The pairs of ``top_pairs``."""
+    return top_pairs(rows, key, vector, k, farthest, block).pairs
 
 
 def cosine_statistics(pairs: DataFrame, threshold: float = 0.995, digits: int = 6) -> DataFrame:
@@ -84,8 +198,6 @@ BINS = 1 << 16
 
 def all_pairs_statistics(rows: DataFrame, key: str, vector: str, threshold: float = 0.995, digits: int = 6, block: int = BLOCK) -> DataFrame:
     """``cosine_statistics`` of all pairs, by block sums and histograms; percentiles to 2 / ``BINS`` ** 2."""
-    import numpy as np
-
     n = max(1, -(-rows.count() // block))
     tagged = rows.select(F.col(key).alias("key"), F.col(vector).alias("vector"), F.pmod(F.xxhash64(key), F.lit(n)).cast("int").alias("own"))
     dealt = tagged.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(n - 1)))).select(F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "key", "vector")

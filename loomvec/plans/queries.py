@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import sequences as S
 from ..functions import vectors as V
-from ..operators import encode, groups, order, pairs, rows, store
+from ..operators import encode, groups, order, pairs, quantiles, rows, store
 from ..operators.scratch import saved
 from ..sources import relation
 
@@ -326,13 +326,19 @@ def first_seen_label(spark, sf):
     return _t(spark, sf, "documents").groupBy("lang").agg(F.min_by("source", "doc_id").alias("first_source"), F.min("doc_id").alias("first_doc"))
 
 
-_NORMS = "SELECT list_sum(list_transform(embedding, lambda x: x::DOUBLE * x::DOUBLE)) AS n2, sqrt(list_sum(list_transform(embedding, lambda x: x::DOUBLE * x::DOUBLE))) * (1 + vec_id % 7) AS n FROM embeddings"
+_NORMS = "SELECT sqrt(list_sum(list_transform(embedding, lambda x: x::DOUBLE * x::DOUBLE))) * (1 + vec_id % 7) AS n, list_avg(embedding::DOUBLE[]) AS m, list_stddev_pop(embedding::DOUBLE[]) AS d FROM embeddings"
+_POINTS = (1, 5, 25, 50, 75, 95, 99)
 
 
-@query(f"SELECT count(*) AS vectors, round(min(n), 6) AS min, round(max(n), 6) AS max, round(avg(n), 6) AS mean, round(quantile_disc(n, 0.5), 6) AS median, round(stddev_pop(n), 6) AS deviation, round(quantile_cont(n, 0.05), 6) AS p5, round(quantile_cont(n, 0.95), 6) AS p95 FROM ({_NORMS})")
+@query("SELECT count(*) AS vectors, round(min(n), 6) AS min, round(max(n), 6) AS max, round(avg(n), 6) AS mean, round(quantile_disc(n, 0.5), 6) AS median, round(stddev_pop(n), 6) AS deviation, " + ", ".join(f"round(quantile_cont(n, {p / 100}), 6) AS p{p}" for p in _POINTS) + ", " + ", ".join(f"round({f}({c}), 6) AS {a}_{f}" for c, a in (("m", "mean"), ("d", "deviation")) for f in ("min", "max", "avg")) + f" FROM ({_NORMS})")
 def norm_distribution(spark, sf):
-    n = _t(spark, sf, "embeddings").select((V.norm(F.col("embedding")) * (1 + F.col("vec_id") % 7)).alias("n"))
-    return n.agg(F.count(F.lit(1)).alias("vectors"), *(F.round(x, 6).alias(a) for a, x in [("min", F.min("n")), ("max", F.max("n")), ("mean", F.avg("n")), ("median", F.expr("percentile_disc(0.5) within group (order by n)")), ("deviation", F.stddev_pop("n")), ("p5", F.percentile("n", F.lit(0.05))), ("p95", F.percentile("n", F.lit(0.95)))]))
+    """Norms with all percentiles by refined histograms, and the spread of the vectors' means and deviations."""
+    v = F.col("embedding")
+    n = saved(_t(spark, sf, "embeddings").select((V.norm(v) * (1 + F.col("vec_id") % 7)).alias("n"), V.mean(v).alias("m"), V.deviation(v).alias("d")), "norms")
+    about = n.agg(F.count(F.lit(1)).alias("vectors"), *(F.round(x, 6).alias(a) for a, x in [("min", F.min("n")), ("max", F.max("n")), ("mean", F.avg("n")), ("deviation", F.stddev_pop("n"))]),
+                  *(F.round(f(c), 6).alias(f"{a}_{k}") for c, a in (("m", "mean"), ("d", "deviation")) for k, f in (("min", F.min), ("max", F.max), ("avg", F.avg))))
+    ranks = quantiles.order_statistics(n, "n", {f"p{p}": p / 100 for p in _POINTS}, {"median": 0.5}).head()
+    return about.withColumns({c: F.round(F.lit(ranks[c]), 6) for c in ("median", *(f"p{p}" for p in _POINTS))})
 
 
 def _drawn(most: int) -> str:
