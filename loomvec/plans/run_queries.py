@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 from ..functions import sequences as S
 from ..functions import vectors as V
 from ..operators import commits, encode, groups, order, rows, store, waves
+from ..operators import run as runs
 from ..operators.scratch import new_path, saved
-from ..sources import sinks
+from ..sources import relation, sinks
+from ..streaming import incremental
 from .queries import _CHUNKS, _COS, DIM, OVERLAP, REL, SEQ, SIZE, _chunks, _first_rows, _relation, _sequences, _t, query
 
 CAPACITY = 2046
@@ -107,6 +109,13 @@ def coverage_gap(spark, sf):
     return c.select("doc_id", F.col("c.error").isNotNull().alias("gap"), "c.error")
 
 
+@query("SELECT doc_id, (row_number() OVER (ORDER BY doc_id) - 1)::BIGINT AS source_row_index FROM documents")
+def source_rows(spark, sf):
+    """Documents written as several files in order, with the index of each row in file order, whatever moves the rows later."""
+    files = saved(_t(spark, sf, "documents").select("doc_id", "lang").repartitionByRange(5, "doc_id").sortWithinPartitions("doc_id"), "source")
+    return relation.with_row_index(files).repartition(7, "lang").select("doc_id", "source_row_index")
+
+
 # vectors of rows and groups
 _JOINED = f"""WITH {REL}, v AS (SELECT sequence_hash, arg_min(embedding, source_row_index) AS e FROM rows_ JOIN embeddings ON source_row_index = vec_id WHERE status = 'pending' GROUP BY 1),
 j AS (SELECT r.*, v.e, r.status = 'pending' AND v.e IS NOT NULL AS ok FROM rows_ r LEFT JOIN v USING (sequence_hash)),
@@ -288,6 +297,44 @@ def wave_runs(spark, sf):
     return waves.report(spark, first, 0).unionByName(waves.report(spark, second, 1))
 
 
+_CHUNKED = f"CASE WHEN n <= {SIZE} THEN 1 ELSE ceil((n - {SIZE}) / {SIZE - OVERLAP}.0)::BIGINT + 1 END"
+
+
+@query(f"""WITH {REL}, p AS (SELECT *, length(u) AS n FROM rows_), j AS (SELECT sequence_hash, any_value(n) AS n, bool_or(contains(u, 'X')) AS bad, bool_or(l.doc_id IS NOT NULL) AS stored, bool_or(quality = 1) AS target
+ FROM p LEFT JOIN labels l ON source_row_index = l.doc_id WHERE status = 'pending' GROUP BY 1),
+s AS (SELECT *, stored AND NOT bad AS hit, {_CHUNKED} AS chunks FROM j),
+r AS (SELECT p.*, s.bad, p.status = 'pending' AND NOT s.bad AS ok FROM p LEFT JOIN s USING (sequence_hash))
+SELECT (SELECT count(*) FROM r) AS total_rows, (SELECT count(*) FILTER (ok) FROM r) AS successful_rows, (SELECT count(*) FILTER (ok IS DISTINCT FROM TRUE) FROM r) AS failed_rows, count(*) AS unique_sequences, count(*) AS unique_jobs,
+ count(*) FILTER (NOT bad AND NOT hit) AS newly_computed, count(*) FILTER (bad) AS failed_jobs, count(*) FILTER (hit) AS hits, count(*) FILTER (NOT hit) AS misses, count(*) FILTER (hit AND target) AS same_branch_hits,
+ count(*) FILTER (hit AND target IS DISTINCT FROM TRUE) AS cross_branch_hits, count(*) FILTER (hit) AS total_hits, count(*) FILTER (NOT bad AND NOT hit) + count(*) FILTER (bad) + count(*) FILTER (hit) = count(*) AS accounting_holds,
+ (SELECT count(*) FROM p WHERE status = 'pending' AND n > 2048) AS long_rows, count(*) FILTER (n > {SIZE}) AS unique_chunked, coalesce(sum(chunks) FILTER (NOT bad AND NOT hit), 0)::BIGINT AS forward_passes, {len(_RESIDUES)}::BIGINT AS embedding_dim,
+ (SELECT count(DISTINCT nsc_id) FROM r WHERE ok) AS groups_with_vector FROM s""")
+def run_report(spark, sf):
+    """All figures of a run that finds the labelled documents in the store, under two branches, and encodes the rest."""
+    prepared = saved(rows.prepare(_relation(spark, sf)), "prepared")
+    at = commits.Store(spark, new_path(spark, "store"), _STORE)
+    label = _t(spark, sf, "labels").select(F.col("doc_id").alias("source_row_index"), F.when(F.col("quality") == 1, "target").otherwise("other").alias("branch"))
+    known = prepared.where("status = 'pending'").join(label, "source_row_index").groupBy("sequence_hash").agg(F.min_by("sequence", "source_row_index").alias("sequence"), F.array_sort(F.collect_set("branch")).alias("branches"))
+    known = saved(known, "known")
+    at.commit(_encode(known.select("sequence_hash", "sequence")).join(known.select("sequence_hash", "branches"), "sequence_hash"))
+    return runs.report(spark, runs.run(prepared, at, _encode, SIZE, OVERLAP, len(_RESIDUES)).summary)
+
+
+@query(f"""WITH s AS (SELECT DISTINCT upper(raw) AS u FROM ({SEQ}) WHERE raw <> ''), j AS (SELECT sha256(u) AS h, length(u) AS n FROM s WHERE NOT contains(u, 'X'))
+SELECT h AS sequence_hash, {_CHUNKED}::INTEGER AS num_chunks, 'target' AS branches, 1::BIGINT AS times FROM j""")
+def incremental_encode(spark, sf):
+    """The documents as a stream of files, run twice: the entries of the store, each once."""
+    at = commits.Store(spark, new_path(spark, "store"), _STORE)
+    checkpoint = new_path(spark, "stream")
+    text = F.regexp_replace("text", "[^A-Za-z]+", "")
+    jobs = lambda batch: batch.select(F.upper(text).alias("sequence")).withColumn("sequence_hash", S.sequence_hash(F.col("sequence")))
+    for _ in range(2):
+        incremental.stream_into(spark, *incremental.source_of(spark, f"{sf}/documents.parquet"), at, checkpoint, jobs, _encode).awaitTermination()
+    # as the files hold them, before they are united
+    stored = at._read(at.log()).where("error is null")
+    return stored.groupBy("sequence_hash").agg(F.max("num_chunks").alias("num_chunks"), F.array_join(F.max("branches"), ",").alias("branches"), F.count(F.lit(1)).alias("times"))
+
+
 # diagnostics
 @query(f"SELECT a, b, round(c, 6) AS cosine, x.label AS label_a, y.label AS label_b, coalesce(x.label = y.label, FALSE) AS same_label FROM (SELECT a, b, c FROM ({_COS}) ORDER BY c DESC, a DESC, b DESC LIMIT 10) JOIN embeddings x ON x.vec_id = a JOIN embeddings y ON y.vec_id = b")
 def pair_labels(spark, sf):

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 REQUIRED = ("nsc_id", "sequence")
@@ -20,14 +21,21 @@ def canonical_columns(names: list[str]) -> list[str]:
     return out
 
 
-def read_csv(spark: SparkSession, path: str, required: tuple[str, ...] = REQUIRED) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, required: tuple[str, ...] = REQUIRED, lines: bool = False) -> DataFrame:
     """All columns as text, with ``source_row_index`` in file order; no type is inferred.
 
+    ``lines`` says that no field holds a line end: large files are then read in splits.
+
     The header is read as a row of its own, since Spark renames headers that differ in
     case only.
     """
-    options = {"header": False, "escape": '"', "multiLine": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
-    head = spark.read.options(**options).csv(path).head()
+    options = {"header": False, "escape": '"', "multiLine": not lines, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    try:
+        head = spark.read.options(**options).csv(path).head()
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            raise InputError(f"there is no input at {path}") from None
+        raise
     if head is None:
         raise InputError("the input is empty")
     names = [(x or "").lstrip("﻿") for x in head]
@@ -41,18 +49,20 @@ def read_csv(spark: SparkSession, path: str, required: tuple[str, ...] = REQUIRE
 
 
 def with_row_index(frame: DataFrame) -> DataFrame:
-    """Gapless index in input order, from counts of partitions; the driver sees one number a partition.
+    """Gapless ``source_row_index`` of rows as they stand in their files, files in order of their paths.
 
-    Order within one file; Spark packs several files by size, so theirs follows that packing.
+    For a frame straight from a file reader. Each split of a file has a number of rows and
+    a first place, one row of a small table that is joined back by the split's metadata:
+    no literal grows with the input, and the order doesn't depend on how splits are packed
+    into tasks. Parquet files know the place of each row, so only the files are counted.
     """
-    tagged = frame.withColumn("_p", F.spark_partition_id()).withColumn("_i", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
-    counts = {r["_p"]: r["n"] for r in tagged.groupBy("_p").agg(F.count(F.lit(1)).alias("n")).collect()}
-    starts, at = [], 0
-    for p in range(max(counts, default=-1) + 1):
-        starts.append(at)
-        at += counts.get(p, 0)
-    first = F.get(F.array(*map(F.lit, starts)), F.col("_p")) if starts else F.lit(0)
-    return tagged.withColumn("source_row_index", (first + F.col("_i")).cast("long")).drop("_p", "_i")
+    places = "row_index" in frame.select("_metadata.*").columns
+    tagged = frame.withColumns({"_f": F.col("_metadata.file_path"), "_s": F.lit(0).cast("long") if places else F.col("_metadata.file_block_start")})
+    tagged = tagged.withColumn("_i", F.col("_metadata.row_index") if places else F.monotonically_increasing_id())
+    splits = tagged.groupBy("_f", "_s").agg(F.count(F.lit(1)).alias("_n"), F.min("_i").alias("_first"))
+    before = F.sum("_n").over(Window.orderBy("_f", "_s")) - F.col("_n")  # a row a split
+    starts = splits.select("_f", "_s", (before - F.col("_first")).alias("_shift"))
+    return tagged.join(starts, ["_f", "_s"]).withColumn("source_row_index", (F.col("_i") + F.col("_shift")).cast("long")).drop("_f", "_s", "_i", "_shift")
 
 
 def file_hash(spark: SparkSession, path: str) -> DataFrame:
