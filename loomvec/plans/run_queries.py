@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import sequences as S
 from ..functions import vectors as V
-from ..operators import commits, encode, groups, order, rows, store, waves
+from ..operators import commits, encode, groups, order, rows, store, validate, waves
 from ..operators import run as runs
 from ..operators.scratch import new_path, saved
 from ..sources import relation, sinks
@@ -210,6 +210,33 @@ def validator_checks(spark, sf):
     return out
 
 
+_SEEN = [
+    *((f"{a} can be read", "1") for a in validate.ARTIFACTS), ("every row succeeded or failed", "n"), ("every failed row says why", "failed"), ("every successful row has a hash", "good"), ("length mismatches are True, False or empty", "n"),
+    ("row numbers don't repeat", "n"), ("group keys are canonical", "named"), ("groups don't repeat", "g"), ("members of a group add up", "g"), (f"entries have {DIM} elements", "e"), ("entries are finite and not zero", "e"),
+    ("entries don't repeat", "e"), (f"group vectors have {DIM} elements", "gv"), ("group vectors are finite and not zero", "gv"), ("only valid rows have an index", "n"), ("the index counts valid rows from 0 without gaps", "good"),
+    ("failed_rows holds every failed row", "failed"), ("failed rows are rows", "failed"), ("every hash of a successful row has an entry", "e"), ("the mask covers all rows and is true where a row succeeded", "n"), ("every group of the rows is a group", "g"),
+    ("groups with a vector are those with a success", "gv"), ("group vectors are the means of their entries", "gv"),
+]
+
+
+@query(f"""{_JOINED}, c AS (SELECT count(*) AS n, count(*) FILTER (ok) AS good, count(*) FILTER (NOT ok) AS failed, count(DISTINCT nsc_id) AS g, count(DISTINCT nullif(nsc_id, '')) AS named, (SELECT count(*) FROM v) AS e, count(DISTINCT nsc_id) FILTER (ok) AS gv FROM j)
+""" + " UNION ALL ".join(f"SELECT '{name.replace(chr(39), chr(39) * 2)}' AS name, {seen}::BIGINT AS seen, 0::BIGINT AS bad FROM c" for name, seen in _SEEN))
+def validated_artifacts(spark, sf):
+    """All artifacts of a run over the documents, written, read back and checked."""
+    folder = new_path(spark, "artifacts")
+    prepared = saved(rows.prepare(_relation(spark, sf)).drop("sequence"), "prepared")
+    e = _t(spark, sf, "embeddings").select(F.col("vec_id").alias("source_row_index"), "embedding")
+    entries = saved(prepared.where("status = 'pending'").join(e, "source_row_index").groupBy("sequence_hash").agg(F.min_by("embedding", "source_row_index").alias("embedding")), "entries")
+    joined = prepared.join(entries, "sequence_hash", "left").withColumn("ok", (F.col("status") == "pending") & F.col("embedding").isNotNull())
+    final = joined.withColumns({"error": F.when(~F.col("ok"), F.coalesce("error_kind", F.lit("sequence was not encoded"))), "status": F.when(F.col("ok"), "success").otherwise("failed")})
+    final = saved(final, "final")
+    distinct = groups.distinct_vectors(final.where("ok"), "nsc_id", "sequence_hash", "embedding")
+    mean = groups.checked_mean(groups.vector_mean(distinct, "nsc_id", "embedding", DIM), "mean").select("nsc_id", "mean")
+    summary = groups.group_summary(final, entries, "nsc_id", "sequence_hash", "drug_name", "source_row_index", F.col("ok"), DIM)
+    sinks.write_artifacts(folder, final.drop("ok", "embedding"), sinks.row_vectors(final, "source_row_index", F.col("ok")).select("source_row_index", "row_valid", "vector_index", "embedding"), summary, mean, entries)
+    return validate.validate(spark, folder, DIM)
+
+
 # store
 _ENTRIES = "b AS (SELECT doc_id, CASE WHEN quality = 1 THEN ['target'] ELSE ['other'] END AS branches FROM labels)"
 

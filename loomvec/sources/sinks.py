@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.order import numbered_ids
+from ..operators.scratch import saved
 
 #: Columns of the row provenance, in order. Fixed values.
 PROVENANCE = [
@@ -34,20 +35,25 @@ def row_vectors(rows: DataFrame, index: str, valid: Column) -> DataFrame:
     return rows.join(kept, index, "left").withColumn("row_valid", F.col("vector_index").isNotNull())
 
 
-def write_artifacts(folder: str, rows: DataFrame, vectors: DataFrame, groups: DataFrame, group_vectors: DataFrame) -> None:
-    """All artifacts of a run: row and group provenance (CSV), failed rows (CSV), row and group vectors (Parquet)."""
-    payload = row_payload(rows)
+def write_artifacts(folder: str, rows: DataFrame, vectors: DataFrame, groups: DataFrame, group_vectors: DataFrame, entries: DataFrame | None = None) -> None:
+    """All artifacts of a run: row and group provenance (CSV), failed rows (CSV), row and group vectors and entries (Parquet).
+
+    The payload of the rows is computed once; both files of rows are written from it.
+    """
+    payload = saved(row_payload(rows), "payload")
     write_csv(payload, f"{folder}/rows")
     write_csv(payload.where("status = 'failed'").select(*PROVENANCE), f"{folder}/failed_rows")
     write_csv(groups, f"{folder}/groups")
     vectors.write.mode("overwrite").parquet(f"{folder}/row_vectors")
     group_vectors.write.mode("overwrite").parquet(f"{folder}/group_vectors")
+    if entries is not None:
+        entries.write.mode("overwrite").parquet(f"{folder}/entries")
 
 
 def write_csv(frame: DataFrame, path: str) -> None:
-    """Text files with a header; null becomes an empty field, booleans True and False."""
+    """Text files with a header; null becomes an empty field, booleans True and False, quotes are doubled."""
     shown = [F.initcap(F.col(c).cast("string")).alias(c) if t == "boolean" else F.col(c) for c, t in frame.dtypes]
-    frame.select(*shown).write.mode("overwrite").options(header=True, emptyValue="", nullValue="").csv(path)
+    frame.select(*shown).write.mode("overwrite").options(header=True, emptyValue="", nullValue="", escape='"').csv(path)
 
 
 def wide(frame: DataFrame, vector: str, dim: int, prefix: str = "emb") -> DataFrame:

@@ -27,7 +27,7 @@ def test_artifacts_are_written_and_read_back(spark, tmp_path):
     assert [(r["row_valid"], r["vector_index"]) for r in vectors.orderBy("source_row_index").collect()] == [(True, 0), (True, 1), (False, None), (False, None), (False, None), (False, None)]
     summary = groups.group_summary(prepared.withColumn("drug_name", F.lit(" ")), prepared.select("sequence_hash").where("sequence_hash is not null"), "nsc_id", "sequence_hash", "drug_name", "source_row_index", F.col("status") == "pending", 1)
     sinks.write_artifacts(f"{tmp_path}/out", prepared, vectors.select("source_row_index", "vector_index"), summary, summary.select("nsc_id"))
-    back = spark.read.csv(f"{tmp_path}/out/rows", header=True).orderBy(F.col("source_row_index").cast("int")).collect()
+    back = spark.read.csv(f"{tmp_path}/out/rows", header=True, escape='"').orderBy(F.col("source_row_index").cast("int")).collect()
     assert back[0]["special_residue_events"] == '[{"position":3,"symbol":"U","replaced_with":"X"}]' and back[0]["sequence_length_mismatch"] == "False"
     assert back[1]["error"] == "mismatch" and back[1]["status"] == "success" or back[1]["status"] == "pending"
     assert spark.read.csv(f"{tmp_path}/out/failed_rows", header=True).count() == 4
