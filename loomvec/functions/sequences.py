@@ -121,6 +121,17 @@ def gathered(values: Column, places: Column) -> Column:
     return F.transform(places, lambda i: F.get(values, i))
 
 
+def checked_positions(places: Column, residues: Column) -> Column:
+    """``places`` as they are; a number other than ``residues`` ends the job."""
+    wrong = F.concat(F.lit("a sequence of "), residues.cast("string"), F.lit(" residues has "), F.size(places).cast("string"), F.lit(" positions"))
+    return F.when(F.size(places) == residues, places).otherwise(F.raise_error(wrong))
+
+
+def checked_order(symbols: Column, places: Column, sequence: Column) -> Column:
+    """``places`` as they are; symbols there that don't spell the sequence end the job."""
+    return F.when(F.array_join(gathered(symbols, places), "") == sequence, places).otherwise(F.raise_error(F.lit("symbols at residue positions are in another order than the sequence")))
+
+
 def declared_length(declared: Column, actual: Column) -> Column:
     """Struct of declared (bigint), mismatch and warning of a declared length."""
     number = trimmed(declared).try_cast("bigint")

@@ -12,6 +12,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import vectors as V
 from .order import numbered_ids
 from .scratch import saved
 
@@ -176,6 +177,28 @@ def cosine_statistics(pairs: DataFrame, threshold: float = 0.995, digits: int =
     return out.select("pairs", *named, *(F.round(F.col("p")[i], digits).alias(f"p{int(x * 100)}") for i, x in enumerate(points)))
 
 
+#: Vectors up to which all pairs are looked at, pairs that are drawn beyond, and the share of near-equal pairs that means collapse.
+EXACT_MOST, DRAWN, COLLAPSE = 1000, 20_000, 0.99
+
+
+def cosine_report(rows: DataFrame, key: str, vector: str, threshold: float = 0.995, seed: int = 0, digits: int = 6) -> DataFrame:
+    """Statistics of cosines with ``method`` (exact or sampled), ``vectors`` and a ``warning`` where the vectors have collapsed.
+
+    Up to ``EXACT_MOST`` vectors all pairs are taken; beyond, ``DRAWN`` distinct pairs drawn
+    by position with a fixed seed, so that the work doesn't grow with the square.
+    """
+    n = rows.count()
+    if n <= EXACT_MOST:
+        out = all_pairs_statistics(rows, key, vector, threshold, digits)
+    else:
+        drawn = drawn_pairs(rows, key, DRAWN, seed)
+        for x in ("a", "b"):
+            drawn = drawn.join(rows.select(F.col(key).alias(x), F.col(vector).alias(f"v{x}")), x)
+        out = cosine_statistics(drawn.select(V.cosine(F.col("va"), F.col("vb")).alias("cosine")), threshold, digits)
+    warning = F.when(F.col("collapsed") > COLLAPSE, "nearly all vectors point the same way")
+    return out.withColumns({"vectors": F.lit(n).cast("long"), "method": F.lit("exact" if n <= EXACT_MOST else "sampled"), "warning": warning})
+
+
 def drawn_pairs(keys: DataFrame, key: str, most: int, seed: int = 0) -> DataFrame:
     """At most ``most`` distinct pairs a < b of distinct integer keys, drawn from three times as many draws.
 

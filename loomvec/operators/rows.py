@@ -53,10 +53,11 @@ def resolve(prepared: DataFrame, store: DataFrame, errors: DataFrame | None = No
     known = facts.groupBy("sequence_hash").agg(F.min("lead").alias("_lead"), F.max("have").alias("_have"), F.max("had").alias("_had"), F.max("error").alias("_error"), F.max("kind").alias("_kind"))
     out = prepared.join(known.where("_lead is not null"), "sequence_hash", "left")
     pending, found, lead = F.col("status") == "pending", F.coalesce("_have", F.lit(False)), F.coalesce(F.col("source_row_index") == F.col("_lead"), F.lit(False))
-    kind = F.when(pending & ~found, F.when(lead & F.col("_kind").isNotNull(), F.col("_kind")).otherwise("not_encoded")).otherwise(F.col("error_kind"))
+    lost = F.coalesce("_had", F.lit(False))  # it was in the store and isn't any more
+    kind = F.when(pending & ~found, F.when(lead & F.col("_kind").isNotNull(), F.col("_kind")).when(lost, "missing_embedding").otherwise("not_encoded")).otherwise(F.col("error_kind"))
     return out.withColumns(
         {
-            "error": F.when(pending & ~found & lead, F.col("_error")).when(pending & ~found, "sequence was not encoded"),
+            "error": F.when(pending & ~found & lead & F.col("_error").isNotNull(), F.col("_error")).when(pending & ~found & lost, "the store has no vector of the sequence").when(pending & ~found & ~lead, "sequence was not encoded"),
             "error_kind": kind,
             "embedding_cache_hit": pending & found & (~lead | F.coalesce("_had", F.lit(False))),
             "status": F.when(pending, F.when(found, "success").otherwise("failed")).otherwise(F.col("status")),

@@ -132,6 +132,13 @@ def within_group_duplicates(spark, sf):
     return rows.prepare(_relation(spark, sf)).where("status = 'pending'").groupBy("nsc_id", "sequence_hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
 
 
+@query(f"WITH {REL} SELECT lang, sequence_hash, count(*) AS n FROM rows_ WHERE status = 'pending' GROUP BY 1, 2 HAVING count(*) > 1")
+def within_language_duplicates(spark, sf):
+    """Sequences that repeat within a group, with languages as groups."""
+    prepared = rows.prepare(_relation(spark, sf)).where("status = 'pending'")
+    return prepared.groupBy(F.col("target_id").alias("lang"), "sequence_hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+
+
 def _first_rows(spark, sf) -> DataFrame:
     """First rows of all sequences, without the texts."""
     return rows.unique_jobs(rows.prepare(_relation(spark, sf)).select("source_row_index", "sequence_hash", "status", "actual_sequence_length"))
@@ -377,6 +384,17 @@ def pairwise_cosine_stats(spark, sf):
     return pairs.all_pairs_statistics(_t(spark, sf, "embeddings"), "vec_id", "embedding")
 
 
+_STATS = "count(*) AS pairs, round(min(c), 6) AS min, round(max(c), 6) AS max, round(avg(c), 6) AS mean, round(quantile_disc(c, 0.5), 6) AS median, round(avg((c >= 0.995)::INTEGER), 6) AS collapsed, " + ", ".join(f"round(quantile_cont(c, {x / 100}), 6) AS p{x}" for x in _POINTS)
+
+
+@query(f"""WITH n AS (SELECT count(*) AS n FROM embeddings), s AS (SELECT {_STATS}, 'exact' AS method FROM ({_COS}) WHERE (SELECT n FROM n) <= {pairs.EXACT_MOST}
+UNION ALL SELECT {_STATS}, 'sampled' FROM ({_drawn(pairs.DRAWN).replace('round(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 6) AS cosine', 'list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) AS c')}) WHERE (SELECT n FROM n) > {pairs.EXACT_MOST})
+SELECT s.*, n AS vectors, CASE WHEN collapsed > {pairs.COLLAPSE} THEN 'nearly all vectors point the same way' END AS warning FROM s, n WHERE method = CASE WHEN n <= {pairs.EXACT_MOST} THEN 'exact' ELSE 'sampled' END""")
+def cosine_report(spark, sf):
+    """All pairs of up to 1000 vectors, 20,000 drawn ones of more, and whether the vectors have collapsed."""
+    return pairs.cosine_report(_t(spark, sf, "embeddings"), "vec_id", "embedding")
+
+
 @query(f"SELECT a, b, round(c, 6) AS cosine FROM ({_COS} ORDER BY c DESC, a DESC, b DESC LIMIT 10)")
 def nearest_pairs(spark, sf):
     return pairs.block_top(_t(spark, sf, "embeddings"), "vec_id", "embedding", 10).withColumn("cosine", F.round("cosine", 6))

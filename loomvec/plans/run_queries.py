@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import sequences as S
 from ..functions import vectors as V
-from ..operators import commits, encode, groups, order, rows, store, validate, waves
+from ..operators import commits, diagnostics, encode, groups, order, rows, store, validate, waves
 from ..operators import run as runs
 from ..operators.scratch import new_path, saved
 from ..sources import relation, sinks
@@ -418,12 +418,12 @@ _OFF = 1e-9
 _LETTERS, _VALUES = "".join(encode.HYDROPATHY), list(encode.HYDROPATHY.values())
 
 
-def _profile(size: int, overlap: int, where: str = "raw <> ''") -> str:
+def _profile(size: int, overlap: int, where: str = "raw <> ''", reach: int = 4) -> str:
     """SQL of the pooled hydropathy profile: h, passes, v (three values)."""
     stride = size - overlap
     last = f"CASE WHEN n <= {size} THEN 0 ELSE ceil((n - {size}) / {stride}.0)::INTEGER END"
     weigh = lambda v: f"list_sum(list_transform(range(len(x)), lambda p: ({v}) / (least((s + p) // {stride}, last) - greatest(0, ceil((s + p - {size - 1}) / {stride}.0)) + 1)))"
-    near = "x[greatest(1, p - 3):p + 5]"
+    near = f"x[greatest(1, p + 1 - {reach}):p + 1 + {reach}]"
     return f"""SELECT h, count(*)::INTEGER AS passes, [sum(a) / any_value(n), sum(b) / any_value(n), sum(c) / any_value(n)] AS v FROM (
  SELECT h, n, {weigh('x[p + 1]')} AS a, {weigh(f'list_avg({near})')} AS b, {weigh(f'list_max({near})')} AS c FROM (
   SELECT sha256(u) AS h, n, last, (i * {stride})::INTEGER AS s, list_transform(string_split(substr(u, (i * {stride} + 1)::INTEGER, {size}), ''), lambda c: list_extract({_VALUES}, instr('{_LETTERS}', c))::DOUBLE) AS x FROM (
@@ -447,6 +447,21 @@ def chunk_sensitivity(spark, sf):
     return j.select("sequence_hash", "passes", "forced_passes", F.round(V.max_difference(a, b) + _OFF, 6).alias("max_difference"), F.round(V.cosine(a, b), 6).alias("cosine"), V.close(a, b, 0.01, 0.01).alias("same"))
 
 
+@query(f"""WITH a AS ({_profile(SIZE, OVERLAP)}), b AS ({_profile(SIZE, OVERLAP, reach=6)}), l AS (SELECT DISTINCT sha256(upper(raw)) AS h FROM ({SEQ}) JOIN labels USING (doc_id)),
+d AS (SELECT a.h, l.h IS NOT NULL AS old, list_max(list_transform(list_zip(a.v, b.v), lambda p: abs(p[1]::FLOAT::DOUBLE - p[2]::FLOAT::DOUBLE))) AS d FROM a JOIN b USING (h) LEFT JOIN l USING (h))
+SELECT h AS sequence_hash, round(CASE WHEN old THEN d ELSE 0 END + {_OFF}, 5) AS max_abs_diff, NOT old OR d <= 1e-5 AS deterministic FROM d""")
+def reencoded_entries(spark, sf):
+    """Every stored sequence encoded again; the labelled documents' entries are of an encoder with wider windows."""
+    jobs = saved(_jobs(spark, sf), "jobs")
+    labelled = _sequences(spark, sf).join(_t(spark, sf, "labels").select("doc_id"), "doc_id", "left_semi").select(S.sequence_hash(F.upper("raw")).alias("sequence_hash")).distinct()
+    at = commits.Store(spark, new_path(spark, "store"), {"encoder": "hydropathy", "size": SIZE, "overlap": OVERLAP, "policy": "keep"})
+    profile = lambda reach: lambda some: encode.encode_by_chunks(some, encode.ProfileEncoder(reach), SIZE, OVERLAP)
+    at.commit(profile(6)(jobs.join(labelled, "sequence_hash", "left_semi")))
+    at.commit(profile(4)(at.misses(jobs)))
+    out = diagnostics.reencode_check(jobs, at.entries(), profile(4))
+    return out.select("sequence_hash", F.round(F.col("max_abs_diff").cast("double") + _OFF, 5).alias("max_abs_diff"), "deterministic")
+
+
 @query(f"SELECT doc_id, chunk_start, round(length(regexp_replace(upper(substr(raw, chunk_start + 1, chunk_end - chunk_start)), '[^L]', '', 'g')) / (chunk_end - chunk_start), 6) AS share_l FROM ({_CHUNKS})")
 def chunk_means(spark, sf):
     """Mean over the residues of single chunks: the share of one letter."""

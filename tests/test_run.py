@@ -86,3 +86,38 @@ def test_groups(spark, tmp_path):
     assert [r["source_row_index"] for r in found.collect()] == [1]
     with pytest.raises(relation.InputError):
         relation.filter_rows(relation_rows(spark), ids=["zzz"])
+
+
+def test_positions_that_do_not_fit_end_the_job(spark):
+    frame = spark.createDataFrame([(["<cls>", "A", "C", "<eos>"], [1, 2], "AC")], "t array<string>, p array<int>, s string")
+    ok = S.checked_order(F.col("t"), S.checked_positions(F.col("p"), F.length("s")), F.col("s"))
+    assert frame.select(ok.alias("p")).head()["p"] == [1, 2]
+    with pytest.raises(Exception, match="3 residues has 2 positions"):
+        frame.select(S.checked_positions(F.col("p"), F.lit(3))).collect()
+    with pytest.raises(Exception, match="another order"):
+        frame.select(S.checked_order(F.col("t"), F.reverse("p"), F.col("s"))).collect()
+
+
+def test_an_entry_that_went_missing(spark):
+    prepared = rows.prepare(spark.createDataFrame([(0, "1", "AC"), (1, "2", "AC"), (2, "3", "CA")], "source_row_index long, nsc_id string, sequence string"))
+    had = prepared.where("source_row_index = 0").select("sequence_hash")
+    got = {r["source_row_index"]: (r["status"], r["error_kind"]) for r in rows.resolve(prepared, had.limit(0), before=had).collect()}
+    assert got == {0: ("failed", "missing_embedding"), 1: ("failed", "missing_embedding"), 2: ("failed", "not_encoded")}
+
+
+def test_encoding_again_finds_what_differs(spark):
+    from loomvec.operators import diagnostics
+
+    jobs = spark.createDataFrame([("a", "AC"), ("b", "CC"), ("c", "A*"), ("d", "AA")], "sequence_hash string, sequence string")
+    entries = spark.createDataFrame([("a", [0.5, 0.5]), ("b", [0.1, 0.9]), ("c", [1.0, 0.0]), ("gone", [1.0, 0.0])], "sequence_hash string, embedding array<double>")
+    out = diagnostics.reencode_check(jobs, entries, lambda j: encode.encode(j, encode.OneHotEncoder("AC"), 9, 1))
+    assert {r["sequence_hash"]: r["deterministic"] for r in out.collect()} == {"a": True, "b": False, "c": False}
+    assert tuple(diagnostics.reencode_summary(out).head()) == (3, 1, "warning")
+
+
+def test_collapsed_vectors_are_a_warning(spark):
+    many = spark.range(1200).select("id", F.array(F.lit(1.0), (F.col("id") / 1e6).cast("double")).alias("v"))
+    got = pairs.cosine_report(many, "id", "v").head()
+    assert (got["method"], got["vectors"], got["collapsed"]) == ("sampled", 1200, 1.0) and got["pairs"] == pairs.DRAWN and "same way" in got["warning"]
+    few = pairs.cosine_report(many.where("id < 3").withColumn("v", F.array(F.lit(1.0), F.col("id").cast("double"))), "id", "v").head()
+    assert (few["method"], few["pairs"], few["warning"]) == ("exact", 3, None)
