@@ -23,27 +23,27 @@ from .store import FingerprintError, differing, fingerprint
 #: Entries as they are written. One with an error is a failed attempt and no hit.
 ENTRY = "sequence_hash string, embedding array<float>, num_chunks int, error string, error_kind string, branches array<string>"
 LOG = "id string, fingerprint_hash string, settings string, made long, replaces array<string>, entries long, failed long, passes long"
-#: Hexadecimal digits of a prefix: 256 folders at most.
+#: Hexadecimal digits of a prefix, unless a store is opened with others: 256 folders a commit at most.
 DIGITS = 2
-#: Settings without which two vectors can't be told to be comparable, and the version of the layout.
-MANDATORY, LAYOUT = ("encoder", "size", "overlap", "policy"), 1
+#: Settings without which two vectors can't be told to be comparable.
+MANDATORY = ("encoder", "size", "overlap", "policy")
 
 
-class StoreError(RuntimeError):
-    """The store's files don't fit together."""
-
-
-def prefix(key: Column) -> Column:
-    return F.substring(key, 1, DIGITS)
+def prefix(key: Column, digits: int = DIGITS) -> Column:
+    return F.substring(key, 1, digits)
 
 
 class Store:
-    """Entries under one set of settings in ``path``; writers with other settings are refused."""
+    """Entries under one set of settings in ``path``; writers with other settings are refused.
+
+    ``digits`` of the hash make a prefix: few for small stores, which then have few files.
+    They are one of the settings, as ``layout``.
+    """
 
-    def __init__(self, spark: SparkSession, path: str, settings: dict, rebuild: bool = False):
+    def __init__(self, spark: SparkSession, path: str, settings: dict, rebuild: bool = False, digits: int = DIGITS):
         if missing := [m for m in MANDATORY if m not in settings]:
             raise ValueError(f"settings without {', '.join(missing)}")
-        self.spark, self.path, self.settings = spark, path.rstrip("/"), {**settings, "layout": LAYOUT}
+        self.spark, self.path, self.digits, self.settings = spark, path.rstrip("/"), digits, {**settings, "layout": f"prefix-{digits}"}
         self.print = fingerprint(self.settings)
         # a rebuild hides what is there now; its first commit replaces that for all readers
         self.hidden: set[str] = {c["id"] for c in self._log()} if rebuild else set()
@@ -97,8 +97,8 @@ class Store:
 
     def _prefixes(self, jobs: DataFrame) -> list[str] | None:
         """Prefixes that jobs have; none if they are most of all there can be, as then all files are read."""
-        some = [r["p"] for r in jobs.select(prefix(F.col("sequence_hash")).alias("p")).where("p is not null").distinct().collect()]
-        return sorted(some) if 2 * len(some) < 16**DIGITS else None
+        some = [r["p"] for r in jobs.select(prefix(F.col("sequence_hash"), self.digits).alias("p")).where("p is not null").distinct().collect()]
+        return sorted(some) if 2 * len(some) < 16**self.digits else None
 
     def found(self, jobs: DataFrame) -> DataFrame:
         """Entries of the jobs' keys, from the prefixes that they have. ``jobs`` should be a written table, as its keys are read twice."""
@@ -126,7 +126,7 @@ class Store:
             rows = rows.withColumn("branches", F.array().cast("array<string>"))
         columns = [x.split()[0] for x in ENTRY.split(", ")]
         seen = Observation(f"commit-{name}-{uuid.uuid4().hex}")
-        typed = rows.select(*columns).withColumn("embedding", F.col("embedding").cast("array<float>")).withColumn("prefix", prefix(F.col("sequence_hash")))
+        typed = rows.select(*columns).withColumn("embedding", F.col("embedding").cast("array<float>")).withColumn("prefix", prefix(F.col("sequence_hash"), self.digits))
         good = F.col("error").isNull()
         counted = typed.repartition("prefix").observe(
             seen, F.count(F.when(good, 1)).alias("entries"), F.count(F.when(~good, 1)).alias("failed"), F.coalesce(F.sum(F.when(good, F.col("num_chunks")).cast("long")), F.lit(0)).alias("passes")

@@ -264,8 +264,8 @@ def save_waves(spark, sf):
 
 
 @query("""WITH d AS (SELECT count(*) AS n, max(n_chars) AS longest FROM documents), p AS (SELECT count(*) AS n FROM pages),
-s(field, stored) AS (SELECT * FROM (VALUES ('encoder', 'one-hot'), ('size', '512'), ('overlap', '128'), ('policy', 'keep'), ('revision', NULL), ('layout', '1')) UNION ALL SELECT 'rows', n::VARCHAR FROM d UNION ALL SELECT 'longest', longest::VARCHAR FROM d),
-c(field, now) AS (SELECT * FROM (VALUES ('encoder', 'one-hot'), ('size', '512'), ('overlap', '256'), ('policy', 'keep'), ('seed', '0'), ('layout', '1')) UNION ALL SELECT 'rows', n::VARCHAR FROM p UNION ALL SELECT 'longest', longest::VARCHAR FROM d)
+s(field, stored) AS (SELECT * FROM (VALUES ('encoder', 'one-hot'), ('size', '512'), ('overlap', '128'), ('policy', 'keep'), ('revision', NULL), ('layout', 'prefix-2')) UNION ALL SELECT 'rows', n::VARCHAR FROM d UNION ALL SELECT 'longest', longest::VARCHAR FROM d),
+c(field, now) AS (SELECT * FROM (VALUES ('encoder', 'one-hot'), ('size', '512'), ('overlap', '256'), ('policy', 'keep'), ('seed', '0'), ('layout', 'prefix-2')) UNION ALL SELECT 'rows', n::VARCHAR FROM p UNION ALL SELECT 'longest', longest::VARCHAR FROM d)
 SELECT coalesce(s.field, c.field) AS field, stored, now FROM s FULL JOIN c ON s.field = c.field WHERE s.field IS NULL OR c.field IS NULL OR stored IS DISTINCT FROM now""")
 def fingerprint_diff(spark, sf):
     """Settings of two stores, with figures of the tables among them, read back from their logs and joined."""
@@ -315,12 +315,12 @@ def wave_runs(spark, sf):
     """All distinct sequences encoded in four waves that commit: one run is stopped after two, the next one computes the rest only."""
     jobs = saved(_jobs(spark, sf), "jobs")
     every = max(1, -(-jobs.count() // 4))
-    at = commits.Store(spark, new_path(spark, "store"), _STORE)
+    at = commits.Store(spark, new_path(spark, "store"), _STORE, digits=1)
     try:
         first = waves.encode_waves(jobs, at, _encode, every, stop=lambda wave: wave == 2)
     except waves.Stopped as e:
         first = e.waves
-    second = waves.encode_waves(jobs, commits.Store(spark, at.path, _STORE), _encode, every)
+    second = waves.encode_waves(jobs, commits.Store(spark, at.path, _STORE, digits=1), _encode, every)
     return waves.report(spark, first, 0).unionByName(waves.report(spark, second, 1))
 
 
@@ -339,7 +339,7 @@ SELECT (SELECT count(*) FROM r) AS total_rows, (SELECT count(*) FILTER (ok) FROM
 def run_report(spark, sf):
     """All figures of a run that finds the labelled documents in the store, under two branches, and encodes the rest."""
     prepared = saved(rows.prepare(_relation(spark, sf)), "prepared")
-    at = commits.Store(spark, new_path(spark, "store"), _STORE)
+    at = commits.Store(spark, new_path(spark, "store"), _STORE, digits=1)
     label = _t(spark, sf, "labels").select(F.col("doc_id").alias("source_row_index"), F.when(F.col("quality") == 1, "target").otherwise("other").alias("branch"))
     known = prepared.where("status = 'pending'").join(label, "source_row_index").groupBy("sequence_hash").agg(F.min_by("sequence", "source_row_index").alias("sequence"), F.array_sort(F.collect_set("branch")).alias("branches"))
     known = saved(known, "known")
@@ -351,7 +351,7 @@ def run_report(spark, sf):
 SELECT h AS sequence_hash, {_CHUNKED}::INTEGER AS num_chunks, 'target' AS branches, 1::BIGINT AS times FROM j""")
 def incremental_encode(spark, sf):
     """The documents as a stream of files, run twice: the entries of the store, each once."""
-    at = commits.Store(spark, new_path(spark, "store"), _STORE)
+    at = commits.Store(spark, new_path(spark, "store"), _STORE, digits=1)
     checkpoint = new_path(spark, "stream")
     text = F.regexp_replace("text", "[^A-Za-z]+", "")
     jobs = lambda batch: batch.select(F.upper(text).alias("sequence")).withColumn("sequence_hash", S.sequence_hash(F.col("sequence")))
@@ -454,7 +454,7 @@ def reencoded_entries(spark, sf):
     """Every stored sequence encoded again; the labelled documents' entries are of an encoder with wider windows."""
     jobs = saved(_jobs(spark, sf), "jobs")
     labelled = _sequences(spark, sf).join(_t(spark, sf, "labels").select("doc_id"), "doc_id", "left_semi").select(S.sequence_hash(F.upper("raw")).alias("sequence_hash")).distinct()
-    at = commits.Store(spark, new_path(spark, "store"), {"encoder": "hydropathy", "size": SIZE, "overlap": OVERLAP, "policy": "keep"})
+    at = commits.Store(spark, new_path(spark, "store"), {"encoder": "hydropathy", "size": SIZE, "overlap": OVERLAP, "policy": "keep"}, digits=1)
     profile = lambda reach: lambda some: encode.encode_by_chunks(some, encode.ProfileEncoder(reach), SIZE, OVERLAP)
     at.commit(profile(6)(jobs.join(labelled, "sequence_hash", "left_semi")))
     at.commit(profile(4)(at.misses(jobs)))

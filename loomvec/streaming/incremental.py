@@ -62,7 +62,7 @@ def stream_into(
         own = saved(jobs(batch).where("sequence is not null and sequence <> ''").dropDuplicates(["sequence_hash"]), "batch")
         name = f"{title}-{number}"
         # what an earlier try of this batch committed doesn't count as known: this try replaces it
-        before = Store(own.sparkSession, store.path, {k: v for k, v in store.settings.items() if k != "layout"})
+        before = Store(own.sparkSession, store.path, {k: v for k, v in store.settings.items() if k != "layout"}, digits=store.digits)
         before.hidden = {name}
         new = saved(encode_jobs(before.misses(own)).withColumn("branches", F.array(F.lit(branch))), "encoded")
         store.commit(new, name)
