@@ -43,8 +43,8 @@ CACHE_WORDS = 1 << 16
 SMALL = 1024
 #: Links of a partition while components are closed: few links take few tasks and files.
 LINKS = 50_000
-#: Shingles hashed at a time.
-CHUNK = 1 << 14
+#: Shingles hashed at a time, and rows that a task holds sets of.
+CHUNK, ROWS = 1 << 14, 256
 
 _M = np.uint64(0x9E3779B97F4A7C15)
 
@@ -147,24 +147,26 @@ def sketch(docs: DataFrame, key: str, text: str, words: int = WORDS, count: int
         import pandas as pd
         from xxhash import xxh3_128_hexdigest
 
-        for frame in frames:
-            sets = [shingle_set(t if isinstance(t, str) else None, words) for t in frame[key + "_text"]]
-            full = [i for i, s in enumerate(sets) if len(s)]
-            values = signatures([sets[i] for i in full], factors, offsets) if full else np.empty((0, 2 * len(factors)), np.uint64)
-            keys, small = _signed(band_keys(values, band)), (_mixed(values) >> np.uint64(56)).astype(np.uint8)
-            bands: list = [None] * len(sets)
-            marks: list = [None] * len(sets)
-            for j, i in enumerate(full):
-                bands[i], marks[i] = keys[j], small[j].tobytes()
-            yield pd.DataFrame(
-                {
-                    "id": frame[key].astype("Int64"),
-                    "n_shingles": np.array([len(s) for s in sets], dtype=np.int64),
-                    "set_hash": [xxh3_128_hexdigest(s.tobytes()) if len(s) else None for s in sets],
-                    "bands": bands,
-                    "mark": marks,
-                }
-            )
+        for whole in frames:
+            for at in range(0, len(whole), ROWS):
+                frame = whole.iloc[at : at + ROWS]
+                sets = [shingle_set(t if isinstance(t, str) else None, words) for t in frame[key + "_text"]]
+                full = [i for i, s in enumerate(sets) if len(s)]
+                values = signatures([sets[i] for i in full], factors, offsets) if full else np.empty((0, 2 * len(factors)), np.uint64)
+                keys, small = _signed(band_keys(values, band)), (_mixed(values) >> np.uint64(56)).astype(np.uint8)
+                bands: list = [None] * len(sets)
+                marks: list = [None] * len(sets)
+                for j, i in enumerate(full):
+                    bands[i], marks[i] = keys[j], small[j].tobytes()
+                yield pd.DataFrame(
+                    {
+                        "id": frame[key].astype("Int64").to_numpy(dtype=object, na_value=None),
+                        "n_shingles": np.array([len(s) for s in sets], dtype=np.int64),
+                        "set_hash": [xxh3_128_hexdigest(s.tobytes()) if len(s) else None for s in sets],
+                        "bands": bands,
+                        "mark": marks,
+                    }
+                ).astype({"id": "Int64"})
 
     rows = docs.select(F.col(key).cast("long").alias(key), F.col(text).alias(key + "_text"))
     return rows.mapInPandas(of, "id long, n_shingles long, set_hash string, bands array<long>, mark binary")
@@ -178,8 +180,8 @@ def full_sets(docs: DataFrame, wanted: DataFrame, key: str, text: str, words: in
         from xxhash import xxh3_128_hexdigest
 
         for frame in frames:
-            for at in range(0, len(frame), 256):
-                part = frame.iloc[at : at + 256]
+            for at in range(0, len(frame), ROWS):
+                part = frame.iloc[at : at + ROWS]
                 sets = [shingle_set(t if isinstance(t, str) else None, words) for t in part["text"]]
                 yield pd.DataFrame({"id": part["id"], "set_hash": [xxh3_128_hexdigest(s.tobytes()) for s in sets], "shingles": list(map(_signed, sets))})
 
@@ -238,9 +240,11 @@ def compact_sets(sets: DataFrame) -> DataFrame:
     def of(frames: Iterable) -> Iterator:
         import pandas as pd
 
-        for frame in frames:
-            small = [np.unique((x.view(np.uint64) >> np.uint64(32)).astype("<u4")).tobytes() if len(x) <= SMALL else None for x in frame["shingles"]]
-            yield pd.DataFrame({"id": frame["id"], "small": small})
+        for whole in frames:
+            for at in range(0, len(whole), ROWS):
+                frame = whole.iloc[at : at + ROWS]
+                small = [np.unique((x.view(np.uint64) >> np.uint64(32)).astype("<u4")).tobytes() if len(x) <= SMALL else None for x in frame["shingles"]]
+                yield pd.DataFrame({"id": frame["id"], "small": small})
 
     rows = sets.select("id", "shingles").mapInPandas(of, "id long, small binary")
     return rows.groupBy("id").agg(F.when(F.count(F.lit(1)) == 1, F.first("small")).alias("small"))
