@@ -81,6 +81,12 @@ def run(prepared: DataFrame, store: Store, encode: Callable[[DataFrame], DataFra
     return Run(final, entries, {k: summary[k] for k in FIGURES})
 
 
+def long_detail(result: Run) -> DataFrame:
+    """Sequences that this run encoded in more than one chunk, each with its first row; those found in the store don't appear."""
+    new = (F.col("status") == "success") & ~F.col("embedding_cache_hit") & (F.col("num_chunks") > 1)
+    return result.rows.where(new).select("source_row_index", "nsc_id", "sequence_hash", "actual_sequence_length", "num_chunks")
+
+
 def report(spark, summary: dict) -> DataFrame:
     """The figures as one row."""
     return spark.createDataFrame([tuple(summary.values())], ", ".join(f"{k} {'boolean' if isinstance(v, bool) else 'long'}" for k, v in summary.items()))

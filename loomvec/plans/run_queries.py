@@ -338,13 +338,25 @@ SELECT (SELECT count(*) FROM r) AS total_rows, (SELECT count(*) FILTER (ok) FROM
  (SELECT count(DISTINCT nsc_id) FROM r WHERE ok) AS groups_with_vector FROM s""")
 def run_report(spark, sf):
     """All figures of a run that finds the labelled documents in the store, under two branches, and encodes the rest."""
+    return runs.report(spark, _labelled_run(spark, sf).summary)
+
+
+def _labelled_run(spark, sf) -> runs.Run:
     prepared = saved(rows.prepare(_relation(spark, sf)), "prepared")
     at = commits.Store(spark, new_path(spark, "store"), _STORE, digits=1)
     label = _t(spark, sf, "labels").select(F.col("doc_id").alias("source_row_index"), F.when(F.col("quality") == 1, "target").otherwise("other").alias("branch"))
     known = prepared.where("status = 'pending'").join(label, "source_row_index").groupBy("sequence_hash").agg(F.min_by("sequence", "source_row_index").alias("sequence"), F.array_sort(F.collect_set("branch")).alias("branches"))
     known = saved(known, "known")
     at.commit(_encode(known.select("sequence_hash", "sequence")).join(known.select("sequence_hash", "branches"), "sequence_hash"))
-    return runs.report(spark, runs.run(prepared, at, _encode, SIZE, OVERLAP, len(_RESIDUES)).summary)
+    return runs.run(prepared, at, _encode, SIZE, OVERLAP, len(_RESIDUES))
+
+
+@query(f"""WITH {REL}, j AS (SELECT sequence_hash, any_value(length(u)) AS n, any_value(contains(u, 'X')) AS bad, min(source_row_index) AS source_row_index, arg_min(r.nsc_id, source_row_index) AS nsc_id, bool_or(l.doc_id IS NOT NULL) AS stored
+ FROM rows_ r LEFT JOIN labels l ON source_row_index = l.doc_id WHERE status = 'pending' GROUP BY 1)
+SELECT source_row_index, nsc_id, sequence_hash, n::BIGINT AS actual_sequence_length, ({_CHUNKED})::INTEGER AS num_chunks FROM j WHERE NOT bad AND NOT stored AND n > {SIZE}""")
+def newly_encoded_long(spark, sf):
+    """The long sequences that such a run encodes itself."""
+    return runs.long_detail(_labelled_run(spark, sf))
 
 
 @query(f"""WITH s AS (SELECT DISTINCT upper(raw) AS u FROM ({SEQ}) WHERE raw <> ''), j AS (SELECT sha256(u) AS h, length(u) AS n FROM s WHERE NOT contains(u, 'X'))

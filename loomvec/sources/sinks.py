@@ -50,6 +50,23 @@ def write_artifacts(folder: str, rows: DataFrame, vectors: DataFrame, groups: Da
         entries.write.mode("overwrite").parquet(f"{folder}/entries")
 
 
+def write_audit_package(folder: str, rows: DataFrame, valid: Column, vector: str, groups: DataFrame, group_vectors: DataFrame, settings: dict) -> None:
+    """What an auditor needs of a run, as tables of ``folder``.
+
+    ``row_embeddings`` has the vectors of valid rows only, by ``vector_index`` with the row's
+    index; ``row_metadata`` all rows with ``row_valid``, without sequences and vectors;
+    ``group_embeddings``, ``group_metadata`` and ``settings`` (field, value as text) the rest.
+    """
+    indexed = saved(row_vectors(rows, "source_row_index", valid), "indexed")
+    compact = indexed.where("row_valid").select("vector_index", "source_row_index", F.col(vector).alias("embedding"))
+    compact.write.mode("overwrite").parquet(f"{folder}/row_embeddings")
+    indexed.drop(vector, "sequence", "vector_index").write.mode("overwrite").parquet(f"{folder}/row_metadata")
+    group_vectors.write.mode("overwrite").parquet(f"{folder}/group_embeddings")
+    groups.write.mode("overwrite").parquet(f"{folder}/group_metadata")
+    fields = [(k, None if v is None else str(v)) for k, v in sorted(settings.items())]
+    rows.sparkSession.createDataFrame(fields, "field string, value string").coalesce(1).write.mode("overwrite").parquet(f"{folder}/settings")
+
+
 def write_csv(frame: DataFrame, path: str) -> None:
     """Text files with a header; null becomes an empty field, booleans True and False, quotes are doubled."""
     shown = [F.initcap(F.col(c).cast("string")).alias(c) if t == "boolean" else F.col(c) for c, t in frame.dtypes]

@@ -95,3 +95,15 @@ def test_a_missing_artifact_is_a_failed_check(spark, artifacts, tmp_path):
     shutil.copytree(artifacts, f"{tmp_path}/a")
     shutil.rmtree(f"{tmp_path}/a/groups")
     assert failing(spark, f"{tmp_path}/a") == {"groups can be read": (1, 1)}
+
+
+def test_audit_package(spark, tmp_path):
+    data = [(i, "a" if i % 2 else "b", "ACD", [float(i)] if i % 3 else None) for i in range(10)]
+    rows_ = spark.createDataFrame(data, "source_row_index long, nsc_id string, sequence string, v array<double>")
+    both = spark.createDataFrame([("a", [1.0])], "nsc_id string, mean array<double>")
+    sinks.write_audit_package(f"{tmp_path}/p", rows_, F.col("v").isNotNull(), "v", both.select("nsc_id"), both, {"size": 3, "revision": None})
+    back = {n: spark.read.parquet(f"{tmp_path}/p/{n}") for n in ("row_embeddings", "row_metadata", "group_embeddings", "group_metadata", "settings")}
+    want = [i for i in range(10) if i % 3]
+    assert [(r["vector_index"], r["source_row_index"], r["embedding"]) for r in back["row_embeddings"].orderBy("vector_index").collect()] == [(k, i, [float(i)]) for k, i in enumerate(want)]
+    assert sorted((r["source_row_index"], r["row_valid"]) for r in back["row_metadata"].collect()) == [(i, i % 3 > 0) for i in range(10)] and "sequence" not in back["row_metadata"].columns
+    assert {r["field"]: r["value"] for r in back["settings"].collect()} == {"size": "3", "revision": None} and back["group_embeddings"].count() == 1
