@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_name, let, table_of, word_list, written
+from .common import free_name, let, table_of, written
 
 #: Domains in the order of the posteriors, with the share of the tokens that each should get.
 TARGETS = {"prose": 0.92, "toxic": 0.01, "noise": 0.07}
@@ -37,8 +37,10 @@ WRITE_EVERY = 6
 RIDGE = 1e-3
 #: Scale of the hash that decides what a fraction of a rate becomes.
 DRAW = 1 << 20
-#: Marks that end words, and runs of symbols that are words of their own. Fixed values.
-MARKS, SYMBOL_RUN = '.,;:?"()', "[#*$%&|<>!]+"
+#: Marks that end words, and symbols whose runs are words of their own. Fixed values.
+MARKS, SYMBOLS = '.,;:?"()', "#*$%&|<>!"
+#: A word: a run of symbols, or of what is neither white space, a mark nor a symbol.
+WORD = f"[{SYMBOLS}]+|[^ \\t\\n\\x0B\\f\\r{MARKS}{SYMBOLS}]+"
 
 
 def domain_of(quality: Column, toxic: Column) -> Column:
@@ -48,8 +50,7 @@ def domain_of(quality: Column, toxic: Column) -> Column:
 
 def tokens_of(text: Column) -> Column:
     """Lower-case words of a text without marks, runs of symbols apart; none for null."""
-    apart = F.regexp_replace(F.translate(F.lower(text), MARKS, " " * len(MARKS)), f"({SYMBOL_RUN})", " $1 ")
-    return word_list(apart)
+    return F.regexp_extract_all(F.coalesce(F.lower(text), F.lit("")), F.lit(WORD), F.lit(0))
 
 
 def buckets(words: Column, bits: int = BUCKET_BITS) -> Column:
