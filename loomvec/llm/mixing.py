@@ -112,7 +112,9 @@ def fit_classifier(docs: DataFrame, labels: DataFrame, most: int = LABELLED_MOST
         none = F.aggregate(f"c{i}", F.lit(0.0), lambda a, x: a + x["gone"])
         prior = F.when(unlabelled, 0.0).when(F.col(f"s{i}") == 0, -1000.0).when(F.col("s0") == 0, 1000.0)
         odds = prior.otherwise(F.log(F.greatest(F.col(f"s{i}"), F.lit(1)) / F.greatest(F.col("s0"), F.lit(1))) + none)
-        adds = F.when(unlabelled | (F.col(f"s{i}") == 0) | (F.col("s0") == 0), F.array_repeat(F.lit(0.0).cast("float"), size))
+        # zeros come from the rows: a literal array of them would stand in every plan's text, megabytes long
+        zeros = F.transform("rows", lambda r: F.lit(0.0).cast("float"))
+        adds = F.when(unlabelled | (F.col(f"s{i}") == 0) | (F.col("s0") == 0), zeros)
         return F.struct(odds.alias("odds"), adds.otherwise(F.transform(f"c{i}", lambda x: x["adds"].cast("float"))).alias("adds"))
 
     return one.select(F.array(*(model(i) for i in range(1, k))).alias("model"))

@@ -111,7 +111,9 @@ def fit_ratio(docs: DataFrame, trusted: DataFrame, bits: int = BUCKET_BITS, smoo
         "rows",
         lambda r: (F.log((r["target"] + smoothing) / (F.col("n_target") + spread)) - F.log((r["raw"] + smoothing) / (F.col("n_raw") + spread))).cast("float"),
     )
-    return one.select(F.when(F.col("n_target") == 0, F.array_repeat(F.lit(0.0).cast("float"), size)).otherwise(ratio).alias("ratios"))
+    # zeros come from the rows: a literal array of them would stand in every plan's text, half a megabyte long
+    zeros = F.transform("rows", lambda r: F.lit(0.0).cast("float"))
+    return one.select(F.when(F.col("n_target") == 0, zeros).otherwise(ratio).alias("ratios"))
 
 
 def mean_ratio(text: Column, ratios: Column, bits: int = BUCKET_BITS) -> Column:
