@@ -79,9 +79,12 @@ def clean(raw: Column, policy: str = "keep_if_supported", supported: str = SPECI
 
 
 def special_events(upper: Column, replaced: str = "") -> Column:
-    """Array of (position, symbol, replaced_with) of the special symbols, in order, as they were before replacement."""
+    """Array of (position, symbol, replaced_with) of the special symbols, in order, as they were before replacement.
+
+    Splitting an empty text gives one empty symbol, which is none.
+    """
     letters = F.transform(F.split(upper, ""), lambda c, i: F.struct(i.alias("position"), c.alias("symbol"), F.when(F.instr(F.lit(replaced), c) > 0, "X").alias("replaced_with")))
-    return F.filter(letters, lambda e: F.instr(F.lit(SPECIAL), e["symbol"]) > 0)
+    return F.filter(letters, lambda e: (e["symbol"] != "") & (F.instr(F.lit(SPECIAL), e["symbol"]) > 0))
 
 
 def special_symbols(text: Column) -> Column:

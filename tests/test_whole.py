@@ -60,3 +60,11 @@ def test_pairs_across_labels_count_and_draws_are_distinct(spark, tmp_path):
     drawn = run(spark, f"file://{tmp_path}", "drawn_pairs_cosine")
     assert len({(r["a"], r["b"]) for r in drawn}) == len(drawn) == 20000 and all(r["a"] < r["b"] for r in drawn)
     assert all(abs(r["cosine"] - u[r["a"]] @ u[r["b"]]) < 1e-6 for r in drawn[:500])
+
+
+def test_texts_without_a_letter_have_no_events(spark, tmp_path):
+    at = f"file://{tmp_path}"
+    rows = [(0, "12 ?!", "en", "s", 5), (1, "", "en", "s", 0), (2, None, "en", "s", 0), (3, "a boxX", "en", "s", 6)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{at}/documents.parquet")
+    assert sorted(tuple(r) for r in run(spark, at, "special_events")) == [(3, "B", 1, 1, 1), (3, "O", 1, 2, 2), (3, "X", 2, 3, 4)]
+    assert sorted(tuple(r) for r in run(spark, at, "symbol_positions")) == [(3, "B", "1"), (3, "O", "2"), (3, "X", "3,4")]
