@@ -23,6 +23,10 @@ PIVOTS, BOUNDS = 4096, 1024
 ROOM = 1e-7
 
 
+#: Rows of two regions that one task multiplies at most, regions that are made of fewer rows, and scores that are held at once.
+REGION, REGIONS, SCORES = 16_384, 24, 1 << 22
+
+
 @dataclass(frozen=True)
 class TopPairs:
     """The pairs (a, b, cosine), and how many pairs of blocks were multiplied and ruled out."""
@@ -37,22 +41,45 @@ def _units(column) -> np.ndarray:
     return m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-12)
 
 
+def _kind(rows: DataFrame, vector: str) -> str:
+    """Floats are moved as they are; all sums are in double precision."""
+    return "array<float>" if dict(rows.dtypes)[vector] == "array<float>" else "array<double>"
+
+
+def _matrix(column) -> np.ndarray:
+    """Vectors of an Arrow column of lists of one length."""
+    flat = column.combine_chunks().flatten() if hasattr(column, "combine_chunks") else column.flatten()
+    return np.asarray(flat.to_numpy(zero_copy_only=False), dtype=float).reshape(len(column), -1)
+
+
+def regions_of(rows: int, blocks: int) -> int:
+    """Regions that rows in blocks are dealt to; each row is sent that many times where all regions meet."""
+    return max(1, min(blocks, max(REGIONS, -(-rows // REGION))))
+
+
+def _united(m: np.ndarray) -> np.ndarray:
+    return m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-12)
+
+
 def _best(keys: tuple, units: tuple, k: int, sign: float, least: float):
-    """The k best pairs of two blocks (or of one with itself) that reach ``least``; of equal ones those with the larger (smaller) keys."""
+    """The k best pairs of two sides (or of one with itself) that reach ``least``; of equal ones those with the larger (smaller) keys."""
     import pandas as pd
 
-    score = units[0] @ units[1].T
-    rank = sign * score
-    rank[keys[0][:, None] >= keys[1][None, :] if keys[0] is keys[1] else keys[0][:, None] == keys[1][None, :]] = -np.inf
-    flat = rank.ravel()
-    floor = least
-    if len(flat) > k:
-        floor = max(floor, np.partition(flat, len(flat) - k)[len(flat) - k])
-    at = np.flatnonzero((flat >= floor) & np.isfinite(flat))
-    r, c = np.unravel_index(at, score.shape)
+    same = keys[0] is keys[1]
+    rank = (sign * units[0]) @ units[1].T
+    # few pairs reach a bound: keys are compared for those only
+    at = np.flatnonzero(rank >= least) if np.isfinite(least) else np.arange(rank.size)
+    r, c = np.divmod(at, rank.shape[1])
+    held = keys[0][r] < keys[1][c] if same else keys[0][r] != keys[1][c]
+    at, r, c = at[held], r[held], c[held]
+    score = rank.ravel()[at]
+    good = np.isfinite(score)
+    if good.sum() > k:
+        good &= score >= np.partition(score[good], good.sum() - k)[good.sum() - k]
+    r, c, score = r[good], c[good], score[good]
     a, b = np.minimum(keys[0][r], keys[1][c]), np.maximum(keys[0][r], keys[1][c])
-    first = np.lexsort((-sign * b, -sign * a, -flat[at]))[:k]
-    return pd.DataFrame({"a": a[first], "b": b[first], "cosine": score.ravel()[at][first]}).astype({"a": "int64", "b": "int64", "cosine": "float64"})
+    first = np.lexsort((-sign * b, -sign * a, -score))[:k]
+    return pd.DataFrame({"a": a[first], "b": b[first], "cosine": sign * score[first]}).astype({"a": "int64", "b": "int64", "cosine": "float64"})
 
 
 def _blocks(rows: DataFrame, key: str, vector: str, block: int, k: int, sign: float) -> tuple[DataFrame, float]:
@@ -64,7 +91,8 @@ def _blocks(rows: DataFrame, key: str, vector: str, block: int, k: int, sign: fl
     """
     import pandas as pd
 
-    tagged = rows.where(F.col(key).isNotNull() & F.col(vector).isNotNull()).select(F.col(key).cast("long").alias("key"), F.col(vector).cast("array<double>").alias("vector"))
+    tagged = rows.where(F.col(key).isNotNull() & F.col(vector).isNotNull()).select(F.col(key).cast("long").alias("key"), F.col(vector).cast(_kind(rows, vector)).alias("vector"))
+    kind = _kind(rows, vector)
     wanted = min(PIVOTS, 2 * -(-tagged.count() // block))
     drawn = tagged.orderBy(F.xxhash64("key"), "key").limit(wanted).collect() if wanted else []
     pivots = _units(pd.Series([r["vector"] for r in drawn])) if drawn else np.zeros((1, 1))
@@ -77,7 +105,7 @@ def _blocks(rows: DataFrame, key: str, vector: str, block: int, k: int, sign: fl
             yield frame
 
     hashed = tagged.withColumn("hash", F.pmod(F.xxhash64("key"), F.lit(1 << 30)).cast("long"))
-    placed = saved(hashed.mapInPandas(near, "key long, vector array<double>, hash long, pivot int"), "pivots")
+    placed = saved(hashed.mapInPandas(near, f"key long, vector {kind}, hash long, pivot int"), "pivots")
     counts = np.zeros(max(1, len(drawn)), np.int64)
     for r in placed.groupBy("pivot").agg(F.count(F.lit(1)).alias("n")).collect():
         counts[r["pivot"]] = r["n"]
@@ -90,7 +118,7 @@ def _blocks(rows: DataFrame, key: str, vector: str, block: int, k: int, sign: fl
             frame["block"] = (first[p] + frame["hash"].to_numpy() % many[p]).astype(np.int32)
             yield frame[["key", "vector", "block"]]
 
-    return placed.mapInPandas(numbered, "key long, vector array<double>, block int"), sign * known["cosine"].iloc[-1] if len(known) == k else -np.inf
+    return placed.mapInPandas(numbered, f"key long, vector {kind}, block int"), sign * known["cosine"].iloc[-1] if len(known) == k else -np.inf
 
 
 def top_pairs(rows: DataFrame, key: str, vector: str, k: int, farthest: bool = False, block: int = BLOCK) -> TopPairs:
@@ -152,14 +180,49 @@ def top_pairs(rows: DataFrame, key: str, vector: str, k: int, farthest: bool = F
     kept = saved(met.groupBy("i", "j").applyInPandas(allowed, "i int, j int"), "meetings")
     visited = kept.count()
 
+    # Neighbouring blocks form regions, and one task multiplies what may meet of two of
+    # them: a block is sent once for each region that it meets, not once for each block.
+    wide, most_scores = max(1, n // max(1, regions_of(dealt.count(), n))), SCORES
+    region = lambda c: F.floor(F.col(c) / wide).cast("int")
+
     def visit(left, right):
-        return _best((left["key"].to_numpy(), right["key"].to_numpy()), (_units(left["vector"]), _units(right["vector"])), k, sign, least)
+        import pyarrow as pa
+
+        def sorted_side(table):
+            order = np.argsort(table["block"].to_numpy(), kind="stable")
+            table = table.take(pa.array(order))
+            return table["block"].to_numpy(), table["key"].to_numpy(), _united(_matrix(table["vector"])) if len(table) else np.zeros((0, 1))
+
+        meets = left.filter(left["vector"].is_null())
+        (blocks, keys, units), (others, other_keys, other_units) = sorted_side(left.filter(left["vector"].is_valid())), sorted_side(right)
+        bound, found = least, []
+        pair = np.stack([meets["block"].to_numpy(), meets["key"].to_numpy()], axis=1) if len(meets) else np.zeros((0, 2), np.int64)
+        for i in np.unique(pair[:, 0]):
+            mine = slice(np.searchsorted(blocks, i), np.searchsorted(blocks, i, side="right"))
+            theirs = np.flatnonzero(np.isin(others, pair[pair[:, 0] == i, 1]))
+            step = max(1, most_scores // max(1, mine.stop - mine.start))
+            for at in range(0, len(theirs), step):
+                some = theirs[at : at + step]
+                whole = some[-1] - some[0] + 1 == len(some)
+                some = slice(some[0], some[-1] + 1) if whole else some
+                found.append(_best((keys[mine], other_keys[some]), (units[mine], other_units[some]), k, sign, bound))
+                reached_here = np.sort(sign * np.concatenate([f["cosine"].to_numpy() for f in found]))[::-1]
+                if len(reached_here) >= k:
+                    bound = max(bound, reached_here[k - 1])
+        columns = {c: np.concatenate([f[c].to_numpy() for f in found]) if found else [] for c in ("a", "b", "cosine")}
+        out = pa.table({"a": pa.array(columns["a"], pa.int64()), "b": pa.array(columns["b"], pa.int64()), "cosine": pa.array(columns["cosine"], pa.float64())})
+        held = np.asarray(out["cosine"].to_numpy()) * sign >= bound
+        return out.filter(pa.array(held))
+
+    regions = kept.withColumns({"p": region("i"), "q": region("j")})
 
     def side(name: str):
-        mine = dealt.select(*(F.col(c).alias(c) for c in ("key", "vector")), F.col("block").alias(name))
-        return mine.join(kept.select(*(F.col(c).alias(c) for c in "ij")), name).groupBy("i", "j")
+        need = regions.select("p", "q", F.col(name).alias("block")).distinct()
+        return dealt.join(need, "block").select(*(F.col(c).alias(c) for c in ("p", "q", "block", "key", "vector")))
 
-    across = side("i").cogroup(side("j")).applyInPandas(visit, "a long, b long, cosine double")
+    # a row without a vector says which other block a block meets
+    said = regions.select("p", "q", F.col("i").alias("block"), F.col("j").cast("long").alias("key"), F.lit(None).cast(_kind(rows, vector)).alias("vector"))
+    across = side("i").unionByName(said).groupBy("p", "q").cogroup(side("j").groupBy("p", "q")).applyInArrow(visit, "a long, b long, cosine double")
     return TopPairs(best(first.unionByName(across)), visited, n * (n - 1) // 2 - visited)
 
 
@@ -221,46 +284,61 @@ BINS = 1 << 16
 
 def all_pairs_statistics(rows: DataFrame, key: str, vector: str, threshold: float = 0.995, digits: int = 6, block: int = BLOCK) -> DataFrame:
     """``cosine_statistics`` of all pairs, by block sums and histograms; percentiles to 2 / ``BINS`` ** 2."""
-    n = max(1, -(-rows.count() // block))
-    tagged = rows.select(F.col(key).alias("key"), F.col(vector).alias("vector"), F.pmod(F.xxhash64(key), F.lit(n)).cast("int").alias("own"))
+    total_rows, most_scores = rows.count(), SCORES // 8
+    n = regions_of(total_rows, max(1, -(-total_rows // block)))
+    tagged = rows.select(F.col(key).alias("key"), F.col(vector).cast(_kind(rows, vector)).alias("vector"), F.pmod(F.xxhash64(key), F.lit(n)).cast("int").alias("own"))
     dealt = tagged.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(n - 1)))).select(F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "key", "vector")
 
     def histogram(wanted=None):
-        """Bins, or finer bins of the wanted ones, with count, least, largest, sum and count from the threshold."""
-
-        def of(frame):
-            import pandas as pd
-
-            i, j = int(frame["i"].iloc[0]), int(frame["j"].iloc[0])
-            units, keys = [], []
-            for s in (frame[frame["own"] == x] for x in (i, j)):
-                m = np.array(s["vector"].tolist(), dtype=float).reshape(len(s), -1)
-                units.append(m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-12))
-                keys.append(s["key"].to_numpy())
-            c = np.empty(0)
-            if len(keys[0]) and len(keys[1]):
-                c = units[0] @ units[1].T
-                c = c[keys[0][:, None] < keys[1][None, :]] if i == j else c.ravel()
-            x = np.clip((c + 1) / 2, 0, 1) * BINS
-            at = np.minimum(x.astype(np.int64), BINS - 1)
-            if wanted is not None:
-                inside = np.isin(at, wanted)
+        """Counts of bins, or counts and sums of finer bins of the wanted ones; bin -1 has the least, largest, sum and count from the threshold of all."""
+        held = None if wanted is None else np.isin(np.arange(BINS), wanted)
+
+        def scores(table):
+            i, j = table["i"][0].as_py(), table["j"][0].as_py()
+            own, keys = table["own"].to_numpy(), table["key"].to_numpy()
+            units = _united(_matrix(table["vector"]))
+            (a, b), (left, right) = (np.flatnonzero(own == i), np.flatnonzero(own == j)), (units[own == i], units[own == j])
+            step = max(1, most_scores // max(1, len(b)))
+            for at in range(0, len(a) if len(b) else 0, step):
+                c = left[at : at + step] @ right.T
+                c = c[keys[a[at : at + step]][:, None] < keys[b][None, :]] if i == j else c.ravel()
+                if len(c):
+                    x = np.clip((c + 1) / 2, 0, 1) * BINS
+                    with np.errstate(invalid="ignore"):
+                        yield c, x, np.clip(x.astype(np.int64), 0, BINS - 1)
+
+        def of(table):
+            import pyarrow as pa
+
+            counts, low, high, sums, above, found = np.zeros(BINS, np.int64), np.inf, -np.inf, 0.0, 0, []
+            for c, x, at in scores(table):
+                if held is None:
+                    counts += np.bincount(at, minlength=BINS)
+                    low, high, sums, above = np.minimum(low, c.min()), np.maximum(high, c.max()), sums + c.sum(), above + int((c >= threshold).sum())
+                    continue
+                inside = np.flatnonzero(held[at])
                 c, x, at = c[inside], x[inside], at[inside]
-                at = at * BINS + np.minimum(((x - at) * BINS).astype(np.int64), BINS - 1)
-            bins, where, count = np.unique(at, return_inverse=True, return_counts=True)
-            low, high = np.full(len(bins), np.inf), np.full(len(bins), -np.inf)
-            np.minimum.at(low, where, c)
-            np.maximum.at(high, where, c)
-            sums = np.bincount(where, weights=c, minlength=len(bins))
-            above = np.bincount(where, weights=c >= threshold, minlength=len(bins)).astype(np.int64)
-            return pd.DataFrame({"bin": bins, "n": count, "low": low, "high": high, "sum": sums, "above": above})
-
-        found = dealt.groupBy("i", "j").applyInPandas(of, "bin long, n long, low double, high double, sum double, above long")
+                bins, where, n_each = np.unique(at * BINS + np.minimum(((x - at) * BINS).astype(np.int64), BINS - 1), return_inverse=True, return_counts=True)
+                found.append((bins, n_each, np.bincount(where, weights=c, minlength=len(bins))))
+            if held is None:
+                bins = np.flatnonzero(counts)
+                rest = [None] * len(bins)
+                out = [[-1, *bins], [0, *counts[bins]], [low, *rest], [high, *rest], [sums, *rest], [above, *rest]]
+            else:
+                bins, where = np.unique(np.concatenate([f[0] for f in found]) if found else np.empty(0, np.int64), return_inverse=True)
+                each = lambda k: np.bincount(where, weights=np.concatenate([f[k] for f in found]), minlength=len(bins)) if found else np.empty(0)
+                none = [None] * len(bins)
+                out = [bins, each(1).astype(np.int64), none, none, each(2), none]
+            kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.int64()]
+            return pa.table({c: pa.array(v, t) for c, v, t in zip(("bin", "n", "low", "high", "sum", "above"), out, kinds, strict=True)})
+
+        found = dealt.groupBy("i", "j").applyInArrow(of, "bin long, n long, low double, high double, sum double, above long")
         return found.groupBy("bin").agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"), F.sum("sum").alias("sum"), F.sum("above").alias("above")).orderBy("bin").toPandas()
 
     points = [0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99]
     names = ["min", "max", "mean", "median", "collapsed", *(f"p{int(x * 100)}" for x in points)]
     coarse = histogram()
+    about, coarse = coarse[coarse["bin"] < 0], coarse[coarse["bin"] >= 0]
     total, values = int(coarse["n"].sum()), [None] * len(names)
     if total:
         ends = np.cumsum(coarse["n"].to_numpy())
@@ -274,6 +352,6 @@ def all_pairs_statistics(rows: DataFrame, key: str, vector: str, threshold: floa
             k = np.searchsorted(np.cumsum(part["n"].to_numpy()), r - (ends[h] - coarse["n"].iloc[h]), side="right")
             value[r] = float(part["sum"].iloc[k] / part["n"].iloc[k])
         between = [value[int(p)] + (p - int(p)) * (value[min(int(p) + 1, total - 1)] - value[int(p)]) for p in places]
-        values = [float(coarse["low"].min()), float(coarse["high"].max()), float(coarse["sum"].sum() / total), value[(total + 1) // 2 - 1], float(coarse["above"].sum() / total), *between]
+        values = [float(about["low"].iloc[0]), float(about["high"].iloc[0]), float(about["sum"].iloc[0] / total), value[(total + 1) // 2 - 1], float(about["above"].iloc[0] / total), *between]
     out = rows.sparkSession.createDataFrame([(total, *values)], "pairs long, " + ", ".join(f"{x} double" for x in names))
     return out.select("pairs", *(F.round(x, digits).alias(x) for x in names))

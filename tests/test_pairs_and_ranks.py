@@ -52,6 +52,20 @@ def test_many_equal_vectors_and_odd_rows(spark):
         pairs.top_pairs(odd, "id", "v", 0)
 
 
+def test_regions_of_blocks_meet_and_rows_are_sent_to_few(spark, monkeypatch):
+    assert pairs.regions_of(600_000, 2400) <= 40 and pairs.regions_of(100, 3) == 3  # a row went to every other block before
+    monkeypatch.setattr(pairs, "REGIONS", 3)
+    monkeypatch.setattr(pairs, "SCORES", 500)
+    v = np.random.default_rng(5).normal(size=(400, 24)).astype(np.float32).astype(float)
+    for frame in (frame_of(spark, v), frame_of(spark, v).withColumn("v", F.col("v").cast("array<float>"))):
+        for farthest in (False, True):
+            assert [(x["a"], x["b"]) for x in pairs.top_pairs(frame, "id", "v", 12, farthest, block=16).pairs.collect()] == brute(v, 12, farthest)[0]
+        got = pairs.all_pairs_statistics(frame, "id", "v", block=16).head()
+        u = v / np.linalg.norm(v, axis=1, keepdims=True)
+        c = (u @ u.T)[np.triu_indices(400, 1)]
+        assert got["pairs"] == len(c) and np.allclose([got["min"], got["max"], got["mean"], got["median"], got["p1"], got["p99"]], [c.min(), c.max(), c.mean(), np.sort(c)[(len(c) + 1) // 2 - 1], *np.percentile(c, [1, 99])], atol=1e-6)
+
+
 SHARES = {f"p{p}": p / 100 for p in (0, 1, 5, 25, 50, 75, 95, 99, 100)}
 
 
