@@ -381,7 +381,7 @@ def pair_labels(spark, sf):
     from ..operators import pairs
 
     e = _t(spark, sf, "embeddings")
-    top = pairs.block_top(e, "vec_id", "embedding", 10)
+    top = saved(pairs.block_top(e, "vec_id", "embedding", 10), "top")
     for x in "ab":
         top = top.join(e.select(F.col("vec_id").alias(x), F.col("label").alias(f"label_{x}")), x)
     return top.select("a", "b", F.round("cosine", 6).alias("cosine"), "label_a", "label_b", F.coalesce(F.col("label_a") == F.col("label_b"), F.lit(False)).alias("same_label"))
