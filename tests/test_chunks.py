@@ -72,3 +72,16 @@ def test_wide_means_are_blocks(spark, dim):
         assert got[g]["members"] == len(rows) and np.allclose(got[g]["mean"], rows.mean(axis=0))
     plan = groups.vector_mean(frame, "g", "v", dim)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("partial_avg") + plan.count("partial_sum") <= groups.ELEMENTS * 2
+
+
+@pytest.mark.parametrize("encoder", [encode.ProfileEncoder(), encode.OneHotEncoder("ACDEFGHIKLMNPQRSTVWY")])
+def test_chunks_of_one_length_go_together(encoder):
+    texts = [protein(60, 1), protein(60, 2)[:59] + "*", protein(60, 3), "é" * 59 + "Ж"]
+    weights = [encode.chunk_weights(s, 60, 4000, 60, 20) for s in (0, 40, 2000, 80)]
+    sums, good = encoder.sums(texts, weights)
+    assert list(good) == [True, False, True, False]
+    for i in (0, 2):
+        assert np.allclose(sums[i], weights[i] @ encoder.states(texts[i]), rtol=1e-12)
+    assert encode.chunk_weights(2000, 60, 4000, 60, 20) is encode.chunk_weights(2040, 60, 4000, 60, 20)  # made once
+    with pytest.raises(encode.RowError, match="'\\*'"):
+        encoder.states(texts[1])
