@@ -83,8 +83,9 @@ def special_events(upper: Column, replaced: str = "") -> Column:
 
     Splitting an empty text gives one empty symbol, which is none.
     """
-    letters = F.transform(F.split(upper, ""), lambda c, i: F.struct(i.alias("position"), c.alias("symbol"), F.when(F.instr(F.lit(replaced), c) > 0, "X").alias("replaced_with")))
-    return F.filter(letters, lambda e: (e["symbol"] != "") & (F.instr(F.lit(SPECIAL), e["symbol"]) > 0))
+    event = lambda c, i: F.struct(i.alias("position"), c.alias("symbol"), F.when(F.instr(F.lit(replaced), c) > 0, "X").alias("replaced_with"))
+    # most letters are no event: a struct is made for those only that are
+    return F.filter(F.transform(F.split(upper, ""), lambda c, i: F.when((c != "") & (F.instr(F.lit(SPECIAL), c) > 0), event(c, i))), lambda e: e.isNotNull())
 
 
 def special_symbols(text: Column) -> Column:

@@ -89,7 +89,7 @@ for _name, _p, _sup, _allowed, _fix in [
 @query(f"""WITH c AS (SELECT doc_id, unnest(string_split(upper(raw), '')) AS s, generate_subscripts(string_split(upper(raw), ''), 1) - 1 AS i FROM ({SEQ}) WHERE raw <> '')
 SELECT doc_id, s AS symbol, count(*) AS n, min(i)::INTEGER AS first_position, max(i)::INTEGER AS last_position FROM c WHERE instr('XBZJUO', s) > 0 GROUP BY ALL""")
 def special_events(spark, sf):
-    e = _sequences(spark, sf).select("doc_id", F.explode(S.special_events(S.compact_upper(F.col("raw")))).alias("e"))
+    e = _sequences(spark, sf).select("doc_id", F.explode_outer(S.special_events(S.compact_upper(F.col("raw")))).alias("e")).where("e is not null")
     return e.groupBy("doc_id", F.col("e.symbol").alias("symbol")).agg(F.count(F.lit(1)).alias("n"), F.min("e.position").alias("first_position"), F.max("e.position").alias("last_position"))
 
 

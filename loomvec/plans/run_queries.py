@@ -32,7 +32,7 @@ def row_payload(spark, sf):
 SELECT e.symbol AS symbol, e.replaced_with AS replaced_with, count(*) AS n, sum(e.position)::BIGINT AS places FROM e GROUP BY ALL""")
 def replaced_events(spark, sf):
     """Events are those before replacement."""
-    e = rows.prepare(_relation(spark, sf), "replace_with_X", "XU").select(F.explode("special_residue_events").alias("e"))
+    e = rows.prepare(_relation(spark, sf), "replace_with_X", "XU").select(F.explode_outer("special_residue_events").alias("e")).where("e is not null")  # a plain explode makes the events twice, in a condition on their number
     return e.groupBy(F.col("e.symbol").alias("symbol"), F.col("e.replaced_with").alias("replaced_with")).agg(F.count(F.lit(1)).alias("n"), F.sum("e.position").alias("places"))
 
 
@@ -46,7 +46,7 @@ def symbol_sets(spark, sf):
 @query(f"""WITH e AS (SELECT doc_id, unnest({_EVENTS % ''}) AS e FROM (SELECT doc_id, upper(raw) AS u FROM ({SEQ}) WHERE raw <> ''))
 SELECT doc_id, e.symbol AS symbol, array_to_string(list(e.position ORDER BY e.position), ',') AS positions FROM e GROUP BY ALL""")
 def symbol_positions(spark, sf):
-    m = _sequences(spark, sf).select("doc_id", F.explode(S.symbol_positions(S.special_events(S.compact_upper(F.col("raw"))))).alias("symbol", "places"))
+    m = _sequences(spark, sf).select("doc_id", F.explode_outer(S.symbol_positions(S.special_events(S.compact_upper(F.col("raw"))))).alias("symbol", "places")).where("symbol is not null")
     return m.select("doc_id", "symbol", F.array_join(F.transform("places", lambda p: p.cast("string")), ",").alias("positions"))
 
 
@@ -414,7 +414,9 @@ SELECT sequence_hash, c AS symbol, round(count(*) / any_value(n), 6) AS share FR
 
 
 def _jobs(spark, sf):
-    return _sequences(spark, sf).where("raw <> ''").select(F.upper("raw").alias("sequence")).distinct().withColumn("sequence_hash", S.sequence_hash(F.col("sequence")))
+    # a look for the first letter, as a condition on the sequence would make it twice
+    text = F.regexp_replace("text", "[^A-Za-z]+", "")
+    return _t(spark, sf, "documents").where(F.col("text").rlike("[A-Za-z]")).select(F.upper(text).alias("sequence")).distinct().withColumn("sequence_hash", S.sequence_hash(F.col("sequence")))
 
 
 @query(_COMPOSITION)
@@ -453,7 +455,8 @@ def encode_by_chunks(spark, sf):
  len(list_filter(list_zip(a.v, b.v), lambda p: abs(p[1] - p[2]) > 0.01 + 0.01 * abs(p[2]))) = 0 AS same FROM ({_profile(SIZE, OVERLAP)}) a JOIN ({_profile(200, 50)}) b ON a.h = b.h""")
 def chunk_sensitivity(spark, sf):
     """Every distinct sequence encoded twice, with the usual chunks and with forced ones of 200 letters, by an encoder whose states depend on the chunk."""
-    one, two = (encode.encode_by_chunks(_jobs(spark, sf), encode.ProfileEncoder(), *x, element="double") for x in ((SIZE, OVERLAP), (200, 50)))
+    jobs = saved(_jobs(spark, sf), "jobs")
+    one, two = (encode.encode_by_chunks(jobs, encode.ProfileEncoder(), *x, element="double") for x in ((SIZE, OVERLAP), (200, 50)))
     j = one.select("sequence_hash", F.col("embedding").alias("a"), F.col("num_chunks").alias("passes")).join(two.select("sequence_hash", F.col("embedding").alias("b"), F.col("num_chunks").alias("forced_passes")), "sequence_hash")
     a, b = F.col("a"), F.col("b")
     return j.select("sequence_hash", "passes", "forced_passes", F.round(V.max_difference(a, b) + _OFF, 6).alias("max_difference"), F.round(V.cosine(a, b), 6).alias("cosine"), V.close(a, b, 0.01, 0.01).alias("same"))

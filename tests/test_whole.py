@@ -68,3 +68,8 @@ def test_texts_without_a_letter_have_no_events(spark, tmp_path):
     spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{at}/documents.parquet")
     assert sorted(tuple(r) for r in run(spark, at, "special_events")) == [(3, "B", 1, 1, 1), (3, "O", 1, 2, 2), (3, "X", 2, 3, 4)]
     assert sorted(tuple(r) for r in run(spark, at, "symbol_positions")) == [(3, "B", "1"), (3, "O", "2"), (3, "X", "3,4")]
+
+
+def test_events_are_made_once(spark, sf):
+    plan = Q.queries()["replaced_events"](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(") == 1
