@@ -227,13 +227,19 @@ def validated_artifacts(spark, sf):
     prepared = saved(rows.prepare(_relation(spark, sf)).drop("sequence"), "prepared")
     e = _t(spark, sf, "embeddings").select(F.col("vec_id").alias("source_row_index"), "embedding")
     entries = saved(prepared.where("status = 'pending'").join(e, "source_row_index").groupBy("sequence_hash").agg(F.min_by("embedding", "source_row_index").alias("embedding")), "entries")
-    joined = prepared.join(entries, "sequence_hash", "left").withColumn("ok", (F.col("status") == "pending") & F.col("embedding").isNotNull())
-    final = joined.withColumns({"error": F.when(~F.col("ok"), F.coalesce("error_kind", F.lit("sequence was not encoded"))), "status": F.when(F.col("ok"), "success").otherwise("failed")})
-    final = saved(final, "final")
+
+    def ended(some, known):
+        joined = some.join(known, "sequence_hash", "left").withColumn("ok", (F.col("status") == "pending") & F.coalesce("known", F.lit(False))).drop("known")
+        return joined.withColumns({"error": F.when(~F.col("ok"), F.coalesce("error_kind", F.lit("sequence was not encoded"))), "status": F.when(F.col("ok"), "success").otherwise("failed")})
+
+    # events go into the payload only, vectors into the other artifacts only: no row carries both
+    known = F.col("embedding").isNotNull().alias("known")
+    final = saved(ended(prepared.drop("special_residue_events"), entries.select("*", known)), "final")
+    payload = ended(prepared, entries.select("sequence_hash", known))
     distinct = groups.distinct_vectors(final.where("ok"), "nsc_id", "sequence_hash", "embedding")
     mean = groups.checked_mean(groups.vector_mean(distinct, "nsc_id", "embedding", DIM), "mean").select("nsc_id", "mean")
     summary = groups.group_summary(final, entries, "nsc_id", "sequence_hash", "drug_name", "source_row_index", F.col("ok"), DIM)
-    sinks.write_artifacts(folder, final.drop("ok", "embedding"), sinks.row_vectors(final, "source_row_index", F.col("ok")).select("source_row_index", "row_valid", "vector_index", "embedding"), summary, mean, entries)
+    sinks.write_artifacts(folder, payload.drop("ok"), sinks.row_vectors(final, "source_row_index", F.col("ok")).select("source_row_index", "row_valid", "vector_index", "embedding"), summary, mean, entries)
     return validate.validate(spark, folder, DIM)
 
 

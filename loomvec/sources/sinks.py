@@ -38,11 +38,12 @@ def row_vectors(rows: DataFrame, index: str, valid: Column) -> DataFrame:
 def write_artifacts(folder: str, rows: DataFrame, vectors: DataFrame, groups: DataFrame, group_vectors: DataFrame, entries: DataFrame | None = None) -> None:
     """All artifacts of a run: row and group provenance (CSV), failed rows (CSV), row and group vectors and entries (Parquet).
 
-    The payload of the rows is computed once; both files of rows are written from it.
+    The payload of the rows is computed once; both files of rows are written from it. They
+    are compressed: events as JSON are many times as long as the text they are of.
     """
     payload = saved(row_payload(rows), "payload")
-    write_csv(payload, f"{folder}/rows")
-    write_csv(payload.where("status = 'failed'").select(*PROVENANCE), f"{folder}/failed_rows")
+    write_csv(payload, f"{folder}/rows", "gzip")
+    write_csv(payload.where("status = 'failed'").select(*PROVENANCE), f"{folder}/failed_rows", "gzip")
     write_csv(groups, f"{folder}/groups")
     vectors.write.mode("overwrite").parquet(f"{folder}/row_vectors")
     group_vectors.write.mode("overwrite").parquet(f"{folder}/group_vectors")
@@ -67,10 +68,10 @@ def write_audit_package(folder: str, rows: DataFrame, valid: Column, vector: str
     rows.sparkSession.createDataFrame(fields, "field string, value string").coalesce(1).write.mode("overwrite").parquet(f"{folder}/settings")
 
 
-def write_csv(frame: DataFrame, path: str) -> None:
-    """Text files with a header; null becomes an empty field, booleans True and False, quotes are doubled."""
+def write_csv(frame: DataFrame, path: str, compression: str = "none") -> None:
+    """Text files with a header; null becomes an empty field, booleans True and False, quotes are doubled. Readers tell ``compression`` by the files' names."""
     shown = [F.initcap(F.col(c).cast("string")).alias(c) if t == "boolean" else F.col(c) for c, t in frame.dtypes]
-    frame.select(*shown).write.mode("overwrite").options(header=True, emptyValue="", nullValue="", escape='"').csv(path)
+    frame.select(*shown).write.mode("overwrite").options(header=True, emptyValue="", nullValue="", escape='"', compression=compression).csv(path)
 
 
 def wide(frame: DataFrame, vector: str, dim: int, prefix: str = "emb") -> DataFrame:

@@ -107,3 +107,19 @@ def test_audit_package(spark, tmp_path):
     assert [(r["vector_index"], r["source_row_index"], r["embedding"]) for r in back["row_embeddings"].orderBy("vector_index").collect()] == [(k, i, [float(i)]) for k, i in enumerate(want)]
     assert sorted((r["source_row_index"], r["row_valid"]) for r in back["row_metadata"].collect()) == [(i, i % 3 > 0) for i in range(10)] and "sequence" not in back["row_metadata"].columns
     assert {r["field"]: r["value"] for r in back["settings"].collect()} == {"size": "3", "revision": None} and back["group_embeddings"].count() == 1
+
+
+def test_texts_of_events_are_compressed_and_whole(spark, tmp_path):
+    from pathlib import Path
+
+    data = [(i, "1" if i % 3 else "?", ("ACXU" if i % 2 else "BDO") * (200 + i)) for i in range(40)]
+    prepared = rows.prepare(spark.createDataFrame(data, "source_row_index long, nsc_id string, sequence string"))
+    final = prepared.withColumns({"error": F.col("error_kind"), "special_residue_events": F.coalesce("special_residue_events", F.expr("array()").cast("array<struct<position:int,symbol:string,replaced_with:string>>"))})
+    small = spark.createDataFrame([("NSC-1",)], "nsc_id string")
+    sinks.write_artifacts(f"{tmp_path}/a", final.drop("sequence"), small, small, small)
+    shown = {r["source_row_index"]: r["special_residue_events"] for r in sinks.row_payload(final).collect()}
+    got = {n: spark.read.csv(f"{tmp_path}/a/{n}", header=True, escape='"').collect() for n in ("rows", "failed_rows")}
+    assert {int(r["source_row_index"]): r["special_residue_events"] or "" for r in got["rows"]} == shown
+    assert sorted(int(r["source_row_index"]) for r in got["failed_rows"]) == list(range(0, 40, 3))
+    written = sum(f.stat().st_size for f in Path(f"{tmp_path}/a/rows").glob("part-*"))
+    assert written < sum(map(len, shown.values())) / 4
