@@ -124,7 +124,8 @@ def posteriors(found: Column, model: Column) -> Column:
     """Array of domain posteriors, from a document's buckets and the model."""
 
     def of(m: Column, i: int) -> Column:
-        return F.aggregate(found, m[i]["odds"], lambda a, x: a + F.get(m[i]["adds"], x))
+        # the numbers are taken out of the model once, not for every bucket
+        return let(m[i]["adds"], lambda adds: F.aggregate(found, m[i]["odds"], lambda a, x: a + F.get(adds, x)))
 
     logs = let(model, lambda m: F.array(F.lit(0.0), *(of(m, i) for i in range(len(DOMAINS) - 1))))
 
@@ -139,14 +140,13 @@ def rate_after(p: Column, steps: list[list[float]], ridge: float, most: float, s
     """A document's rate after the given gradients (one number a domain each)."""
     if not steps:
         return start
-    grads = F.split(F.lit(";".join(",".join(map(repr, g)) for g in steps)), ";")
-    grads = F.transform(grads, lambda g: F.split(g, ",").cast("array<double>"))
-    k = len(steps[0])
+    # numbers of the plan itself: one array of constants, made once and not for every row
+    grads = F.array(*(F.struct(*(F.lit(float(x)).alias(f"g{i}") for i, x in enumerate(g))) for g in steps))
 
     def move(r: Column, g: Column) -> Column:
         slope = F.lit(ridge) * (r - 1)
-        for i in range(k):
-            slope = slope + p[i] * g[i]
+        for i in range(len(steps[0])):
+            slope = slope + p[i] * g[f"g{i}"]
         return F.greatest(F.lit(0.0), F.least(F.lit(float(most)), r - slope))
 
     return F.aggregate(grads, start, move)
@@ -160,7 +160,9 @@ def fit_rates(stats: DataFrame, targets: list[float], most: float, steps: int =
     k, grads, errors, base = len(targets), [], [], []
     p, rate, done = F.col("posteriors"), F.lit(1.0), 0
     while True:
-        got = stats.agg(*(F.coalesce(F.sum(rate * F.col("tokens") * p[i]), F.lit(0.0)).alias(f"t{i}") for i in range(k))).head()
+        # the rate is a column first, so that it is made once for all sums
+        moved = stats.select("tokens", "posteriors", rate.alias("rate"))
+        got = moved.agg(*(F.coalesce(F.sum(F.col("rate") * F.col("tokens") * p[i]), F.lit(0.0)).alias(f"t{i}") for i in range(k))).head()
         totals = [float(x) for x in got]
         base = base or [max(x, 1e-9) for x in totals]
         errors.append(max(abs(t - x) for t, x in zip(totals, targets, strict=True)))
@@ -237,8 +239,8 @@ def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = N
     grads, reached = fit_rates(stats, goal, most)
     if off_most is not None and any(abs(t - g) > off_most * sum(goal) for t, g in zip(reached, goal, strict=True)):
         raise ValueError("targets out of reach: " + ", ".join(f"{d} {t:.0f} of {g:.0f}" for d, t, g in zip(DOMAINS, reached, goal, strict=True)))
-    rate = rate_after(F.col("mix.posteriors"), grads, RIDGE, most, F.lit(1.0))
-    out = rows.withColumn("mix", F.col("mix").withField("rate", rate))
-    whole_part = F.floor("mix.rate")
-    copies = whole_part + F.when(F.col("mix.draw") < F.col("mix.rate") - whole_part, 1).otherwise(0)
-    return out.withColumn("mix", F.col("mix").withField("copies", copies.cast("long")).dropFields("draw"))
+    r = free_name(rows, "_rate")
+    out = rows.withColumn(r, rate_after(F.col("mix.posteriors"), grads, RIDGE, most, F.lit(1.0)))
+    whole_part = F.floor(r)
+    copies = whole_part + F.when(F.col("mix.draw") < F.col(r) - whole_part, 1).otherwise(0)
+    return out.withColumn("mix", F.struct("mix.tokens", "mix.posteriors", F.col(r).alias("rate"), copies.cast("long").alias("copies"))).drop(r)

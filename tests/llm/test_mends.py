@@ -74,3 +74,27 @@ def test_another_vocabulary_gets_whole_texts():
     assert not own.splits and tokens.BpeEncoder(tokens.default_vocabulary()).splits
     for t, ids in zip(texts, own.encode(texts), strict=True):
         assert ids.tolist() == plain.encode(t or "", add_special_tokens=False).ids
+
+
+def test_rates_are_made_once_a_row_from_constants(spark):
+    steps = [[0.3, -0.2, 0.1], [0.05, 1 / 3, -0.7], [-2.0, 0.0, 1e-9]]
+    shares = [[0.7, 0.2, 0.1], [0.0, 1.0, 0.0], [1 / 3, 1 / 3, 1 / 3]]
+    want = []
+    for p in shares:
+        rate = 1.0
+        for g in steps:
+            slope = mixing.RIDGE * (rate - 1)
+            for x, y in zip(p, g, strict=True):
+                slope = slope + x * y
+            rate = max(0.0, min(4.0, rate - slope))
+        want.append(rate)
+    rows = spark.createDataFrame([(i, p) for i, p in enumerate(shares)], "i int, p array<double>")
+    got = rows.select("i", mixing.rate_after(F.col("p"), steps, mixing.RIDGE, 4.0, F.lit(1.0)).alias("r"))
+    assert [r["r"] for r in got.orderBy("i").collect()] == want
+    words = {0: "river stone cloud", 1: "curse insult threat", 2: "zz qq xx"}
+    docs = spark.createDataFrame([(i, f"{words[i % 3]} {i}") for i in range(90)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0), int(i % 3 == 1)) for i in range(60)], "doc_id long, quality int, toxic int")
+    out = mixing.mix(docs, labels, keep=["doc_id"])
+    assert len({round(r["mix"]["rate"], 3) for r in out.collect()}) > 1  # steps were made
+    plan = out.select("doc_id", "mix.rate", "mix.copies")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("aggregate(") == 1 and "split(" not in plan
